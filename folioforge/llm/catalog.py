@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, license_join, secret_ledger, url_templates, warc_store
+from . import attention_mil, decontaminate, exact_dedup, license_join, secret_ledger, url_templates, warc_store
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_quality": attention_mil.op3_quality,
     "op4_secrets": secret_ledger.op4_secrets,
     "op6_url_filter": url_templates.op6_url_filter,
     "op9_warc": warc_store.op9_warc,
