@@ -96,34 +96,41 @@ def posteriors(model: Domains, bins: Mapping[str, Column]) -> list[Column]:
     return [p / whole for p in parts]
 
 
-def fit_rates(profiles: DataFrame, names: list[str], targets: Mapping[str, float], budget: float | None = None, max_rate: float | None = None, steps: int = 60, tolerance: float = 1e-6) -> tuple[Column, dict[str, float]]:
-    """(rate as an expression of columns p_<domain>, expected share of each domain).
+def fit_rates(profiles: DataFrame, names: list[str], targets: Mapping[str, float], budget: float | None = None, max_rate: float | None = None, steps: int = 40, tolerance: float = 1e-5) -> tuple[DataFrame, dict[str, float]]:
+    """(profiles with a column rate, expected share of each domain).
 
     profiles: tokens and p_<domain> per group of documents.  Minimises the
     squared distance of expected domain totals to budget * weight from rates of
-    1 by projected gradient, each domain scaled by what it holds.  Without a
-    budget the total is the largest that repeats nothing in expectation.
+    1 by projected gradient, each domain scaled by what it holds; stops when no
+    total moves any more.  Without a budget the total is the largest that
+    repeats nothing in expectation.  Rates are written every few steps, so
+    plans stay small.
     """
     clean = {k: max(0.0, targets.get(k, 0.0)) for k in names}
     scale = sum(clean.values()) or 1.0
-    held = profiles.agg(*(F.sum(F.col("tokens") * F.col(f"p_{k}")).alias(k) for k in names)).first().asDict()
-    held = {k: float(v or 0) for k, v in held.items()}
+
+    def totals(df: DataFrame) -> dict[str, float]:
+        got = df.agg(*(F.sum(F.col("tokens") * F.col(f"p_{k}") * F.col("rate")).alias(k) for k in names)).first()
+        return {k: float(got[k] or 0) for k in names}
+
+    now = profiles.withColumn("rate", F.lit(1.0))
+    held = got = totals(now)
     weight = {k: v / scale for k, v in clean.items()}
     if budget is None:
         budget = min((held[k] / weight[k] for k in names if weight[k] > 0 and held[k] > 0), default=0.0)
-    want = {k: weight[k] * budget for k in names}
-    rate, got = F.lit(1.0), held
-    for _ in range(steps):
-        push = {k: (got[k] - want[k]) / held[k] for k in names if held[k] > 0}
+    for step in range(1, steps + 1):
+        push = {k: (got[k] - weight[k] * budget) / held[k] for k in names if held[k] > 0}
         if not push or max(map(abs, push.values())) < tolerance:
             break
-        rate = F.greatest(rate - sum((F.col(f"p_{k}") * g for k, g in push.items()), F.lit(0.0)), F.lit(0.0))
-        if max_rate is not None:
-            rate = F.least(rate, F.lit(max_rate))
-        sums = profiles.withColumn("_r", rate).agg(*(F.sum(F.col("tokens") * F.col(f"p_{k}") * F.col("_r")).alias(k) for k in names)).first().asDict()
-        got = {k: float(v or 0) for k, v in sums.items()}
+        rate = F.greatest(F.col("rate") - sum((F.col(f"p_{k}") * g for k, g in push.items()), F.lit(0.0)), F.lit(0.0))
+        now = now.withColumn("rate", rate if max_rate is None else F.least(rate, F.lit(float(max_rate))))
+        if step % 4 == 0:
+            now = stored(now, "mix-rates")
+        was, got = got, totals(now)
+        if max(abs(got[k] - was[k]) / held[k] for k in push) < tolerance:
+            break
     total = sum(got.values()) or 1.0
-    return rate, {k: got[k] / total for k in names}
+    return now, {k: got[k] / total for k in names}
 
 
 def _copies(rate: Column, key: Column) -> Column:
@@ -142,23 +149,17 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGE
     names = sorted(targets)
     model = fit_domains(docs, labels, names, id_col=id_col, text_col=text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    bins = feature_bins(text, model.lexicons)
+    bins = {f"_b_{f}": b for f, b in feature_bins(text, model.lexicons).items()}
     tokens = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    seen = docs.select(tokens.alias("tokens"), *(b.alias(f"b_{f}") for f, b in bins.items()))
-    profiles = seen.groupBy(*(f"b_{f}" for f in bins)).agg(F.sum("tokens").alias("tokens"))
-    named = [p.alias(f"p_{k}") for k, p in zip(names, posteriors(model, {f: F.col(f"b_{f}") for f in bins}), strict=True)]
-    profiles = stored(stored(profiles, "mix-profiles").select("tokens", *named).coalesce(1), "mix-profiles")  # at most BINS ** features rows
-    rate, _ = fit_rates(profiles, names, targets, budget, max_rate)
-    out = docs.withColumns({"_tokens": tokens, **{f"_b_{f}": b for f, b in bins.items()}})
-    out = out.withColumns({f"_p_{k}": p for k, p in zip(names, posteriors(model, {f: F.col(f"_b_{f}") for f in bins}), strict=True)})
-    here = out.select("*", *(F.col(f"_p_{k}").alias(f"p_{k}") for k in names)) if not {f"p_{k}" for k in names} & set(docs.columns) else None
-    if here is None:  # the table has columns of these names: keep them, under others for the moment
-        back = {f"p_{k}": f"_own_p_{k}" for k in names if f"p_{k}" in docs.columns}
-        here = out.withColumnsRenamed(back).select("*", *(F.col(f"_p_{k}").alias(f"p_{k}") for k in names))
-        here = here.withColumn("_rate", rate).drop(*(f"p_{k}" for k in names)).withColumnsRenamed({v: k for k, v in back.items()})
-    else:
-        here = here.withColumn("_rate", rate).drop(*(f"p_{k}" for k in names))
-    return here.drop(*(f"_b_{f}" for f in bins)).withColumn("_copies", _copies(F.col("_rate"), F.col(id_col)))
+    seen = docs.select(tokens.alias("tokens"), *(b.alias(k) for k, b in bins.items()))
+    profiles = stored(seen.groupBy(*bins).agg(F.sum("tokens").alias("tokens")).coalesce(1), "mix-profiles")
+    named = [p.alias(f"p_{k}") for k, p in zip(names, posteriors(model, {f: F.col(f"_b_{f}") for f in model.table}), strict=True)]
+    rates, _ = fit_rates(stored(profiles.select("*", *named), "mix-profiles"), names, targets, budget, max_rate)
+    # at most BINS ** features rows of a few numbers: 2 MB for five features
+    side = F.broadcast(stored(rates.select(*(F.col(k).alias(f"{k}_") for k in bins), *(F.col(f"p_{k}").alias(f"_p_{k}") for k in names), F.col("rate").alias("_rate")), "mix-rates"))
+    out = docs.withColumns({"_tokens": tokens, **bins})
+    out = out.join(side, [F.col(k) == F.col(f"{k}_") for k in bins]).drop(*bins, *(f"{k}_" for k in bins))
+    return out.withColumn("_copies", _copies(F.col("_rate"), F.col(id_col)))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, max_rate: float | None = None, **kw) -> DataFrame:

@@ -35,7 +35,7 @@ def test_descent_reaches_feasible_targets(spark):
     p = rng.dirichlet([0.3, 0.3, 0.3], 50)
     rows = [(int(t), *map(float, x)) for t, x in zip(rng.integers(1, 1000, 50), p, strict=True)]
     profiles = spark.createDataFrame(rows, "tokens long, p_a double, p_b double, p_c double").coalesce(1)
-    _, share = M.fit_rates(profiles, ["a", "b", "c"], {"a": 0.5, "b": 0.3, "c": 0.2}, steps=200)
+    _, share = M.fit_rates(profiles, ["a", "b", "c"], {"a": 0.5, "b": 0.3, "c": 0.2}, steps=200, tolerance=1e-7)
     assert share["a"] == pytest.approx(0.5, abs=1e-3) and share["c"] == pytest.approx(0.2, abs=1e-3)
 
 
