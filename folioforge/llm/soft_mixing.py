@@ -102,8 +102,9 @@ def fit_rates(profiles: DataFrame, names: list[str], targets: Mapping[str, float
     profiles: tokens and p_<domain> per group of documents.  Minimises the
     squared distance of expected domain totals to budget * weight from rates of
     1 by projected gradient, each domain scaled by what it holds; stops when no
-    total moves any more.  Without a budget the total is the largest that
-    repeats nothing in expectation.  Rates are written every few steps, so
+    total moves any more.  Without a budget the total is such that the domain
+    of the largest weight is kept whole; scarcer ones are repeated to reach
+    their weights, or kept whole too under ``max_rate`` 1.  Rates are written every few steps, so
     plans stay small.
     """
     clean = {k: max(0.0, targets.get(k, 0.0)) for k in names}
@@ -117,7 +118,7 @@ def fit_rates(profiles: DataFrame, names: list[str], targets: Mapping[str, float
     held = got = totals(now)
     weight = {k: v / scale for k, v in clean.items()}
     if budget is None:
-        budget = min((held[k] / weight[k] for k in names if weight[k] > 0 and held[k] > 0), default=0.0)
+        budget = max(((weight[k], held[k] / weight[k]) for k in names if weight[k] > 0), default=(0.0, 0.0))[1]
     for step in range(1, steps + 1):
         push = {k: (got[k] - weight[k] * budget) / held[k] for k in names if held[k] > 0}
         if not push or max(map(abs, push.values())) < tolerance:
