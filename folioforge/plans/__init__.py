@@ -1,4 +1,6 @@
 """Named queries over the engine and their SQL twins."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import agreement, annotate, documents, reconcile, selection, updates  # noqa: F401
+from .base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
