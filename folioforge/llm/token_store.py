@@ -33,7 +33,8 @@ END_ID = 2
 MEAN_CHUNK = 512
 MOST_CHUNK = 4096
 WINDOW = 4
-CACHE_UNITS = 600_000
+CACHE_UNITS = 1_000_000
+TAILS = ".,!?;:"
 
 
 def default_vocabulary() -> str:
@@ -48,8 +49,9 @@ class Encoder:
     The library's pre-tokenizer always starts a new piece at a space that has
     a non-space before or after it, so a text falls apart there into units
     whose ids do not depend on their neighbours.  Each distinct unit is encoded
-    by the library once and kept, up to ``CACHE_UNITS``; texts with a space
-    between two white-space characters are encoded whole.
+    by the library once and kept, up to ``CACHE_UNITS`` (about 250 MB in a
+    worker); texts with a space between two white-space characters are encoded
+    whole.
     """
 
     def __init__(self, path: str):
@@ -62,56 +64,73 @@ class Encoder:
         self.lengths = np.zeros(size, np.int64)  # bytes of text that an id stands for
         for word, i in self.tokenizer.get_vocab().items():
             self.lengths[i] = len(word.encode()) if i in special else len(word)
-        self.units: dict[str, bytes | None] = {}
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        self.units: dict[str, bytes | bool] = {}
+        self.tails: dict[str, bytes] = {}
+        self.usual = 100.0  # words to learn per call, lately
 
     def whole(self, text: str) -> bytes:
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return self._ids(text).astype(self.dtype).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Units of the words, each after a space."""
-        if len(self.units) + len(words) > CACHE_UNITS:
-            self.units.clear()
-        sound = []
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+
+    def _learn(self, words: list[str]) -> dict[str, bytes | bool]:
+        """Units of distinct words, each after a space; False where the word is no safe place to cut."""
+        out: dict[str, bytes | bool] = {w: False for w in words if not w or w[0].isspace()}
+        sound, split = [], []
         for w in words:
-            if not w or w[0].isspace():
-                self.units[w] = None  # not a safe place to cut
-            else:
-                sound.append(w)
+            if w not in out:
+                core = w.rstrip(TAILS)  # a run of letters ends where punctuation begins, so ids of both parts are the whole's
+                if core and len(core) < len(w) and core[-1].isalpha():
+                    split.append((w, core, w[len(core) :]))
+                else:
+                    sound.append(w)
+        fresh = {core for _, core, _ in split if core not in self.units and core not in out}
+        sound += fresh.difference(sound)
         for at in range(0, len(sound), 1000):
             part = sound[at : at + 1000]
-            ids = np.array(self.tokenizer.encode("".join([" " + w for w in part]), add_special_tokens=False).ids, np.int64)
+            ids = self._ids("".join([" " + w for w in part]))
             ends = np.cumsum(self.lengths[ids])
             cuts = np.cumsum([len(w.encode()) + 1 for w in part])
             place = np.searchsorted(ends, cuts)
             if len(ends) and place[-1] < len(ends) and (ends[place] == cuts).all():
                 raw, step, a = ids.astype(self.dtype).tobytes(), self.dtype.itemsize, 0
                 for w, z in zip(part, ((place + 1) * step).tolist(), strict=True):
-                    self.units[w] = raw[a:z]
+                    out[w] = raw[a:z]
                     a = z
             else:
                 for w in part:
-                    self.units[w] = self.whole(" " + w)
+                    out[w] = self.whole(" " + w)
+        for w, core, tail in split:
+            if tail not in self.tails:
+                self.tails[tail] = self.whole(tail)
+            head = out[core] if core in out else self.units[core]
+            out[w] = head and head + self.tails[tail]
+        if len(self.tails) > 10_000:
+            self.tails.clear()
+        if len(self.units) < CACHE_UNITS:
+            self.units.update(out)
+        elif len(words) > 4 * self.usual:  # other texts than those the cache was filled with
+            self.units.clear()
+        self.usual = max(100, 0.99 * self.usual + 0.01 * len(words))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        get = self.units.get
         split = [t.split(" ") for t in texts]
-        new: set[str] = set()
-        for words in split:
-            new.update(words[1:])
-        new.difference_update(self.units)
-        if new:
-            if len(self.units) + len(new) > CACHE_UNITS:
-                new.update(*(words[1:] for words in split))  # the cache starts anew
-            self._learn(sorted(new))
-        get, out = self.units.__getitem__, []
-        for text, words in zip(texts, split, strict=True):
-            parts = list(map(get, words[1:]))
-            if None in parts:
+        parts = [list(map(get, words)) for words in split]  # the first word has no space before it and is set below
+        gaps = [[i for i, p in enumerate(row) if p is None] for row in parts]
+        learnt = self._learn(list({words[i] for words, row in zip(split, gaps, strict=True) for i in row if i}))
+        out = []
+        for text, words, row, gap in zip(texts, split, parts, gaps, strict=True):
+            for i in gap:
+                if i:
+                    row[i] = learnt[words[i]]
+            row[0] = self.whole(words[0]) if words[0] else b""
+            try:
+                out.append(b"".join(row))
+            except TypeError:
                 out.append(self.whole(text))
-            else:
-                out.append((self.whole(words[0]) if words[0] else b"") + b"".join(parts))
         return out
 
 

@@ -20,7 +20,7 @@ def direct(texts):
 
 def test_units_equal_whole_texts():
     rng = random.Random(1)
-    alphabet = ["a", "The", "é", " ", " ", "  ", "\n", "\t", ".", ",", "'s", "12", "😀", "<|endoftext|>", " ", "\r\n", "word", "!"]
+    alphabet = ["a", "The", "é", " ", " ", "  ", "\n", "\t", ".", ",", "'s", "12", "😀", "<|endoftext|>", " ", "\r\n", "word", "!", "it's,", "a1.", "b?!.", "x,y"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 30))) for _ in range(4000)] + ["", " ", "  ", " a", "a ", "x" * 5000]
     got = S.encoder(S.default_vocabulary()).encode(texts)
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == direct(texts)
