@@ -113,8 +113,8 @@ def systematic_sample(docs, k: int = 100):
 
 @query(
     "quota_classify",
-    "SELECT kind, count(*) AS n FROM (SELECT CASE WHEN code = 402 THEN 'terminal' WHEN code = 429 AND regexp_matches(lower(message), 'insufficient|quota|billing|credit') THEN 'terminal' ELSE 'transient' END AS kind FROM errors) GROUP BY 1",
-    errors="SELECT CASE CAST(event_id % 4 AS INT) WHEN 0 THEN 402 WHEN 1 THEN 429 WHEN 2 THEN 500 ELSE 429 END AS code, CASE WHEN event_id % 3 = 0 THEN 'Quota exceeded' ELSE 'Too many requests' END AS message FROM {events}",
+    "SELECT kind, count(*) AS n FROM (SELECT CASE WHEN code = 402 THEN 'terminal' WHEN code = 429 AND regexp_matches(lower(message), 'exceeded your current quota|requests_per_model_per_day|per_day|billing|insufficient credits') THEN 'terminal' ELSE 'transient' END AS kind FROM errors) GROUP BY 1",
+    errors="SELECT CASE CAST(event_id % 4 AS INT) WHEN 0 THEN 402 WHEN 1 THEN 429 WHEN 2 THEN 500 ELSE 429 END AS code, CASE WHEN event_id % 3 = 0 THEN 'You exceeded your current quota' ELSE 'Too many requests' END AS message FROM {events}",
 )
 def quota_classify(errors):
     return errors.groupBy(X.quota_kind(F.col("code"), F.col("message")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
