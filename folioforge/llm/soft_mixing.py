@@ -11,7 +11,6 @@ profile: one small aggregation per step, whatever the corpus.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -36,22 +35,26 @@ class Domains:
     table: dict[str, list[list[float]]]  # feature -> domain -> bin
 
 
-def _share(text: Column, pattern: str) -> Column:
-    """Bin of the share of a text's characters that begin a match."""
-    share = F.regexp_count(text, F.lit(pattern)) / F.greatest(F.length(text), F.lit(1))
-    return F.least(F.floor(F.log2(1 + 1000 * share)), F.lit(BINS - 1)).cast("int")
+def _binned(share: Column, scale: float = 1000.0) -> Column:
+    return F.least(F.floor(F.log2(1 + scale * share)), F.lit(BINS - 1)).cast("int")
 
 
-def feature_bins(text: Column, lexicons: Mapping[str, list[str]]) -> dict[str, Column]:
+def words_of(text: Column) -> Column:
+    """Lower-case runs of letters and digits, in order."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def feature_bins(text: Column, words: Column, lexicons: Mapping[str, list[str]]) -> dict[str, Column]:
+    """Bins from a text and its words; both should be plain columns, as words is used several times."""
+    chars, count = F.greatest(F.length(text), F.lit(1)), F.greatest(F.size(words), F.lit(1))
     out = {
-        "upper": _share(text, r"\p{Lu}"),
-        "symbol": _share(text, r"[!%$*&#|@^~]"),
-        "repeat": _share(text, r"(?<![^\s])([^\s]{1,40})\s\1(?![^\s])"),
+        "upper": _binned(F.regexp_count(text, F.lit(r"\p{Lu}")) / chars),
+        "symbol": _binned(F.regexp_count(text, F.lit(r"[!%$*&#|@^~]")) / chars),
+        "repeat": _binned(F.size(F.filter(words, lambda w, i: (i > 0) & (w == F.get(words, i - 1)))) / count),
     }
-    for name, words in lexicons.items():
-        if words:
-            count = F.regexp_count(text, F.lit(rf"(?<!\p{{L}})(?i:{'|'.join(map(re.escape, words))})(?!\p{{L}})"))
-            out[f"words_{name}"] = F.least(F.floor(F.log2(1 + count)), F.lit(BINS - 1)).cast("int")
+    for name, lexicon in lexicons.items():
+        if lexicon:
+            out[f"words_{name}"] = _binned(F.size(F.array_intersect(words, F.array(*map(F.lit, lexicon)))), 1.0)
     return out
 
 
@@ -64,11 +67,11 @@ def fit_domains(docs: DataFrame, labels: DataFrame, names: list[str], rows: int
     known = labels.select(F.col("doc_id").alias("_id"), F.col("domain").alias("_y")).filter(F.col("_id").isNotNull() & F.col("_y").isin(names))
     known = known.groupBy("_id").agg(F.min("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    sample = stored(texts.join(F.broadcast(known), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.min("_y").alias("_y")), "mix-sample")
+    sample = texts.join(F.broadcast(known), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.min("_y").alias("_y"))
+    sample = stored(sample.withColumn("_words", words_of(F.col("_text"))), "mix-sample")
     size = {r["_y"]: r["n"] for r in sample.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(size.values())
-    words = F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(r"\p{L}{3,30}"), F.lit(0)))
-    each = sample.select("_y", F.explode(words).alias("w")).groupBy("w").pivot("_y", names).agg(F.count(F.lit(1))).fillna(0)
+    each = sample.select("_y", F.explode(F.array_distinct("_words")).alias("w")).groupBy("w").pivot("_y", names).agg(F.count(F.lit(1))).fillna(0)
     each = stored(each, "mix-words")
     lexicons = {}
     for name in names:
@@ -77,7 +80,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, names: list[str], rows: int
         ratio = (inside + 0.5) / (own + 1) / ((outside + 0.5) / (others + 1))
         top = each.filter((inside >= 5) & (ratio > 4)).orderBy(ratio.desc(), "w").limit(LEXICON)
         lexicons[name] = [r["w"] for r in top.select("w").collect()] if name != max(names, key=lambda n: size.get(n, 0)) else []
-    bins = feature_bins(F.col("_text"), lexicons)
+    bins = feature_bins(F.col("_text"), F.col("_words"), lexicons)
     pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("f"), b.alias("b")) for f, b in bins.items())))
     counts = {(r["_y"], r["f"], r["b"]): r["n"] for r in sample.select("_y", pairs.alias("x")).groupBy("_y", "x.f", "x.b").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = {f: [[math.log((counts.get((k, f, b), 0) + 0.5) / (size.get(k, 0) + 0.5 * BINS)) for b in range(BINS)] for k in names] for f in bins}
@@ -96,7 +99,7 @@ def posteriors(model: Domains, bins: Mapping[str, Column]) -> list[Column]:
     return [p / whole for p in parts]
 
 
-def fit_rates(profiles: DataFrame, names: list[str], targets: Mapping[str, float], budget: float | None = None, max_rate: float | None = None, steps: int = 40, tolerance: float = 1e-5) -> tuple[DataFrame, dict[str, float]]:
+def fit_rates(profiles: DataFrame, names: list[str], targets: Mapping[str, float], budget: float | None = None, max_rate: float | None = None, steps: int = 40, tolerance: float = 1e-4) -> tuple[DataFrame, dict[str, float]]:
     """(profiles with a column rate, expected share of each domain).
 
     profiles: tokens and p_<domain> per group of documents.  Minimises the
@@ -140,29 +143,38 @@ def _copies(rate: Column, key: Column) -> Column:
     return (F.floor(rate) + (chance < rate - F.floor(rate)).cast("int")).cast("int")
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, budget: float | None = None, max_rate: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of docs with _tokens, _p_<domain>, _rate and _copies.
+def featured(docs: DataFrame, model: Domains, id_col: str, text_col: str) -> DataFrame:
+    """docs with _tokens (words of letters and digits) and one _b_ column per feature."""
+    out = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_words", words_of(F.col("_text")))
+    bins = {f"_b_{f}": b for f, b in feature_bins(F.col("_text"), F.col("_words"), model.lexicons).items()}
+    return out.withColumns({"_tokens": F.size("_words").cast("long"), **bins}).drop("_text", "_words")
 
-    Tokens are white-space words.  A null text counts as empty and has no
-    tokens, but a rate like any other.  Null ids share one draw; repeated ids
-    too.  Without labels every document has the prior's posterior.
-    """
-    names = sorted(targets)
-    model = fit_domains(docs, labels, names, id_col=id_col, text_col=text_col)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    bins = {f"_b_{f}": b for f, b in feature_bins(text, model.lexicons).items()}
-    tokens = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    seen = docs.select(tokens.alias("tokens"), *(b.alias(k) for k, b in bins.items()))
-    profiles = stored(seen.groupBy(*bins).agg(F.sum("tokens").alias("tokens")).coalesce(1), "mix-profiles")
+
+def _rated(rows: DataFrame, profiles: DataFrame, model: Domains, targets: Mapping[str, float], budget: float | None, max_rate: float | None, id_col: str) -> DataFrame:
+    """rows of ``featured`` with posteriors, rates and copies; profiles: tokens per combination of bins."""
+    names, bins = model.names, [f"_b_{f}" for f in model.table]
     named = [p.alias(f"p_{k}") for k, p in zip(names, posteriors(model, {f: F.col(f"_b_{f}") for f in model.table}), strict=True)]
-    rates, _ = fit_rates(stored(profiles.select("*", *named), "mix-profiles"), names, targets, budget, max_rate)
+    rates, _ = fit_rates(stored(profiles.coalesce(1).select("*", *named), "mix-profiles"), names, targets, budget, max_rate)
     # at most BINS ** features rows of a few numbers: 2 MB for five features
     side = F.broadcast(stored(rates.select(*(F.col(k).alias(f"{k}_") for k in bins), *(F.col(f"p_{k}").alias(f"_p_{k}") for k in names), F.col("rate").alias("_rate")), "mix-rates"))
-    out = docs.withColumns({"_tokens": tokens, **bins})
-    out = out.join(side, [F.col(k) == F.col(f"{k}_") for k in bins]).drop(*bins, *(f"{k}_" for k in bins))
+    out = rows.join(side, [F.col(k) == F.col(f"{k}_") for k in bins]).drop(*bins, *(f"{k}_" for k in bins))
     return out.withColumn("_copies", _copies(F.col("_rate"), F.col(id_col)))
 
 
+def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, budget: float | None = None, max_rate: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All rows and columns of docs with _tokens, _p_<domain>, _rate and _copies.
+
+    Tokens are words of letters and digits.  A null text counts as empty and
+    has no tokens, but a rate like any other.  Null ids share one draw;
+    repeated ids too.  Without labels every document has the prior's posterior.
+    Features are worked out twice, so that no text is written or shuffled.
+    """
+    model = fit_domains(docs, labels, sorted(targets), id_col=id_col, text_col=text_col)
+    rows = featured(docs, model, id_col, text_col)
+    profiles = stored(rows.groupBy(*(f"_b_{f}" for f in model.table)).agg(F.sum("_tokens").alias("tokens")), "mix-profiles")
+    return _rated(rows, profiles, model, targets, budget, max_rate, id_col)
+
+
 def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, max_rate: float | None = None, **kw) -> DataFrame:
     """docs with every row as often as its copies say, and the columns of docs."""
     out = mix(docs, labels, targets, max_rate=max_rate, **kw)
@@ -178,5 +190,9 @@ def domain_labels(labels: DataFrame) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = sorted(TARGETS)
-    out = mix(read(spark, sf_dir, "documents"), domain_labels(read(spark, sf_dir, "labels")))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_domains(docs, domain_labels(read(spark, sf_dir, "labels")), names)
+    rows = stored(featured(docs, model, "doc_id", "text").drop("text"), "mix-features")
+    profiles = rows.groupBy(*(f"_b_{f}" for f in model.table)).agg(F.sum("_tokens").alias("tokens"))
+    out = _rated(rows, profiles, model, TARGETS, None, None, "doc_id")
     return out.select("doc_id", F.col("_tokens").alias("tokens"), *(F.col(f"_p_{k}").alias(f"p_{k}") for k in names), F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
