@@ -69,7 +69,7 @@ _PART = ", ".join(f"'{p.replace(chr(39), chr(39) * 2)}'" for p in X.PARTICLES)
              WHEN len(string_split_regex(x, '[''’]')) = 2 THEN upper(string_split_regex(x, '[''’]')[1][1]) || lower(string_split_regex(x, '[''’]')[1][2:]) || '''' || CASE WHEN string_split_regex(x, '[''’]')[2][1] = 'ß' THEN 'Ss' ELSE upper(string_split_regex(x, '[''’]')[2][1]) END || lower(string_split_regex(x, '[''’]')[2][2:])
              ELSE CASE WHEN x[1] = 'ß' THEN 'Ss' ELSE upper(x[1]) END || lower(x[2:]) END), ' ') AS clean FROM names)
     SELECT doc_id, clean, min(pos) AS pos FROM w WHERE clean <> '' GROUP BY doc_id, clean""",
-    names="SELECT doc_id, p.pos, CASE CAST(p.pos % 4 AS INT) WHEN 0 THEN concat('côte d''', split_part(text, ' ', p.pos)) WHEN 1 THEN concat(' DE ', split_part(text, ' ', p.pos), '  ', upper(split_part(text, ' ', p.pos + 1))) ELSE split_part(text, ' ', p.pos) END AS name FROM {documents} CROSS JOIN (SELECT 1 AS pos UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5 UNION ALL SELECT 6) p",
+    names="SELECT doc_id, p.pos, CASE CAST(p.pos % 4 AS INT) WHEN 0 THEN concat('côte d''', split_part(text, ' ', p.pos)) WHEN 1 THEN concat(' DE ', split_part(text, ' ', p.pos), '  ', upper(replace(split_part(text, ' ', p.pos + 1), 'ß', 's'))) ELSE split_part(text, ' ', p.pos) END AS name FROM {documents} CROSS JOIN (SELECT 1 AS pos UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5 UNION ALL SELECT 6) p",
 )
 def entity_clean_dedup(names):
     return names.select("doc_id", "pos", X.clean_entity(F.col("name")).alias("clean")).filter("clean <> ''").groupBy("doc_id", "clean").agg(F.min("pos").alias("pos"))
