@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted, spread, stored
+from .common import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(v, c): every vertex of edges (a, b) with the smallest vertex it is connected to.
 
     Labels fall to the smallest of the neighbours' and then jump to their
-    label's label, until nothing changes.  Sums and minima are combined before
-    each shuffle and joins are salted, so a vertex may have any degree.
+    label's label, until nothing changes.  Minima are combined before each
+    shuffle, and both sides of each join come from tables, so that adaptive
+    execution splits a vertex of any degree.
     """
     both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).filter("a <> b").distinct(), "edges")
     labels = stored(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("c")).select("v", F.least("v", "c").alias("c")), "labels")
-    to = salted(both, F.col("a"))
     while True:
-        near = to.join(spread(labels).select(F.col("v").alias("b"), "_salt", "c"), ["b", "_salt"]).groupBy(F.col("a").alias("v")).agg(F.min("c").alias("n"))
-        low = labels.join(near, "v").select("v", F.least("c", "n").alias("m"), F.col("c").alias("was"))
-        jump = spread(labels).select(F.col("v").alias("m"), "_salt", F.col("c").alias("j"))
-        new = stored(salted(low, F.col("v")).join(jump, ["m", "_salt"]).select("v", F.least("m", "j").alias("c"), "was"), "labels")
+        near = both.join(labels.select(F.col("v").alias("b"), "c"), "b").groupBy(F.col("a").alias("v")).agg(F.min("c").alias("n"))
+        low = stored(labels.join(near, "v").select("v", F.least("c", "n").alias("m"), F.col("c").alias("was")), "low")
+        new = stored(low.join(labels.select(F.col("v").alias("m"), F.col("c").alias("j")), "m").select("v", F.least("m", "j").alias("c"), "was"), "labels")
         changed = new.filter("c <> was").limit(1).count()
         labels = new.select("v", "c")
         if not changed:

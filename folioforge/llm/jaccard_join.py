@@ -9,7 +9,9 @@ surviving pairs are then accumulated over whole rows.
 
 Pairs serve only to find components, so a column with many rows is not
 expanded: first every row of a column is paired with the column's smallest
-row, then only rows of different components that share a column are paired.
+row, then in a few turns with a neighbour of another component, and at the end
+all rows of different components that share a column are paired.  Pairs whose
+n-gram histograms prove them too far apart are dropped before rows travel.
 No column, pair or partner is capped.
 """
 
@@ -20,18 +22,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import FILTER_BITS, member_filter, probe, read, salted, spread, stored
+from .common import FILTER_BITS, member_filter, probe, read, stored
 from .components import components
 from .wordhash import SPACED, mix, ngrams, portions, utf8, word_hashes
 
 NGRAM = 5
 PERCENT = 80
-SKETCH_BITS = 22  # counters of the frequency sketch: 16 MB a task, at most 4 M rows of it to the driver
-HEAVY = 16  # counters below this in a task are not worth a row: the order is only a matter of speed
+SKETCH_BITS = 22  # counters of the frequency sketch: 16 MB in a task and on the driver, whatever the input
+SKETCH_PARTS = 64
+FAN_IN = 256  # sketches added up by one task
 BLOCK_ENTRIES = 200_000
+TURNS = 3  # turns of neighbour pairs before all pairs of different components are taken
 LOW56 = np.uint64((1 << 56) - 1)
 
 
@@ -77,36 +83,61 @@ class _Seen:
         return True
 
 
-SUMMARY = "kind int, doc_id long, n long, sig long"
+SUMMARY = "kind int, doc_id long, n long, sig long, counts binary"
 
 
 def _summaries(n: int):
-    """Per row (0, id, set size, signature); per common sketch counter (1, counter, count, null)."""
+    """Per row (0, id, set size, signature); per part of the task's frequency sketch (1, part, task, null, counts)."""
 
     def run(batches):
         sketch, seen = np.zeros(1 << SKETCH_BITS, np.int32), _Seen()
         ids, sizes, sigs = [], [], []
 
-        def out(kind, a, b, c):
-            return pa.RecordBatch.from_arrays([pa.array([kind] * len(a), pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], ["kind", "doc_id", "n", "sig"])
+        def out(kind, a, b, c, data):
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(a), pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(data, pa.binary())], ["kind", "doc_id", "n", "sig", "counts"])
 
         for i, grams in _rows_of(batches, n):
             sig = _signature(grams) if len(grams) else None
             if sig is not None and seen.first(sig):
-                sketch[(grams & LOW56) >> np.uint64(56 - SKETCH_BITS)] += 1
+                np.add.at(sketch, (grams & LOW56) >> np.uint64(56 - SKETCH_BITS), 1)
             ids.append(i), sizes.append(len(grams)), sigs.append(sig)
             if len(ids) >= 10_000:
-                yield out(0, ids, sizes, sigs)
+                yield out(0, ids, sizes, sigs, [None] * len(ids))
                 ids, sizes, sigs = [], [], []
-        yield out(0, ids, sizes, sigs)
-        at = np.flatnonzero(sketch >= HEAVY)
-        for k in range(0, len(at), 100_000):
-            part = at[k : k + 100_000]
-            yield out(1, part, sketch[part].astype(np.int64), [None] * len(part))
+        yield out(0, ids, sizes, sigs, [None] * len(ids))
+        if sketch.any():
+            task = TaskContext.get().partitionId()
+            yield out(1, list(range(SKETCH_PARTS)), [task] * SKETCH_PARTS, [None] * SKETCH_PARTS, [zlib.compress(x.astype("<i8").tobytes(), 1) for x in np.split(sketch, SKETCH_PARTS)])
 
     return run
 
 
+def _added(group: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(zlib.decompress(x), "<i8") for x in group.column("counts").to_pylist())
+    return pa.table({"doc_id": group.column("doc_id")[:1], "n": group.column("n")[:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+
+def frequency_classes(sketches: DataFrame) -> np.ndarray:
+    """Per counter of the corpus-wide sketch a class that grows with its logarithm.
+
+    Sketches of tasks are added up as a tree of ``FAN_IN``; the driver gets one.
+    """
+    top = sketches.agg(F.max("n")).first()[0]
+    classes = np.zeros(1 << SKETCH_BITS, np.uint8)
+    if top is None:
+        return classes
+    while True:
+        sketches = sketches.withColumn("n", F.floor(F.col("n") / FAN_IN)).groupBy("doc_id", "n").applyInArrow(_added, "doc_id long, n long, counts binary")
+        top //= FAN_IN
+        if not top:
+            break
+    for r in sketches.collect():
+        counts = np.frombuffer(zlib.decompress(r["counts"]), "<i8")
+        at = r["doc_id"] * len(counts)
+        classes[at : at + len(counts)] = np.minimum(np.round(5 * np.log2(1 + counts)), 255)
+    return classes
+
+
 def ordered(grams: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Column keys whose numeric order puts rare n-grams first: frequency class in 8 bits, hash in 56."""
     low = grams & LOW56
@@ -120,6 +151,16 @@ def prefix_length(size: int, percent: int) -> int:
 ENTRY = np.dtype([("key", "<u8"), ("sig", "<i8"), ("n", "<i4")])
 
 
+HOT_CLASS = int(np.round(5 * np.log2(1 + 100_000)))  # columns of more than about 100,000 rows are split over blocks
+
+
+def _salt_of(entries: np.ndarray) -> np.ndarray:
+    """0, but for hot columns a number below their rows / 100,000 by the row's signature."""
+    over = np.maximum((entries["key"] >> np.uint64(56)).astype(np.int64) - HOT_CLASS, -1)
+    salts = np.where(over < 0, 1, 2 ** np.minimum(over // 5 + 1, 20))
+    return (mix(entries["sig"].astype(np.uint64)) % salts.astype(np.uint64)).astype(np.uint64)
+
+
 def _prefixes(n: int, percent: int, classes, blocks: int):
     """Per block of columns, packed entries of the rows' prefixes."""
 
@@ -129,7 +170,8 @@ def _prefixes(n: int, percent: int, classes, blocks: int):
 
         def flush():
             entries = np.concatenate(held)
-            block = (entries["key"] & np.uint64(blocks - 1)).astype(np.int64)
+            block = (entries["key"] + _salt_of(entries)) & np.uint64(blocks - 1)
+            block = block.astype(np.int64)
             order = np.argsort(block, kind="stable")
             entries, block = entries[order], block[order]
             cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
@@ -179,7 +221,8 @@ def _column_block(percent: int):
         pairs["a"], pairs["na"] = entries["sig"][head[rest]], entries["n"][head[rest]]
         pairs["b"], pairs["nb"] = entries["sig"][rest], entries["n"][rest]
         pairs = np.unique(pairs[100 * pairs["na"] >= percent * pairs["nb"]])
-        wide = entries[np.repeat(width >= 3, width)]
+        hot = (key >> np.uint64(56)).astype(np.int64) >= HOT_CLASS  # other blocks hold more of these columns
+        wide = entries[np.repeat(width >= 3, width) | hot]
         kind = np.r_[np.zeros(len(pairs), np.int32), np.ones(len(wide), np.int32)]
         none = np.zeros(len(wide), np.int64)
         arrays = [
@@ -195,13 +238,35 @@ def _column_block(percent: int):
     return run
 
 
+def histogram(grams: np.ndarray) -> bytes:
+    """Counts of the n-grams by hash, about two per counter; saturating at 255, so differences are only understated."""
+    bits = min(12, max(4, len(grams).bit_length() - 2))
+    return np.minimum(np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+@F.arrow_udf(returnType=T.BooleanType())
+def _may_link(ha: pa.Array, na: pa.Array, hb: pa.Array, nb: pa.Array, percent: pa.Array) -> pa.Array:
+    """False only where the histograms prove too many n-grams of one set to be missing in the other."""
+    out = []
+    for a, m, b, n, p in zip(ha, na.to_pylist(), hb, nb.to_pylist(), percent.to_pylist(), strict=True):
+        x, y = np.frombuffer(a.as_buffer(), np.uint8).astype(np.int32), np.frombuffer(b.as_buffer(), np.uint8).astype(np.int32)
+        if len(x) > len(y):  # neighbouring counters of the finer one add up
+            x = x.reshape(len(y), -1).sum(1)
+        elif len(y) > len(x):
+            y = y.reshape(len(x), -1).sum(1)
+        apart = int(np.abs(x - y).sum())
+        shared = (m + n - apart) // 2
+        out.append(100 * shared >= p * (m + n - shared))
+    return pa.array(out, pa.bool_())
+
+
 def _sets(n: int):
     def run(batches):
         for batch in batches:
             raw, offsets = utf8(batch.column(1))
             for s, e in portions(offsets):
                 sets = [g for g in gram_sets(raw[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s], n) if len(g)]
-                yield pa.RecordBatch.from_arrays([pa.array([_signature(g) for g in sets], pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary())], ["sig", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array([_signature(g) for g in sets], pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary()), pa.array([histogram(g) for g in sets], pa.binary())], ["sig", "grams", "hist"])
 
     return run
 
@@ -235,33 +300,55 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, perce
     Whole rows are fetched only for signatures in pairs; each travels once per
     hub it is compared with, and a hub's copies are spread over salts.
     """
-    pairs = stored(pairs.distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    wanted = stored(ends.join(classes.select("sig", "rep"), "sig"), "wanted")
+    wanted = stored(ends.join(classes.select("sig", "n", "rep"), "sig"), "wanted")
     some = probe(docs.withColumn("_key", F.col("doc_id")), "_key", member_filter(wanted, "rep"), "_in", FILTER_BITS).filter("_in").select("doc_id", "text")
-    grams = some.mapInArrow(_sets(n), "sig long, grams binary")  # an id may repeat with other texts, a signature may not
-    rows = stored(grams.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.first("grams").alias("grams")), "rows")
+    grams = some.mapInArrow(_sets(n), "sig long, grams binary, hist binary")  # an id may repeat with other texts, a signature may not
+    rows = stored(grams.join(wanted.select("sig", "n"), "sig").groupBy("sig").agg(F.first("n").alias("n"), F.first("grams").alias("grams"), F.first("hist").alias("hist")), "rows")
+    side = lambda x: rows.select(F.col("sig").alias(x), F.col("hist").alias(f"h{x}"), F.col("n").alias(f"n{x}"))
+    bounded = pairs.join(side("b"), "b").join(side("a"), "a").filter(_may_link("ha", "na", "hb", "nb", F.lit(percent)))
+    pairs = stored(bounded.select("a", "b"), "pairs")
     salt = F.pmod(F.xxhash64("b"), F.lit(16)).cast("int").alias("salt")
-    spokes = salted(pairs, F.col("a")).join(spread(rows.withColumnRenamed("sig", "b")), ["b", "_salt"]).select("a", "b", salt, F.lit(1).alias("role"), "grams")
-    hubs = pairs.select("a", salt).distinct().join(rows.withColumnRenamed("sig", "a"), "a").select("a", F.lit(None).cast("long").alias("b"), "salt", F.lit(0).alias("role"), "grams")
+    spokes = pairs.join(rows.select(F.col("sig").alias("b"), "grams"), "b").select("a", "b", salt, F.lit(1).alias("role"), "grams")
+    hubs = pairs.select("a", salt).distinct().join(rows.select(F.col("sig").alias("a"), "grams"), "a").select("a", F.lit(None).cast("long").alias("b"), "salt", F.lit(0).alias("role"), "grams")
     both = hubs.unionByName(spokes).repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
     return stored(both.mapInArrow(_verify(percent), "a long, b long"), "links")
 
 
-def _across(columns: DataFrame, label: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows of one column that lie in different components, within the size bounds and not tested yet."""
+def _open(columns: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows of the columns that still hold rows of several components: key, a, na, c, width."""
     named = columns.join(label, F.col("a") == F.col("v")).select("key", "a", "na", "c")
-    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    open_ = stored(named.join(mixed, "key", "left_semi"), "open")
+    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("width")).filter("lo < hi")
+    return stored(named.join(stored(mixed.select("key", "width"), "mixed"), "key"), "open")
+
+
+def _ordered_pair(a: str, b: str) -> list:
+    """The smaller set first, ties by signature."""
+    swap = (F.col(f"n{b}") < F.col(f"n{a}")) | ((F.col(f"n{b}") == F.col(f"n{a}")) & (F.col(b) < F.col(a)))
+    return [F.when(swap, F.col(b)).otherwise(F.col(a)).alias("a"), F.when(swap, F.col(a)).otherwise(F.col(b)).alias("b")]
+
+
+def _neighbours(open_: DataFrame, turn: int, percent: int) -> DataFrame:
+    """A linear number of pairs: in an order of its own for every turn, each row of a column with the next if that is of another component.
+
+    Wide columns are dealt into bins of about 200 rows.
+    """
+    packed = open_.groupBy("key", F.pmod(F.xxhash64("a", F.lit(-turn)), F.ceil(F.col("width") / 200).cast("long")).alias("bin")).agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("a", F.lit(turn)).alias("o"), "a", "na", "c"))).alias("x"))
+    steps = F.transform(F.sequence(F.lit(0), F.size("x") - 2), lambda i: F.struct(F.get("x", i).alias("p"), F.get("x", i + 1).alias("q")))
+    near = packed.filter("size(x) > 1").select(F.explode(steps).alias("s")).select(F.col("s.p.a").alias("p"), F.col("s.p.na").alias("np"), F.col("s.p.c").alias("cp"), F.col("s.q.a").alias("q"), F.col("s.q.na").alias("nq"), F.col("s.q.c").alias("cq"))
+    near = near.filter(f"cp <> cq and 100 * nq >= {percent} * np and 100 * np >= {percent} * nq")
+    return near.select(*_ordered_pair("p", "q")).distinct()
+
+
+def _across(open_: DataFrame, percent: int) -> DataFrame:
+    """All pairs of rows of one column that lie in different components, within the size bounds."""
     parts = open_.groupBy("key", "c").agg(F.min("na").alias("least"), F.max("na").alias("most"))
     other = parts.select("key", F.col("c").alias("c2"), F.col("least").alias("least2"), F.col("most").alias("most2"))
     meet = parts.join(other, "key").filter(f"c < c2 and 100 * most2 >= {percent} * least and 100 * most >= {percent} * least2").select("key", "c", "c2")
     one = meet.join(open_, ["key", "c"]).select("key", "c2", "a", "na")
     two = one.join(open_.select("key", F.col("c").alias("c2"), F.col("a").alias("b"), F.col("na").alias("nb")), ["key", "c2"])
     two = two.filter(f"100 * nb >= {percent} * na and 100 * na >= {percent} * nb")
-    swap = (F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a")))
-    two = two.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
-    return two.join(tested, ["a", "b"], "left_anti")
+    return two.select(*_ordered_pair("a", "b")).distinct()
 
 
 def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -279,28 +366,32 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     summary = stored(docs.mapInArrow(_summaries(n), SUMMARY), "summaries")
     own = summary.filter("kind = 0").select("doc_id", "n", "sig")
     classes = stored(own.filter("sig is not null").groupBy("sig").agg(F.min("n").alias("n"), F.min("doc_id").alias("rep")), "classes")
-    counters = summary.filter("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).select(F.col("doc_id").alias("at"), F.floor(F.log2("n")).cast("int").alias("f")).toArrow()
-    order = np.zeros(1 << SKETCH_BITS, np.uint8)
-    order[counters["at"].to_numpy()] = counters["f"].to_numpy()
+    order = frequency_classes(summary.filter("kind = 1").select("doc_id", "n", "counts"))
     order = spark.sparkContext.broadcast(zlib.compress(order.tobytes(), 1))
     entries = classes.agg(F.sum(F.expr(f"n - cast(floor(({percent} * n + 99) / 100) as long) + 1"))).first()[0] or 0
     blocks = 1 << max(10, int(np.ceil(np.log2(max(1, entries / BLOCK_ENTRIES)))))
     packed = docs.mapInArrow(_prefixes(n, percent, order, blocks), "block long, entries binary")
     product = stored(packed.groupBy("block").applyInArrow(_column_block(percent), COLUMNS), "product")
-    pairs = product.filter("kind = 0").select("a", "b").distinct()
-    tested = stored(pairs, "tested")
+    tested = stored(product.filter("kind = 0").select("a", "b").distinct(), "tested")
     links = _linked(docs, classes, tested, n, percent)
     columns = product.filter("kind = 1").select("key", "a", "na")
+    members = stored(columns.select(F.col("a").alias("v")).distinct(), "members")
     inside = components(links)
-    label = columns.select("a").distinct().join(inside, F.col("a") == F.col("v"), "left").select(F.col("a").alias("v"), F.coalesce("c", "a").alias("c"))
-    more = stored(_across(columns, stored(label, "label"), tested, percent), "across")
-    if more.limit(1).count():
-        links = links.unionByName(_linked(docs, classes, more, n, percent))
-        inside = components(links)
+    for turn in range(1, TURNS + 2):
+        label = stored(members.join(inside, "v", "left").select("v", F.coalesce("c", "v").alias("c")), "label")
+        columns = _open(columns, label)
+        last = turn > TURNS
+        more = _across(columns, percent) if last else _neighbours(columns, turn, percent)
+        columns = columns.select("key", "a", "na")
+        more = stored(more.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if more.limit(1).count():
+            links = links.unionByName(_linked(docs, classes, more, n, percent))
+            tested = tested.unionByName(more)
+            inside = components(links)
     named = stored(classes.join(inside, F.col("sig") == F.col("v"), "left").select("sig", "rep", F.coalesce("c", "sig").alias("c")), "named")
-    least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
-    by_sig = salted(named, F.col("sig")).join(spread(least), ["c", "_salt"]).select("sig", "component_id")
-    full = salted(own.filter("sig is not null"), F.monotonically_increasing_id()).join(spread(by_sig), ["sig", "_salt"])
+    least = stored(named.groupBy("c").agg(F.min("rep").alias("component_id")), "least")
+    by_sig = stored(named.join(least, "c").select("sig", "component_id"), "by-sig")
+    full = own.filter("sig is not null").join(by_sig, "sig")  # both sides come from tables: adaptive execution splits a hot set
     alone = own.filter("sig is null").withColumn("component_id", F.col("doc_id"))
     return full.select("doc_id", "n", "component_id").unionByName(alone.select("doc_id", "n", "component_id")).withColumnRenamed("n", "n_shingles")
 
