@@ -8,11 +8,13 @@ columns; pairs outside the size bounds are dropped there.  Overlaps of the
 surviving pairs are then accumulated over whole rows.
 
 Pairs serve only to find components, so a column with many rows is not
-expanded: first every row of a column is paired with the column's smallest
-row, then in a few turns with a neighbour of another component, and at the end
-all rows of different components that share a column are paired.  Pairs whose
-n-gram histograms prove them too far apart are dropped before rows travel.
-No column, pair or partner is capped.
+expanded: every row of a column is paired with the column's smallest row, of
+these pairs first the one with the smallest row of all is tested, then those
+that still lie in different components.  Columns that still hold several
+components follow: in a few turns each row is paired with a neighbour of another
+component, and at the end all rows of different components that share a column.
+Pairs whose n-gram histograms prove them too far apart are dropped before rows
+travel.  No column, pair or partner is capped.
 """
 
 from __future__ import annotations
@@ -149,6 +151,30 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 ENTRY = np.dtype([("key", "<u8"), ("sig", "<i8"), ("n", "<i4")])
+PAIR = np.dtype([("b", "<i8"), ("a", "<i8"), ("na", "<i4")])
+SPAN = np.dtype([("key", "<u8"), ("lo", "<i8"), ("hi", "<i8"), ("width", "<i8")])
+
+
+def pack(items: np.ndarray) -> bytes:
+    """Records as compressed byte planes: what sorted or repeated values share costs little."""
+    return zlib.compress(np.ascontiguousarray(items).view(np.uint8).reshape(len(items), -1).T.tobytes(), 1)
+
+
+def unpack(data: bytes, dtype: np.dtype) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(dtype.itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+
+
+def unpacked(column: pa.ChunkedArray, dtype: np.dtype) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *(unpack(x, dtype) for x in column.to_pylist())])
+
+
+def packets(items: np.ndarray, dealt: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(numbers, packed records) of items dealt by number, each packet in the items' order."""
+    order = np.argsort(dealt, kind="stable")
+    items, dealt = items[order], dealt[order]
+    cuts = np.flatnonzero(np.r_[True, dealt[1:] != dealt[:-1], True]) if len(dealt) else np.zeros(1, np.int64)
+    return dealt[cuts[:-1]], [pack(items[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 HOT_CLASS = int(np.round(5 * np.log2(1 + 100_000)))  # columns of more than about 100,000 rows are split over blocks
@@ -169,14 +195,10 @@ def _prefixes(n: int, percent: int, classes, blocks: int):
         held, size = [], 0
 
         def flush():
-            entries = np.concatenate(held)
-            block = (entries["key"] + _salt_of(entries)) & np.uint64(blocks - 1)
-            block = block.astype(np.int64)
-            order = np.argsort(block, kind="stable")
-            entries, block = entries[order], block[order]
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
-            data = [entries[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]], pa.int64()), pa.array(data, pa.binary())], ["block", "entries"])
+            entries = np.sort(np.concatenate(held), order=["key", "sig"])
+            block = ((entries["key"] + _salt_of(entries)) & np.uint64(blocks - 1)).astype(np.int64)
+            numbers, data = packets(entries, block)
+            return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(data, pa.binary())], ["block", "entries"])
 
         for _, grams in _rows_of(batches, n):
             if not len(grams):
@@ -201,43 +223,127 @@ def _prefixes(n: int, percent: int, classes, blocks: int):
     return run
 
 
-COLUMNS = "kind int, key long, a long, na long, b long, nb long"
+PACKETS = "kind int, part long, data binary"
 
 
-def _column_block(percent: int):
-    """One block of the product: (0, null, a, |a|, b, |b|) pairs with each column's first row; (1, key, row, size, null, null) rows of columns with three or more."""
+def _column_block(percent: int, parts: int):
+    """One block of the product, dealt over parts by row: (0, part of b, packed PAIRs of b with each column's first row), (1, part of row, packed ENTRYs of columns with three rows or more)."""
 
     def run(block: pa.Table) -> pa.Table:
-        entries = np.concatenate([np.frombuffer(x, ENTRY) for x in block.column("entries").to_pylist()])
-        entries = np.unique(entries)  # by column, then signature; tasks may repeat a row
-        order = np.lexsort((entries["sig"], entries["n"], entries["key"]))
-        entries = entries[order]
+        entries = np.unique(unpacked(block.column("entries"), ENTRY))  # by column, then signature; tasks may repeat a row
+        entries = entries[np.lexsort((entries["sig"], entries["n"], entries["key"]))]
         key = entries["key"]
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         width = np.diff(np.r_[starts, len(key)])
         head = np.repeat(starts, width)
         rest = np.arange(len(key)) != head
-        pairs = np.empty(int(rest.sum()), [("a", "<i8"), ("na", "<i8"), ("b", "<i8"), ("nb", "<i8")])
-        pairs["a"], pairs["na"] = entries["sig"][head[rest]], entries["n"][head[rest]]
-        pairs["b"], pairs["nb"] = entries["sig"][rest], entries["n"][rest]
-        pairs = np.unique(pairs[100 * pairs["na"] >= percent * pairs["nb"]])
+        rest &= 100 * entries["n"][head].astype(np.int64) >= percent * entries["n"].astype(np.int64)
+        pairs = np.empty(int(rest.sum()), PAIR)
+        pairs["a"], pairs["na"], pairs["b"] = entries["sig"][head[rest]], entries["n"][head[rest]], entries["sig"][rest]
+        pairs = np.unique(pairs)
         hot = (key >> np.uint64(56)).astype(np.int64) >= HOT_CLASS  # other blocks hold more of these columns
         wide = entries[np.repeat(width >= 3, width) | hot]
-        kind = np.r_[np.zeros(len(pairs), np.int32), np.ones(len(wide), np.int32)]
-        none = np.zeros(len(wide), np.int64)
-        arrays = [
-            pa.array(kind),
-            pa.array(np.r_[np.zeros(len(pairs), np.int64), wide["key"].view("<i8") if len(wide) else none]),
-            pa.array(np.r_[pairs["a"], wide["sig"]]),
-            pa.array(np.r_[pairs["na"], wide["n"].astype(np.int64)]),
-            pa.array(np.r_[pairs["b"], none]),
-            pa.array(np.r_[pairs["nb"], none]),
-        ]
-        return pa.Table.from_arrays(arrays, ["kind", "key", "a", "na", "b", "nb"])
+        at0, data0 = packets(pairs, pairs["b"] % parts)
+        at1, data1 = packets(wide, wide["sig"] % parts)
+        kind = np.r_[np.zeros(len(at0), np.int32), np.ones(len(at1), np.int32)]
+        return pa.table({"kind": kind, "part": np.r_[at0, at1].astype(np.int64), "data": pa.array(data0 + data1, pa.binary())})
+
+    return run
+
+
+def _pairs_of(part: pa.Table) -> pa.Table:
+    """Distinct pairs of one part; first marks each row's pair with the smallest row."""
+    pairs = np.unique(unpacked(part.column("data"), PAIR))
+    pairs = pairs[np.lexsort((pairs["a"], pairs["na"], pairs["b"]))]
+    return pa.table({"a": pairs["a"], "b": pairs["b"], "first": np.r_[True, pairs["b"][1:] != pairs["b"][:-1]]})
+
+
+def _spans(parts: int):
+    """Columns of one part with the components of its rows: packed SPANs, dealt by column."""
+
+    def run(part: pa.Table, labels: pa.Table) -> pa.Table:
+        entries = unpacked(part.column("data"), ENTRY)
+        v, c = labels.column("v").to_numpy(), labels.column("c").to_numpy()
+        order = np.argsort(v)
+        v, c = v[order], c[order]
+        named = entries["sig"].copy()
+        if len(v):
+            at = np.minimum(np.searchsorted(v, named), len(v) - 1)
+            named = np.where(v[at] == named, c[at], named)
+        number, data = packets(span := _joined(entries["key"], named, named, np.ones(len(named), np.int64)), span["key"].view(np.int64) & (parts - 1))
+        return pa.table({"part": number.astype(np.int64), "data": pa.array(data, pa.binary())})
+
+    return run
+
+
+def _joined(key: np.ndarray, lo: np.ndarray, hi: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """One SPAN per key, in order."""
+    order = np.argsort(key, kind="stable")
+    key, lo, hi, width = key[order], lo[order], hi[order], width[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    out = np.empty(len(starts), SPAN)
+    if len(starts):
+        out["key"], out["lo"], out["hi"], out["width"] = key[starts], np.minimum.reduceat(lo, starts), np.maximum.reduceat(hi, starts), np.add.reduceat(width, starts)
+    return out
+
+
+def _mixed(part: pa.Table) -> pa.Table:
+    """Columns whose rows lie in several components."""
+    spans = unpacked(part.column("data"), SPAN)
+    spans = _joined(spans["key"], spans["lo"], spans["hi"], spans["width"])
+    spans = spans[spans["lo"] < spans["hi"]]
+    return pa.table({"key": spans["key"].view(np.int64), "width": spans["width"]})
+
+
+def _key_bits(words: DataFrame) -> np.ndarray:
+    """A member filter as an array: FILTER_BITS / 8 bytes, whatever the input."""
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.toLocalIterator():
+        out[r["w"]] = r["m"]
+    return out
+
+
+def _entries_in(bits):
+    """Rows of the columns that the filter may hold."""
+
+    def run(batches):
+        have = np.frombuffer(zlib.decompress(bits.value), np.uint64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                entries = unpack(x, ENTRY)
+                at = mix(entries["key"]) & np.uint64(FILTER_BITS - 1)
+                entries = entries[(have[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+                yield pa.RecordBatch.from_arrays([pa.array(entries["key"].view(np.int64)), pa.array(entries["sig"]), pa.array(entries["n"].astype(np.int64))], ["key", "a", "na"])
 
     return run
 
 
+def _bits_of(batches):
+    """Filter words in which the position of every key is set, per task."""
+    have = np.zeros(FILTER_BITS // 64, np.uint64)
+    for batch in batches:
+        at = mix(batch.column(0).to_numpy().view(np.uint64)) & np.uint64(FILTER_BITS - 1)
+        np.bitwise_or.at(have, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    w = np.flatnonzero(have)
+    yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(have[w].view(np.int64))], ["w", "m"])
+
+
+def _open_columns(wide: DataFrame, inside: DataFrame, parts: int) -> DataFrame:
+    """Rows (key, a, na) of the columns that hold rows of several components.
+
+    Per part of the rows the columns' smallest and largest component is worked
+    out first, so a column of any width sends one record per part.
+    """
+    spark = wide.sparkSession
+    named = inside.select("v", "c", F.pmod("v", F.lit(parts)).alias("part"))
+    spans = wide.groupBy("part").cogroup(named.groupBy("part")).applyInArrow(_spans(parts), "part long, data binary")
+    mixed = stored(spans.groupBy("part").applyInArrow(_mixed, "key long, width long"), "mixed")
+    words = mixed.select("key").mapInArrow(_bits_of, "w long, m long").groupBy("w").agg(F.expr("bit_or(m)").alias("m"))
+    bits = spark.sparkContext.broadcast(zlib.compress(_key_bits(words).tobytes(), 1))
+    some = wide.select("data").mapInArrow(_entries_in(bits), "key long, a long, na long")
+    return stored(some.join(mixed.select("key"), "key", "left_semi").distinct(), "columns")
+
+
 def histogram(grams: np.ndarray) -> bytes:
     """Counts of the n-grams by hash, about two per counter; saturating at 255, so differences are only understated."""
     bits = min(12, max(4, len(grams).bit_length() - 2))
@@ -266,11 +372,22 @@ def _sets(n: int):
             raw, offsets = utf8(batch.column(1))
             for s, e in portions(offsets):
                 sets = [g for g in gram_sets(raw[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s], n) if len(g)]
-                yield pa.RecordBatch.from_arrays([pa.array([_signature(g) for g in sets], pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary()), pa.array([histogram(g) for g in sets], pa.binary())], ["sig", "grams", "hist"])
+                yield pa.RecordBatch.from_arrays([pa.array([_signature(g) for g in sets], pa.int64()), pa.array([len(g) for g in sets], pa.int64()), pa.array([top48(g) for g in sets], pa.binary()), pa.array([histogram(g) for g in sets], pa.binary())], ["sig", "n", "grams", "hist"])
 
     return run
 
 
+def top48(grams: np.ndarray) -> bytes:
+    """The upper 48 bits of sorted hashes: two sets of 10,000 see a false match once in about three million pairs."""
+    return np.ascontiguousarray((grams >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def whole48(data: pa.Buffer) -> np.ndarray:
+    out = np.zeros((data.size // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
+
+
 def _verify(percent: int):
     """Partitions sorted by (hub, salt, role): a hub's row first, then the rows to compare with it, one at a time."""
 
@@ -280,9 +397,9 @@ def _verify(percent: int):
             a, b, salt, role, grams = (batch.column(i) for i in range(5))
             out_a, out_b = [], []
             for x, y, s, r, g in zip(a.to_pylist(), b.to_pylist(), salt.to_pylist(), role.to_pylist(), grams, strict=True):
-                mine = np.frombuffer(g.as_buffer(), np.uint64)
+                mine = whole48(g.as_buffer())
                 if r == 0:
-                    at, hub = (x, s), mine.copy()
+                    at, hub = (x, s), mine
                     continue
                 assert at == (x, s), "a hub's row comes first"
                 place = np.minimum(np.searchsorted(hub, mine), len(hub) - 1)
@@ -303,11 +420,11 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, perce
     ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     wanted = stored(ends.join(classes.select("sig", "n", "rep"), "sig"), "wanted")
     some = probe(docs.withColumn("_key", F.col("doc_id")), "_key", member_filter(wanted, "rep"), "_in", FILTER_BITS).filter("_in").select("doc_id", "text")
-    grams = some.mapInArrow(_sets(n), "sig long, grams binary, hist binary")  # an id may repeat with other texts, a signature may not
-    rows = stored(grams.join(wanted.select("sig", "n"), "sig").groupBy("sig").agg(F.first("n").alias("n"), F.first("grams").alias("grams"), F.first("hist").alias("hist")), "rows")
+    # a row that comes twice only repeats its links; those outside pairs meet nothing
+    rows = stored(some.mapInArrow(_sets(n), "sig long, n long, grams binary, hist binary"), "rows")
     side = lambda x: rows.select(F.col("sig").alias(x), F.col("hist").alias(f"h{x}"), F.col("n").alias(f"n{x}"))
     bounded = pairs.join(side("b"), "b").join(side("a"), "a").filter(_may_link("ha", "na", "hb", "nb", F.lit(percent)))
-    pairs = stored(bounded.select("a", "b"), "pairs")
+    pairs = stored(bounded.select("a", "b").distinct(), "pairs")
     salt = F.pmod(F.xxhash64("b"), F.lit(16)).cast("int").alias("salt")
     spokes = pairs.join(rows.select(F.col("sig").alias("b"), "grams"), "b").select("a", "b", salt, F.lit(1).alias("role"), "grams")
     hubs = pairs.select("a", salt).distinct().join(rows.select(F.col("sig").alias("a"), "grams"), "a").select("a", F.lit(None).cast("long").alias("b"), "salt", F.lit(0).alias("role"), "grams")
@@ -371,17 +488,26 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     entries = classes.agg(F.sum(F.expr(f"n - cast(floor(({percent} * n + 99) / 100) as long) + 1"))).first()[0] or 0
     blocks = 1 << max(10, int(np.ceil(np.log2(max(1, entries / BLOCK_ENTRIES)))))
     packed = docs.mapInArrow(_prefixes(n, percent, order, blocks), "block long, entries binary")
-    product = stored(packed.groupBy("block").applyInArrow(_column_block(percent), COLUMNS), "product")
-    tested = stored(product.filter("kind = 0").select("a", "b").distinct(), "tested")
-    links = _linked(docs, classes, tested, n, percent)
-    columns = product.filter("kind = 1").select("key", "a", "na")
-    members = stored(columns.select(F.col("a").alias("v")).distinct(), "members")
+    parts = blocks // 8
+    product = stored(packed.groupBy("block").applyInArrow(_column_block(percent, parts), PACKETS), "product")
+    tested = stored(product.filter("kind = 0").groupBy("part").applyInArrow(_pairs_of, "a long, b long, first boolean"), "tested")
+    links = _linked(docs, classes, tested.filter("first").select("a", "b"), n, percent)
     inside = components(links)
+    rest, tested = tested.filter("not first").select("a", "b"), tested.select("a", "b")
+    for x in "ab":
+        rest = rest.join(inside.select(F.col("v").alias(x), F.col("c").alias(f"c{x}")), x, "left")
+    rest = stored(rest.filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), "pairs")
+    if rest.limit(1).count():
+        links = links.unionByName(_linked(docs, classes, rest, n, percent))
+        inside = components(links)
+    columns = _open_columns(product.filter("kind = 1").select("part", "data"), inside, parts)
     for turn in range(1, TURNS + 2):
+        members = columns.select(F.col("a").alias("v")).distinct()
         label = stored(members.join(inside, "v", "left").select("v", F.coalesce("c", "v").alias("c")), "label")
         columns = _open(columns, label)
-        last = turn > TURNS
-        more = _across(columns, percent) if last else _neighbours(columns, turn, percent)
+        if not columns.limit(1).count():
+            break
+        more = _across(columns, percent) if turn > TURNS else _neighbours(columns, turn, percent)
         columns = columns.select("key", "a", "na")
         more = stored(more.join(tested, ["a", "b"], "left_anti"), "pairs")
         if more.limit(1).count():
