@@ -31,7 +31,7 @@ def loop_detect(docs):
 @query(
     "md_whitespace",
     r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(160), ' '), '(?m)[ \t]+$', '', 'g'), '(\n[\t ]*){3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS text FROM docs",
-    docs="SELECT doc_id, concat(replace(replace(substr(text, 1, 3000), chr(10), concat(' ', chr(13), chr(10), chr(10), '  ', chr(10), chr(10))), ', ', concat(',', chr(160), ' ')), '  ', chr(10)) AS text FROM {documents}",
+    docs="SELECT doc_id, concat(replace(replace(text, chr(10), concat(' ', chr(13), chr(10), chr(10), '  ', chr(10), chr(10))), ', ', concat(',', chr(160), ' ')), '  ', chr(10)) AS text FROM {documents}",
 )
 def md_whitespace(docs):
     return docs.select("doc_id", X.tidy_whitespace(F.col("text")).alias("text"))
