@@ -136,13 +136,17 @@ def export_markdown(docs):
 
 @query(
     "ocr_token_apply",
-    """+ l AS (SELECT doc_id, line, string_split(text, ' ') AS t FROM lines), f AS (SELECT doc_id, line, seq, string_split(text, ' ') AS t FROM fixes),
+    """+ lines AS (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line, unnest(string_split(text, chr(10))) AS text FROM docs),
+    fixes AS (SELECT doc_id, line, seq, CASE WHEN (doc_id + seq) % 3 = 0 THEN concat(replace(text, 'th', 'TH'), ' extra') ELSE replace(text, 'an', concat('a', CAST(seq AS VARCHAR(20)))) END AS text FROM lines CROSS JOIN (SELECT 1 AS seq UNION ALL SELECT 2) s),
+    l AS (SELECT doc_id, line, string_split(text, ' ') AS t FROM lines), f AS (SELECT doc_id, line, seq, string_split(text, ' ') AS t FROM fixes),
     g AS (SELECT f.doc_id, f.line, arg_max(f.t, seq) AS t FROM f JOIN l ON f.doc_id = l.doc_id AND f.line = l.line WHERE len(f.t) = len(l.t) GROUP BY ALL)
     SELECT l.doc_id, l.line, array_to_string(coalesce(g.t, l.t), ' ') AS text, CAST(len(list_filter(list_zip(l.t, coalesce(g.t, l.t)), lambda x: x[1] <> x[2])) AS BIGINT) AS changed FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.line = g.line""",
-    lines="SELECT doc_id, n.line, split_part(text, chr(10), n.line) AS text FROM {documents} CROSS JOIN (SELECT 1 AS line UNION ALL SELECT 2 UNION ALL SELECT 3) n WHERE split_part(text, chr(10), n.line) <> ''",
-    fixes="SELECT doc_id, n.line, s.seq, CASE WHEN (doc_id + s.seq) % 3 = 0 THEN concat(replace(split_part(text, chr(10), n.line), 'th', 'TH'), ' extra') ELSE replace(split_part(text, chr(10), n.line), 'an', concat('a', CAST(s.seq AS VARCHAR(20)))) END AS text FROM {documents} CROSS JOIN (SELECT 1 AS line UNION ALL SELECT 3) n CROSS JOIN (SELECT 1 AS seq UNION ALL SELECT 2) s WHERE split_part(text, chr(10), n.line) <> ''",
+    docs=DOCS,
 )
-def ocr_token_apply(lines, fixes):
+def ocr_token_apply(docs):
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")).withColumn("line", (F.col("line") + 1).cast("long"))
+    fix = F.when((F.col("doc_id") + F.col("seq")) % 3 == 0, F.concat(F.replace("text", F.lit("th"), F.lit("TH")), F.lit(" extra"))).otherwise(F.replace("text", F.lit("an"), F.concat(F.lit("a"), F.col("seq").cast("string"))))
+    fixes = lines.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("text", fix)
     words = lambda df: df.withColumn("tokens", F.split("text", " ", -1)).drop("text")
     return D.apply_corrections(words(lines), words(fixes), ["doc_id", "line"])
 
