@@ -64,14 +64,22 @@ _PART = ", ".join(f"'{p.replace(chr(39), chr(39) * 2)}'" for p in X.PARTICLES)
 
 @query(
     "entity_clean_dedup",
-    f"""+ w AS (SELECT doc_id, pos, name, array_to_string(list_transform(list_filter(string_split_regex(name, '\\s+'), lambda x: x <> ''), lambda x:
+    f"""+ t AS (SELECT doc_id, unnest(range(1, len(string_split(text, ' ')) + 1)) AS pos, unnest(string_split(text, ' ')) AS a, unnest(list_concat(string_split(text, ' ')[2:], [''])) AS b FROM docs),
+    names AS (SELECT doc_id, pos, CASE pos % 4 WHEN 0 THEN concat('côte d''', a) WHEN 1 THEN concat(' DE ', a, '  ', upper(replace(b, 'ß', 's'))) ELSE a END AS name FROM t),
+    w AS (SELECT doc_id, pos, name, array_to_string(list_transform(list_filter(string_split_regex(name, '\\s+'), lambda x: x <> ''), lambda x:
         CASE WHEN lower(x) IN ({_PART}) THEN lower(x)
              WHEN len(string_split_regex(x, '[''’]')) = 2 THEN upper(string_split_regex(x, '[''’]')[1][1]) || lower(string_split_regex(x, '[''’]')[1][2:]) || '''' || CASE WHEN string_split_regex(x, '[''’]')[2][1] = 'ß' THEN 'Ss' ELSE upper(string_split_regex(x, '[''’]')[2][1]) END || lower(string_split_regex(x, '[''’]')[2][2:])
              ELSE CASE WHEN x[1] = 'ß' THEN 'Ss' ELSE upper(x[1]) END || lower(x[2:]) END), ' ') AS clean FROM names)
     SELECT doc_id, clean, min(pos) AS pos FROM w WHERE clean <> '' GROUP BY doc_id, clean""",
-    names="SELECT doc_id, p.pos, CASE CAST(p.pos % 4 AS INT) WHEN 0 THEN concat('côte d''', split_part(text, ' ', p.pos)) WHEN 1 THEN concat(' DE ', split_part(text, ' ', p.pos), '  ', upper(replace(split_part(text, ' ', p.pos + 1), 'ß', 's'))) ELSE split_part(text, ' ', p.pos) END AS name FROM {documents} CROSS JOIN (SELECT 1 AS pos UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5 UNION ALL SELECT 6) p",
+    docs=DOCS,
 )
-def entity_clean_dedup(names):
+def entity_clean_dedup(docs):
+    t = F.split("text", " ", -1)
+    names = docs.select("doc_id", F.posexplode(F.transform(t, lambda x, i: F.struct(x.alias("a"), F.coalesce(F.get(t, i + 1), F.lit("")).alias("b")))).alias("pos", "t"))
+    names = names.select("doc_id", (F.col("pos") + 1).cast("long").alias("pos"), "t.a", "t.b")
+    name = F.when(F.col("pos") % 4 == 0, F.concat(F.lit("côte d'"), "a")).when(F.col("pos") % 4 == 1, F.concat(F.lit(" DE "), "a", F.lit("  "), F.upper(F.replace("b", F.lit("ß"), F.lit("s"))))).otherwise(F.col("a"))
+    # equal names first: cleaning is the dear part
+    names = names.groupBy("doc_id", name.alias("name")).agg(F.min("pos").alias("pos"))
     return names.select("doc_id", "pos", X.clean_entity(F.col("name")).alias("clean")).filter("clean <> ''").groupBy("doc_id", "clean").agg(F.min("pos").alias("pos"))
 
 

@@ -17,10 +17,13 @@ LABELS = {"francais": "fr", "anglais": "en", "allemand": "de", "espagnol": "es"}
 @query(
     "value_select_fr_first",
     "SELECT source, CASE WHEN bool_or(lang = 'fr') THEN arg_min(value, pos) FILTER (WHERE lang = 'fr') ELSE coalesce(arg_min(value, pos), '') END AS chosen, trim(arg_min(value, pos) FILTER (WHERE value IS NOT NULL)) AS first_literal, count(*) AS n FROM vals GROUP BY source",
-    vals="SELECT concat(source, '-', CAST(doc_id % 40 AS VARCHAR(20))) AS source, doc_id AS pos, lang, substr(text, 1, 30) AS value FROM {documents}",
+    vals="SELECT concat(source, '-', CAST(doc_id % 40 AS VARCHAR(20))) AS source, doc_id AS pos, lang, text AS value FROM {documents}",
 )
 def value_select(vals):
-    arr = F.transform(F.array_sort(F.collect_list(F.struct("pos", "lang", "value"))), lambda x: F.struct(x["value"].alias("value"), x["lang"].alias("lang")))
+    # the entries that the rules may choose, not a group's whole texts: first of all, first in French, first with a value
+    one = F.struct("pos", "lang", "value")
+    first = [F.min(x) for x in (one, F.when(F.col("lang") == "fr", one), F.when(F.col("value").isNotNull(), one))]
+    arr = F.transform(F.array_sort(F.array_compact(F.array(*first))), lambda x: F.struct(x["value"].alias("value"), x["lang"].alias("lang")))
     out = vals.groupBy("source").agg(arr.alias("v"), F.count(F.lit(1)).alias("n"))
     return out.select("source", V.french_or_first(F.col("v")).alias("chosen"), V.first_literal(F.col("v")).alias("first_literal"), "n")
 

@@ -26,8 +26,8 @@ def link_append(have, fresh):
 @query(
     "literal_upsert_status",
     """SELECT status, count(*) AS n FROM (SELECT CASE WHEN i.doc_id IS NULL THEN 'not_found' WHEN trim(u.text) = '' THEN 'empty' WHEN i.lang = u.lang AND i.value = u.text THEN 'unchanged' ELSE 'would_update' END AS status FROM updates u LEFT JOIN items i USING (doc_id)) GROUP BY 1""",
-    items="SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE lang END AS lang, substr(text, 1, 40) AS value FROM {documents} WHERE doc_id % 9 <> 0",
-    updates="SELECT doc_id, lang, CASE CAST(doc_id % 5 AS INT) WHEN 0 THEN ' ' WHEN 1 THEN concat(substr(text, 1, 40), 'x') ELSE substr(text, 1, 40) END AS text FROM {documents}",
+    items="SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE lang END AS lang, text AS value FROM {documents} WHERE doc_id % 9 <> 0",
+    updates="SELECT doc_id, lang, CASE CAST(doc_id % 5 AS INT) WHEN 0 THEN ' ' WHEN 1 THEN concat(text, 'x') ELSE text END AS text FROM {documents}",
 )
 def literal_status(items, updates):
     before = items.select("doc_id", F.array(F.struct("value", "lang")).alias("before"))

@@ -42,3 +42,27 @@ def test_corrections_of_all_lines(spark, folder):
     got = QUERIES["ocr_token_apply"](spark, folder([(k, t, "fr", "s") for k, t in texts.items()])).select("doc_id", "line", "text", "changed").collect()
     assert sorted(map(tuple, got)) == sorted(want)
     assert max(x[1] for x in want) == 50
+
+
+def test_entities_of_all_tokens(spark, folder):
+    text = " ".join(["wort"] * 8 + ["zürich", "", "de", "l'ÉTÉ", "straße"] + ["wort"] * 500 + ["letzter"])
+    got = {(r["doc_id"], r["clean"]): r["pos"] for r in QUERIES["entity_clean_dedup"](spark, folder([(1, text, "de", "s"), (2, "", "de", "s"), (3, None, "de", "s")])).collect()}
+    assert {k[0] for k in got} == {1, 2}
+    # positions 9 to 13 and the last, 514
+    assert [got[1, x] for x in ("de Zürich", "de", "Côte D'l'été", "de Straße Wort", "Letzter")] == [9, 11, 12, 13, 514]
+    assert got[1, "Wort"] == 2 and got[2, "de"] == 1
+
+
+def test_values_are_whole_texts(spark, folder):
+    long = "x" * 40
+    rows = [(2, long + "a", "en", "s"), (42, long + "b ", "fr", "s"), (7, None, "en", "s"), (47, long + " c ", "en", "s"), (8, "q", "en", "s"), (48, None, "fr", "s")]
+    got = {r["source"]: tuple(r)[1:] for r in QUERIES["value_select_fr_first"](spark, folder(rows)).collect()}
+    assert got == {"s-2": (long + "b ", long + "a", 2), "s-7": ("", long + " c", 2), "s-8": ("", "q", 2)}
+
+
+def test_status_sees_whole_texts(spark, folder):
+    long = "x" * 40
+    rows = [(2, long + "a", "en", "s"), (2, long + "b", "en", "s"), (3, long, "en", "s"), (6, long * 9, "en", "s")]
+    got = {r["status"]: r["n"] for r in QUERIES["literal_upsert_status"](spark, folder(rows)).collect()}
+    # the two rows of id 2 meet themselves and each other, which differ after character 40 only
+    assert got == {"unchanged": 3, "would_update": 3}
