@@ -1,7 +1,8 @@
 """License scans: base phrases, and a set-similarity join with license templates.
 
-DataFrame functions only.  Blocks are the lines of a text, templates are token
-sets; a block carries a template's label where it holds at least a threshold
+DataFrame functions only.  Blocks are the lines of a text and, across line
+ends, all runs of as many words as the template has; templates are token sets.
+A block carries a template's label where it holds at least a threshold
 share of the template's tokens.  Tokens are ordered by document frequency over
 the whole corpus, rarest first: a block below the prefix filter (none of the
 first |T| - need + 1 tokens), the length filter (fewer tokens than needed) or
@@ -33,6 +34,7 @@ TEMPLATES = {
     "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license version 2.0",
+    "mit-short": "under the mit license",
     "reserved": "all rights reserved",
 }
 THRESHOLD = 0.8
@@ -77,10 +79,30 @@ def _block_scores(block_words: Column, order: list[str], templates: Mapping[str,
     return F.filter(F.array(*out), lambda x: x.isNotNull())
 
 
+def _best_run(at: Column, size: int, whole: Column) -> Column:
+    """The most template tokens in a run of ``size`` words over place ``at``."""
+    starts = F.sequence(F.greatest(at - (size - 1), F.lit(0)), at)
+    return F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("words", s + 1, F.lit(size)), whole))))
+
+
+def _window_scores(order: list[str], templates: Mapping[str, str], threshold: float) -> Column:
+    """array<struct<label, score>> of the templates that a run of ``words`` as long as the template holds; only runs around one of ``hits`` (words of a prefix, and where they stand) can."""
+    rank = {w: i for i, w in enumerate(order)}
+    out = []
+    for label, text in sorted(templates.items()):
+        listed = text.replace(".", " ").split()
+        tokens = sorted(set(listed), key=rank.__getitem__)
+        need = _needed(len(tokens), threshold)
+        prefix, whole = tokens[: len(tokens) - need + 1], F.array(*map(F.lit, tokens))
+        best = F.array_max(F.transform(F.filter("hits", lambda h: h["word"].isin(*prefix)), lambda h: _best_run(h["at"], len(listed), whole)))  # noqa: B023
+        out.append(F.when(best >= need, F.struct(F.lit(label).alias("label"), (best / F.lit(float(len(tokens)))).alias("score"))))
+    return F.filter(F.array(*out), lambda x: x.isNotNull())
+
+
 def scan_licenses(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    score is the largest share of a template's tokens in one line among the
+    score is the largest share of a template's tokens in one block among the
     labels found, 1 where only a base phrase stands, else 0.  Null text counts
     as empty (no words, no labels).  Null and repeated ids are kept row by row;
     other columns of docs are ignored.
@@ -99,7 +121,7 @@ def scan_licenses(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templat
     rows = rows.select("doc_id", F.regexp_count("text", F.lit(_RAW_WORD)).cast("long").alias("n_words"), "text", F.col("text").rlike(f"(?i:{base})").alias("_base"), F.col("text").rlike(_any_word(sorted(first))).alias("_near"))
     some = F.col("_base") | F.col("_near")
     rows = rows.withColumn("text", F.when(some, lower_ascii(F.col("text"))))
-    words = F.when(F.col("_base"), words_of(F.col("text")))
+    words = F.when(some, words_of(F.col("text")))
     rows = rows.withColumn("words", words)
     places = []
     for p, label in phrases.items():
@@ -107,7 +129,12 @@ def scan_licenses(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templat
         places.append(_places(ws, label))
     rows = rows.withColumn("places", F.when(F.col("_base") & (F.size("words") > 0), F.concat(*places)))
     scored = F.flatten(F.transform(F.split("text", "\n", -1), lambda line: _block_scores(F.array_distinct(words_of(line)), order, templates, threshold)))
-    rows = rows.withColumn("scored", F.when(F.col("_near"), scored))
+    # a text of one line has no block that its line does not hold
+    wrapped = F.col("_near") & F.col("text").contains("\n")
+    at = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda h: h["word"].isin(*sorted(first)))
+    rows = rows.withColumn("hits", F.when(wrapped, at))
+    across = F.when(wrapped, _window_scores(order, templates, threshold)).otherwise(F.array().cast("array<struct<label:string,score:double>>"))
+    rows = rows.withColumn("scored", F.when(F.col("_near"), F.concat(scored, across)))
     none = F.array().cast("array<string>")
     mine = F.coalesce(F.transform("scored", lambda x: x["label"]), none)
     base_labels = F.array_sort(F.array_distinct(F.coalesce(F.transform("places", lambda x: x["label"]), none)))
