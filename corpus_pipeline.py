@@ -23,10 +23,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of the n-gram Jaccard join the document with the smallest doc_id."""
-    classes = jaccard_join.jaccard_classes(docs)
-    gone = classes.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return drop_ids(docs, stored(gone, "near-copies"), "doc_id")
+    """Of each component of the n-gram Jaccard join the row with the smallest doc_id, null ids last; repeated ids are rows of their own."""
+    rows = stored(docs.withColumn("_ff_row", F.monotonically_increasing_id()), "rows")  # stored: row numbers must not change between scans
+    classes = jaccard_join.jaccard_classes(rows, id_col="_ff_row").select(F.col("doc_id").alias("_ff_row"), "component_id")
+    named = classes.join(rows.select("_ff_row", "doc_id"), "_ff_row")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_ff_row")).alias("kept")
+    kept = named.groupBy("component_id").agg(least).select("kept._ff_row")
+    gone = rows.select("_ff_row").join(kept, "_ff_row", "left_anti")
+    return drop_ids(rows, stored(gone, "near-copies"), "_ff_row").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
