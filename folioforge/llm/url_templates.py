@@ -62,21 +62,22 @@ def _shape(segment: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(segment, r"[0-9a-f]{16,}", "{x}"), r"[0-9]+", "{n}")
 
 
-def templates(pages: DataFrame, max_depth: int = 8, max_children: int = 50, least_support: int = 20) -> DataFrame:
+def templates(pages: DataFrame, max_children: int = 50, least_share: float = 0.02) -> DataFrame:
     """Distinct (host, raw) with their template, from pages (host, path).
 
-    ``raw`` is the path by segment form.  Going down the tree, the children of
-    a node with fewer than ``least_support`` pages each become one wildcard
-    where there are more than ``max_children`` of them.  Segments
-    below ``max_depth`` belong to their ancestor's template.
+    ``raw`` is the path by segment form.  Going down the tree, to the deepest
+    segment there is, the children with less than ``least_share`` of their
+    node's pages each become one wildcard where there are more than
+    ``max_children`` of them, whatever the number of pages.
     """
     counted = pages.groupBy("host", "raw").agg(F.count(F.lit(1)).alias("n"))
-    nodes = counted.withColumn("seg", F.slice(F.split("raw", "/"), 2, max_depth)).withColumn("template", F.lit(""))
+    nodes = counted.withColumn("seg", F.expr("slice(split(raw, '/', -1), 2, greatest(size(split(raw, '/', -1)) - 1, 0))")).withColumn("template", F.lit(""))
     deepest = nodes.agg(F.max(F.size("seg"))).first()[0] or 0
     for d in range(deepest):
         here = F.get("seg", F.lit(d))
         children = nodes.filter(F.size("seg") > d).groupBy("host", "template", here.alias("child")).agg(F.sum("n").alias("n"))
-        rare = children.filter(F.col("n") < least_support)
+        whole = children.groupBy("host", "template").agg(F.sum("n").alias("whole"), F.count(F.lit(1)).alias("width")).filter(F.col("width") > max_children).drop("width")
+        rare = salted(children, F.col("child")).join(spread(whole), ["host", "template", "_salt"]).filter(F.col("n") < least_share * F.col("whole")).drop("_salt", "whole")
         wide = rare.groupBy("host", "template").agg(F.count(F.lit(1)).alias("width")).filter(F.col("width") > max_children)
         wide = rare.join(wide, ["host", "template"], "left_semi").select("host", "template", "child", F.lit(True).alias("wild"))
         step = F.when(F.size("seg") <= d, F.col("template")).otherwise(F.concat("template", F.lit("/"), F.when(F.col("wild"), WILD).otherwise(F.col("child"))))
