@@ -5,9 +5,9 @@ ends, all runs of as many words as the template has; templates are token sets.
 A block carries a template's label where it holds at least a threshold
 share of the template's tokens.  Tokens are ordered by document frequency over
 the whole corpus, rarest first: a block below the prefix filter (none of the
-first |T| - need + 1 tokens), the length filter (fewer tokens than needed) or
-the positional filter (too few tokens left after the first match) cannot
-reach the threshold and is never compared.
+first |T| - need + 1 tokens) or the length filter (fewer tokens than needed)
+cannot reach the threshold and is never compared.  There is no positional
+filter: overlaps of the blocks left are counted in whole.
 """
 
 from __future__ import annotations
