@@ -3,18 +3,16 @@
 The incidence matrix has a row per distinct n-gram set and a column per n-gram.
 Columns are ordered by how common they are, rare ones first.  For a pair with
 Jaccard similarity t the first |x| - ceil(t |x|) + 1 columns of each row x
-already share one, so the first product takes only those, block by block of
-columns; pairs outside the size bounds are dropped there.  Overlaps of the
-surviving pairs are then accumulated over whole rows.
-
-Pairs serve only to find components, so a column with many rows is not
-expanded: every row of a column is paired with the column's smallest row, of
-these pairs first the one with the smallest row of all is tested, then those
-that still lie in different components.  Columns that still hold several
-components follow: in a few turns each row is paired with a neighbour of another
-component, and at the end all rows of different components that share a column.
-Pairs whose n-gram histograms prove them too far apart are dropped before rows
-travel.  No column, pair or partner is capped.
+already share one, so rows meet only in those.  In a column, rows of one size
+class and the next form a group named by its smallest row; the many columns
+that copies share give the same few groups, so a row is in few of them.
+
+The product is then taken group by group: incidence blocks are multiplied and
+overlap counts accumulate, first over the prefixes, where rows without a
+partner that reaches the bound of their sizes are dropped, then over the whole
+rows of the others.  Links leave a group as stars around its smallest rows.  A group of more rows than a tile holds first compares each row with a
+few pivots; only rows that are then outside its largest component meet all
+others, tile by tile.  No column, group, pair or partner is capped.
 """
 
 from __future__ import annotations
@@ -27,10 +25,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import FILTER_BITS, member_filter, probe, read, stored
-from .components import components
+from .components import components, least_labels
 from .wordhash import SPACED, mix, ngrams, portions, utf8, word_hashes
 
 NGRAM = 5
@@ -39,7 +36,8 @@ SKETCH_BITS = 22  # counters of the frequency sketch: 16 MB in a task and on the
 SKETCH_PARTS = 64
 FAN_IN = 256  # sketches added up by one task
 BLOCK_ENTRIES = 200_000
-TURNS = 3  # turns of neighbour pairs before all pairs of different components are taken
+BLOCK_COLUMNS = 4096  # columns multiplied at once
+PIVOTS = 16  # rows of a large group that all its rows are compared with
 LOW56 = np.uint64((1 << 56) - 1)
 
 
@@ -146,13 +144,23 @@ def ordered(grams: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return (classes[low >> np.uint64(56 - SKETCH_BITS)].astype(np.uint64) << np.uint64(56)) | low
 
 
-def prefix_length(size: int, percent: int) -> int:
+def prefix_length(size, percent: int):
+    """Columns of a row of which one is shared with every row linked to it."""
     return size - (percent * size + 99) // 100 + 1
 
 
-ENTRY = np.dtype([("key", "<u8"), ("sig", "<i8"), ("n", "<i4")])
-PAIR = np.dtype([("b", "<i8"), ("a", "<i8"), ("na", "<i4")])
-SPAN = np.dtype([("key", "<u8"), ("lo", "<i8"), ("hi", "<i8"), ("width", "<i8")])
+def early_length(size, percent: int):
+    """Columns of a row of which one is in the prefix of every linked row that is not smaller."""
+    return size - least_shared(size, size, percent) + 1
+
+
+def least_shared(m, n, percent: int):
+    """n-grams that linked sets of m and n have in common at least."""
+    return -(-percent * (m + n) // (100 + percent))
+
+
+ENTRY = np.dtype([("key", "<u8"), ("sig", "<i8"), ("n", "<i4"), ("early", "u1")])
+MEMBER = np.dtype([("h", "<i8"), ("x", "<i8"), ("n", "<i4")])
 
 
 def pack(items: np.ndarray) -> bytes:
@@ -177,17 +185,36 @@ def packets(items: np.ndarray, dealt: np.ndarray) -> tuple[np.ndarray, list[byte
     return dealt[cuts[:-1]], [pack(items[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-HOT_CLASS = int(np.round(5 * np.log2(1 + 100_000)))  # columns of more than about 100,000 rows are split over blocks
+def distinct(items: np.ndarray, *fields: str) -> np.ndarray:
+    """Records in the order of the fields, first field first, equal ones once."""
+    items = items[np.lexsort([items[f] for f in reversed(fields)])]
+    new = np.zeros(len(items), bool)
+    new[:1] = True
+    for f in fields:
+        new[1:] |= items[f][1:] != items[f][:-1]
+    return items[new]
+
 
+def size_bounds(percent: int) -> np.ndarray:
+    """Lower ends of size classes: linked rows lie in one class or in neighbouring ones."""
+    ends = [1]
+    while ends[-1] < 1 << 31:
+        ends.append(100 * ends[-1] // percent + 1)
+    return np.array(ends)
 
-def _salt_of(entries: np.ndarray) -> np.ndarray:
-    """0, but for hot columns a number below their rows / 100,000 by the row's signature."""
-    over = np.maximum((entries["key"] >> np.uint64(56)).astype(np.int64) - HOT_CLASS, -1)
+
+def _hot_class(rows: int) -> int:
+    return int(np.round(5 * np.log2(1 + rows)))
+
+
+def _salt_of(entries: np.ndarray, hot: int) -> np.ndarray:
+    """0, but for hot columns a number that grows with their rows, by the row's signature."""
+    over = np.maximum((entries["key"] >> np.uint64(56)).astype(np.int64) - hot, -1)
     salts = np.where(over < 0, 1, 2 ** np.minimum(over // 5 + 1, 20))
     return (mix(entries["sig"].astype(np.uint64)) % salts.astype(np.uint64)).astype(np.uint64)
 
 
-def _prefixes(n: int, percent: int, classes, blocks: int):
+def _prefixes(n: int, percent: int, classes, blocks: int, hot: int):
     """Per block of columns, packed entries of the rows' prefixes."""
 
     def run(batches):
@@ -195,8 +222,9 @@ def _prefixes(n: int, percent: int, classes, blocks: int):
         held, size = [], 0
 
         def flush():
-            entries = np.sort(np.concatenate(held), order=["key", "sig"])
-            block = ((entries["key"] + _salt_of(entries)) & np.uint64(blocks - 1)).astype(np.int64)
+            entries = np.concatenate(held)
+            entries = entries[np.argsort(entries["key"], kind="stable")]
+            block = ((entries["key"] + _salt_of(entries, hot)) & np.uint64(blocks - 1)).astype(np.int64)
             numbers, data = packets(entries, block)
             return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(data, pa.binary())], ["block", "entries"])
 
@@ -207,11 +235,10 @@ def _prefixes(n: int, percent: int, classes, blocks: int):
             if not seen.first(sig):
                 continue
             keys = ordered(grams, table)
-            p = prefix_length(len(keys), percent)
-            if p < len(keys):
-                keys = np.partition(keys, p - 1)[:p]
+            keys = np.sort(np.partition(keys, p - 1)[:p]) if (p := prefix_length(len(keys), percent)) < len(keys) else np.sort(keys)
             entries = np.empty(len(keys), ENTRY)
             entries["key"], entries["sig"], entries["n"] = keys, sig, len(grams)
+            entries["early"] = np.arange(len(keys)) < early_length(len(grams), percent)
             held.append(entries)
             size += len(entries)
             if size >= 500_000:
@@ -226,249 +253,258 @@ def _prefixes(n: int, percent: int, classes, blocks: int):
 PACKETS = "kind int, part long, data binary"
 
 
-def _column_block(percent: int, parts: int):
-    """One block of the product, dealt over parts by row: (0, part of b, packed PAIRs of b with each column's first row), (1, part of row, packed ENTRYs of columns with three rows or more)."""
+def memberships(entries: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """MEMBERs of the columns of entries (distinct rows per column).
+
+    In a column, the rows of one size class form a group with those of the
+    next class, named by the first row that has the column early; smaller rows
+    are left out, for of two linked rows the smaller has a shared column early.
+    So any two rows that may link are together in a group.
+    """
+    entries = entries[np.lexsort((entries["sig"], entries["n"], entries["key"]))]
+    key, n = entries["key"], entries["n"]
+    if not len(key):
+        return np.zeros(0, MEMBER)
+    size, place = np.searchsorted(bounds, n, side="right"), np.arange(len(key))
+    start = np.ones(len(key), bool)
+    start[1:] = (key[1:] != key[:-1]) | (size[1:] != size[:-1])
+    at = np.flatnonzero(start)
+    run = np.cumsum(start) - 1
+    first = np.minimum.reduceat(np.where(entries["early"] > 0, place, len(key)), at)
+    before = np.full(len(at), len(key))
+    before[1:] = np.where((key[at[1:]] == key[at[:-1]]) & (size[at[1:]] == size[at[:-1]] + 1), first[:-1], len(key))
+    own, guest = first[run], before[run]
+    mine, others = place > own, guest < len(key)
+    out = np.empty(int(mine.sum() + others.sum()), MEMBER)
+    out["h"] = entries["sig"][np.r_[own[mine], guest[others]]]
+    out["x"], out["n"] = np.r_[entries["sig"][mine], entries["sig"][others]], np.r_[n[mine], n[others]]
+    return distinct(out, "x", "h")
+
+
+def _column_block(percent: int, parts: int, hot: int):
+    """One block of columns: (0, part of x, packed MEMBERs), and the rows of hot columns, which lie in several blocks: (1, part of row, packed ENTRYs)."""
 
     def run(block: pa.Table) -> pa.Table:
-        entries = np.unique(unpacked(block.column("entries"), ENTRY))  # by column, then signature; tasks may repeat a row
-        entries = entries[np.lexsort((entries["sig"], entries["n"], entries["key"]))]
-        key = entries["key"]
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        width = np.diff(np.r_[starts, len(key)])
-        head = np.repeat(starts, width)
-        rest = np.arange(len(key)) != head
-        rest &= 100 * entries["n"][head].astype(np.int64) >= percent * entries["n"].astype(np.int64)
-        pairs = np.empty(int(rest.sum()), PAIR)
-        pairs["a"], pairs["na"], pairs["b"] = entries["sig"][head[rest]], entries["n"][head[rest]], entries["sig"][rest]
-        pairs = np.unique(pairs)
-        hot = (key >> np.uint64(56)).astype(np.int64) >= HOT_CLASS  # other blocks hold more of these columns
-        wide = entries[np.repeat(width >= 3, width) | hot]
-        at0, data0 = packets(pairs, pairs["b"] % parts)
-        at1, data1 = packets(wide, wide["sig"] % parts)
+        entries = distinct(unpacked(block.column("entries"), ENTRY), "key", "sig")  # tasks may repeat a row
+        wide = (entries["key"] >> np.uint64(56)).astype(np.int64) >= hot
+        members = memberships(entries[~wide], size_bounds(percent))
+        at0, data0 = packets(members, members["x"] % parts)
+        at1, data1 = packets(entries[wide], entries["sig"][wide] % parts)
         kind = np.r_[np.zeros(len(at0), np.int32), np.ones(len(at1), np.int32)]
         return pa.table({"kind": kind, "part": np.r_[at0, at1].astype(np.int64), "data": pa.array(data0 + data1, pa.binary())})
 
     return run
 
 
-def _pairs_of(part: pa.Table) -> pa.Table:
-    """Distinct pairs of one part; first marks each row's pair with the smallest row."""
-    pairs = np.unique(unpacked(part.column("data"), PAIR))
-    pairs = pairs[np.lexsort((pairs["a"], pairs["na"], pairs["b"]))]
-    return pa.table({"a": pairs["a"], "b": pairs["b"], "first": np.r_[True, pairs["b"][1:] != pairs["b"][:-1]]})
+def _members_of(part: pa.Table) -> pa.Table:
+    """Distinct members of one part."""
+    members = distinct(unpacked(part.column("data"), MEMBER), "x", "h")
+    return pa.table({"h": members["h"], "x": members["x"], "n": members["n"].astype(np.int64)})
 
 
-def _spans(parts: int):
-    """Columns of one part with the components of its rows: packed SPANs, dealt by column."""
-
-    def run(part: pa.Table, labels: pa.Table) -> pa.Table:
-        entries = unpacked(part.column("data"), ENTRY)
-        v, c = labels.column("v").to_numpy(), labels.column("c").to_numpy()
-        order = np.argsort(v)
-        v, c = v[order], c[order]
-        named = entries["sig"].copy()
-        if len(v):
-            at = np.minimum(np.searchsorted(v, named), len(v) - 1)
-            named = np.where(v[at] == named, c[at], named)
-        number, data = packets(span := _joined(entries["key"], named, named, np.ones(len(named), np.int64)), span["key"].view(np.int64) & (parts - 1))
-        return pa.table({"part": number.astype(np.int64), "data": pa.array(data, pa.binary())})
+def _hot_entries(percent: int):
+    def run(batches):
+        bounds = size_bounds(percent)
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                e = unpack(data, ENTRY)
+                size = np.searchsorted(bounds, e["n"], side="right")
+                yield pa.RecordBatch.from_arrays([pa.array(e["key"].view(np.int64)), pa.array(size), pa.array(e["sig"]), pa.array(e["n"].astype(np.int64)), pa.array(e["early"] > 0)], ["key", "size", "x", "n", "early"])
 
     return run
 
 
-def _joined(key: np.ndarray, lo: np.ndarray, hi: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """One SPAN per key, in order."""
-    order = np.argsort(key, kind="stable")
-    key, lo, hi, width = key[order], lo[order], hi[order], width[order]
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    out = np.empty(len(starts), SPAN)
-    if len(starts):
-        out["key"], out["lo"], out["hi"], out["width"] = key[starts], np.minimum.reduceat(lo, starts), np.maximum.reduceat(hi, starts), np.add.reduceat(width, starts)
-    return out
+def _hot_members(packed: DataFrame, percent: int) -> DataFrame:
+    """Members of hot columns: the smallest row of each size class comes from partial minima, and adaptive execution splits a hot column's join."""
+    rows = stored(packed.mapInArrow(_hot_entries(percent), "key long, size long, x long, n long, early boolean"), "hot")
+    hubs = rows.filter("early").groupBy("key", "size").agg(F.min(F.struct("n", "x")).alias("hub"))
+    own, guest = rows.join(hubs, ["key", "size"]).filter("n > hub.n or (n = hub.n and x > hub.x)"), rows.join(hubs.withColumn("size", F.col("size") + 1), ["key", "size"])
+    return own.unionByName(guest).select(F.col("hub.x").alias("h"), "x", "n").distinct()
 
 
-def _mixed(part: pa.Table) -> pa.Table:
-    """Columns whose rows lie in several components."""
-    spans = unpacked(part.column("data"), SPAN)
-    spans = _joined(spans["key"], spans["lo"], spans["hi"], spans["width"])
-    spans = spans[spans["lo"] < spans["hi"]]
-    return pa.table({"key": spans["key"].view(np.int64), "width": spans["width"]})
+def _rows_like(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and text of the rows that stand for the signatures wanted (x, rep), and of some others that the filter lets through."""
+    return probe(docs.withColumn("_key", F.col("doc_id")), "_key", member_filter(wanted, "rep"), "_in", FILTER_BITS).filter("_in").select("doc_id", "text")
 
 
-def _key_bits(words: DataFrame) -> np.ndarray:
-    """A member filter as an array: FILTER_BITS / 8 bytes, whatever the input."""
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.toLocalIterator():
-        out[r["w"]] = r["m"]
-    return out
+def _heads(n: int, percent: int, classes):
+    """Per row its signature, set size, the mean frequency class of its n-grams, and its prefix in 32 bits a column."""
 
+    def run(batches):
+        table = np.frombuffer(zlib.decompress(classes.value), np.uint8)
+        for batch in batches:
+            x, size, mass, head = [], [], [], []
+            for _, grams in _rows_of(iter([batch]), n):
+                if len(grams):
+                    keys = ordered(grams, table)
+                    p = prefix_length(len(keys), percent)
+                    first = np.partition(keys, p - 1)[:p] if p < len(keys) else keys
+                    x.append(_signature(grams)), size.append(len(grams)), mass.append(float((keys >> np.uint64(56)).mean()))
+                    head.append((mix(first) >> np.uint64(32)).astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(size, pa.int64()), pa.array(mass, pa.float64()), pa.array(head, pa.binary())], ["x", "n", "mass", "head"])
 
-def _entries_in(bits):
-    """Rows of the columns that the filter may hold."""
+    return run
+
+
+def _sets(n: int):
+    """Per row its signature and all n-grams."""
 
     def run(batches):
-        have = np.frombuffer(zlib.decompress(bits.value), np.uint64)
         for batch in batches:
-            for x in batch.column(0).to_pylist():
-                entries = unpack(x, ENTRY)
-                at = mix(entries["key"]) & np.uint64(FILTER_BITS - 1)
-                entries = entries[(have[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
-                yield pa.RecordBatch.from_arrays([pa.array(entries["key"].view(np.int64)), pa.array(entries["sig"]), pa.array(entries["n"].astype(np.int64))], ["key", "a", "na"])
+            sets = [g for _, g in _rows_of(iter([batch]), n) if len(g)]
+            yield pa.RecordBatch.from_arrays([pa.array([_signature(g) for g in sets], pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary())], ["x", "grams"])
 
     return run
 
 
-def _bits_of(batches):
-    """Filter words in which the position of every key is set, per task."""
-    have = np.zeros(FILTER_BITS // 64, np.uint64)
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many entries every row of left shares with every row of right.
+
+    The incidence matrices of both sides are multiplied by blocks of columns
+    and the counts added up; columns that one side lacks are left out.
+    """
+    if len(left) * len(right) <= 12:
+        count = lambda a, b: int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+        return np.array([[count(a, b) if len(a) < len(b) else count(b, a) for b in right] for a in left])
+    same = right is left
+    sides = [left] if same else [left, right]
+    rows = [np.repeat(np.arange(len(s)), [len(g) for g in s]) for s in sides]
+    names, column = np.unique(np.concatenate([g for s in sides for g in s]), return_inverse=True)
+    columns = np.split(column, [len(rows[0])])[: len(sides)]
+    counts = [np.bincount(c, minlength=len(names)) for c in columns]
+    shared = counts[0] > 1 if same else (counts[0] > 0) & (counts[1] > 0)
+    place = np.cumsum(shared) - 1
+    total, width = np.zeros((len(left), len(right)), np.float32), int(shared.sum())
+    sides = []
+    for r, c in zip(rows, columns, strict=True):
+        keep = shared[c]
+        r, c = r[keep], place[c[keep]]
+        order = np.argsort(c, kind="stable")
+        sides.append((r[order], c[order]))
+    for lo in range(0, width, BLOCK_COLUMNS):
+        blocks = []
+        for (r, c), size in zip(sides, (len(left), len(right)), strict=False):
+            a, z = np.searchsorted(c, [lo, lo + BLOCK_COLUMNS])
+            block = np.zeros((size, min(BLOCK_COLUMNS, width - lo)), np.float32)
+            block[r[a:z], c[a:z] - lo] = 1
+            blocks.append(block)
+        total += blocks[0] @ blocks[-1].T
+    total = total.astype(np.int64)
+    if same:
+        np.fill_diagonal(total, [len(g) for g in left])
+    return total
+
+
+def forest(names: list, role: np.ndarray, label: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows of role 1 (or 3) and role 2 (or 3) of different labels, reduced to stars: (row, the smallest row it reaches)."""
+    l, r = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
+    names = np.array(names, np.int64)
+    left = [sets[i] for i in l]
+    shared = overlaps(left, left if len(l) == len(r) and (l == r).all() else [sets[i] for i in r])
+    n = np.array([len(g) for g in sets])
+    linked = (100 * shared >= percent * (n[l][:, None] + n[r][None, :] - shared)) & (label[l][:, None] != label[r][None, :])
+    i, j = np.nonzero(linked)
+    return least_labels(names[l[i]], names[r[j]])
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Runs of rows with equal first columns; one run is held at a time."""
+    at, held = None, []
     for batch in batches:
-        at = mix(batch.column(0).to_numpy().view(np.uint64)) & np.uint64(FILTER_BITS - 1)
-        np.bitwise_or.at(have, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-    w = np.flatnonzero(have)
-    yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(have[w].view(np.int64))], ["w", "m"])
+        columns = [c.to_pylist() for c in batch.columns]
+        for key, row in zip(zip(*columns[:keys], strict=True), zip(*columns[keys:], strict=True), strict=True):
+            if key != at:
+                if held:
+                    yield at, held
+                at, held = key, []
+            held.append(row)
+    if held:
+        yield at, held
 
 
-def _open_columns(wide: DataFrame, inside: DataFrame, parts: int) -> DataFrame:
-    """Rows (key, a, na) of the columns that hold rows of several components.
+def _tiles(percent: int):
+    """Partitions sorted by tile (h, u, a): the links of each, as stars."""
 
-    Per part of the rows the columns' smallest and largest component is worked
-    out first, so a column of any width sends one record per part.
-    """
-    spark = wide.sparkSession
-    named = inside.select("v", "c", F.pmod("v", F.lit(parts)).alias("part"))
-    spans = wide.groupBy("part").cogroup(named.groupBy("part")).applyInArrow(_spans(parts), "part long, data binary")
-    mixed = stored(spans.groupBy("part").applyInArrow(_mixed, "key long, width long"), "mixed")
-    words = mixed.select("key").mapInArrow(_bits_of, "w long, m long").groupBy("w").agg(F.expr("bit_or(m)").alias("m"))
-    bits = spark.sparkContext.broadcast(zlib.compress(_key_bits(words).tobytes(), 1))
-    some = wide.select("data").mapInArrow(_entries_in(bits), "key long, a long, na long")
-    return stored(some.join(mixed.select("key"), "key", "left_semi").distinct(), "columns")
-
-
-def histogram(grams: np.ndarray) -> bytes:
-    """Counts of the n-grams by hash, about two per counter; saturating at 255, so differences are only understated."""
-    bits = min(12, max(4, len(grams).bit_length() - 2))
-    return np.minimum(np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
-
-
-@F.arrow_udf(returnType=T.BooleanType())
-def _may_link(ha: pa.Array, na: pa.Array, hb: pa.Array, nb: pa.Array, percent: pa.Array) -> pa.Array:
-    """False only where the histograms prove too many n-grams of one set to be missing in the other."""
-    out = []
-    for a, m, b, n, p in zip(ha, na.to_pylist(), hb, nb.to_pylist(), percent.to_pylist(), strict=True):
-        x, y = np.frombuffer(a.as_buffer(), np.uint8).astype(np.int32), np.frombuffer(b.as_buffer(), np.uint8).astype(np.int32)
-        if len(x) > len(y):  # neighbouring counters of the finer one add up
-            x = x.reshape(len(y), -1).sum(1)
-        elif len(y) > len(x):
-            y = y.reshape(len(x), -1).sum(1)
-        apart = int(np.abs(x - y).sum())
-        shared = (m + n - apart) // 2
-        out.append(100 * shared >= p * (m + n - shared))
-    return pa.array(out, pa.bool_())
+    def run(batches):
+        for _, held in _grouped(batches, 3):
+            if len(held) > 1:
+                role, x, label, grams = zip(*held, strict=True)
+                v, c = forest(list(x), np.array(role), np.array(label), [np.frombuffer(g, "<u8") for g in grams], percent)
+                if len(v):
+                    yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(c)], ["a", "b"])
+
+    return run
 
 
-def _sets(n: int):
+def _partnered(percent: int):
+    """Partitions sorted by group: its members (h, x) that may link with another one.
+
+    Of linked rows x and y, all but max(|x| - p(x), |y| - p(y)) shared columns
+    lie in both prefixes, so the counts of the prefixes' product must reach
+    what is left of the least overlap.
+    """
+
     def run(batches):
-        for batch in batches:
-            raw, offsets = utf8(batch.column(1))
-            for s, e in portions(offsets):
-                sets = [g for g in gram_sets(raw[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s], n) if len(g)]
-                yield pa.RecordBatch.from_arrays([pa.array([_signature(g) for g in sets], pa.int64()), pa.array([len(g) for g in sets], pa.int64()), pa.array([top48(g) for g in sets], pa.binary()), pa.array([histogram(g) for g in sets], pa.binary())], ["sig", "n", "grams", "hist"])
+        for (h,), held in _grouped(batches, 1):
+            x, size, head = zip(*held, strict=True)
+            n = np.array(size)
+            heads = [np.unique(np.frombuffer(b, "<u4")) for b in head]
+            shared = overlaps(heads, heads)
+            rest = n - prefix_length(n, percent)
+            lost = prefix_length(n, percent) - np.array([len(b) for b in heads])  # columns equal in 32 bits
+            need = least_shared(n[:, None], n[None, :], percent) - np.maximum(rest[:, None], rest[None, :]) - np.maximum(lost[:, None], lost[None, :])
+            met = shared >= np.maximum(need, 1)
+            np.fill_diagonal(met, False)
+            keep = np.array(x, np.int64)[met.any(1)]
+            if len(keep):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), h, np.int64)), pa.array(keep)], ["h", "x"])
 
     return run
 
 
-def top48(grams: np.ndarray) -> bytes:
-    """The upper 48 bits of sorted hashes: two sets of 10,000 see a false match once in about three million pairs."""
-    return np.ascontiguousarray((grams >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+TILE = ["h", "u", "a", "role", "x", "c"]
 
 
-def whole48(data: pa.Buffer) -> np.ndarray:
-    out = np.zeros((data.size // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view("<u8").reshape(-1)
+def _links(tiles: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found in tiles (h, u, a, role, x, c): their rows' n-grams meet in one task per tile."""
+    full = tiles.select(*TILE).join(rows.select("x", "grams"), "x").select(*TILE, "grams").repartition("h", "u", "a").sortWithinPartitions("h", "u", "a")
+    return stored(full.mapInArrow(_tiles(percent), "a long, b long"), "links")
 
 
-def _verify(percent: int):
-    """Partitions sorted by (hub, salt, role): a hub's row first, then the rows to compare with it, one at a time."""
+def _dealt(by: str, into: str):
+    return F.pmod(F.xxhash64(by), F.col(into)).cast("int")
 
-    def run(batches):
-        at, hub = None, None
-        for batch in batches:
-            a, b, salt, role, grams = (batch.column(i) for i in range(5))
-            out_a, out_b = [], []
-            for x, y, s, r, g in zip(a.to_pylist(), b.to_pylist(), salt.to_pylist(), role.to_pylist(), grams, strict=True):
-                mine = whole48(g.as_buffer())
-                if r == 0:
-                    at, hub = (x, s), mine
-                    continue
-                assert at == (x, s), "a hub's row comes first"
-                place = np.minimum(np.searchsorted(hub, mine), len(hub) - 1)
-                shared = int((hub[place] == mine).sum())
-                if 100 * shared >= percent * (len(hub) + len(mine) - shared):
-                    out_a.append(x), out_b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    return run
+def _numbers(upto: str):
+    return F.explode(F.sequence(F.lit(0), F.col(upto) - 1))
 
 
-def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of signatures whose similarity reaches the threshold.
-
-    Whole rows are fetched only for signatures in pairs; each travels once per
-    hub it is compared with, and a hub's copies are spread over salts.
-    """
-    ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    wanted = stored(ends.join(classes.select("sig", "n", "rep"), "sig"), "wanted")
-    some = probe(docs.withColumn("_key", F.col("doc_id")), "_key", member_filter(wanted, "rep"), "_in", FILTER_BITS).filter("_in").select("doc_id", "text")
-    # a row that comes twice only repeats its links; those outside pairs meet nothing
-    rows = stored(some.mapInArrow(_sets(n), "sig long, n long, grams binary, hist binary"), "rows")
-    side = lambda x: rows.select(F.col("sig").alias(x), F.col("hist").alias(f"h{x}"), F.col("n").alias(f"n{x}"))
-    bounded = pairs.join(side("b"), "b").join(side("a"), "a").filter(_may_link("ha", "na", "hb", "nb", F.lit(percent)))
-    pairs = stored(bounded.select("a", "b").distinct(), "pairs")
-    salt = F.pmod(F.xxhash64("b"), F.lit(16)).cast("int").alias("salt")
-    spokes = pairs.join(rows.select(F.col("sig").alias("b"), "grams"), "b").select("a", "b", salt, F.lit(1).alias("role"), "grams")
-    hubs = pairs.select("a", salt).distinct().join(rows.select(F.col("sig").alias("a"), "grams"), "a").select("a", F.lit(None).cast("long").alias("b"), "salt", F.lit(0).alias("role"), "grams")
-    both = hubs.unionByName(spokes).repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return stored(both.mapInArrow(_verify(percent), "a long, b long"), "links")
-
-
-def _open(columns: DataFrame, label: DataFrame) -> DataFrame:
-    """Rows of the columns that still hold rows of several components: key, a, na, c, width."""
-    named = columns.join(label, F.col("a") == F.col("v")).select("key", "a", "na", "c")
-    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("width")).filter("lo < hi")
-    return stored(named.join(stored(mixed.select("key", "width"), "mixed"), "key"), "open")
-
-
-def _ordered_pair(a: str, b: str) -> list:
-    """The smaller set first, ties by signature."""
-    swap = (F.col(f"n{b}") < F.col(f"n{a}")) | ((F.col(f"n{b}") == F.col(f"n{a}")) & (F.col(b) < F.col(a)))
-    return [F.when(swap, F.col(b)).otherwise(F.col(a)).alias("a"), F.when(swap, F.col(a)).otherwise(F.col(b)).alias("b")]
-
-
-def _neighbours(open_: DataFrame, turn: int, percent: int) -> DataFrame:
-    """A linear number of pairs: in an order of its own for every turn, each row of a column with the next if that is of another component.
-
-    Wide columns are dealt into bins of about 200 rows.
-    """
-    packed = open_.groupBy("key", F.pmod(F.xxhash64("a", F.lit(-turn)), F.ceil(F.col("width") / 200).cast("long")).alias("bin")).agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("a", F.lit(turn)).alias("o"), "a", "na", "c"))).alias("x"))
-    steps = F.transform(F.sequence(F.lit(0), F.size("x") - 2), lambda i: F.struct(F.get("x", i).alias("p"), F.get("x", i + 1).alias("q")))
-    near = packed.filter("size(x) > 1").select(F.explode(steps).alias("s")).select(F.col("s.p.a").alias("p"), F.col("s.p.na").alias("np"), F.col("s.p.c").alias("cp"), F.col("s.q.a").alias("q"), F.col("s.q.na").alias("nq"), F.col("s.q.c").alias("cq"))
-    near = near.filter(f"cp <> cq and 100 * nq >= {percent} * np and 100 * np >= {percent} * nq")
-    return near.select(*_ordered_pair("p", "q")).distinct()
+def _first_tiles(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """Groups of one tile whole; in larger ones every row meets the pivots, of each of PIVOTS parts the row whose n-grams are the most common."""
+    zero = F.lit(0).alias("u")
+    small = members.filter("k = 1").select("h", zero, F.lit(0).alias("a"), F.lit(3).alias("role"), "x", F.col("x").alias("c"))
+    large = members.filter("k > 1")
+    spoke = large.select("h", zero, _dealt("x", "k").alias("a"), F.lit(2).alias("role"), "x", F.col("x").alias("c"))
+    salt = F.pmod(F.xxhash64("x", F.lit(7)), F.lit(PIVOTS))
+    pivots = large.join(heads.select("x", "mass"), "x").groupBy("h", "k", salt.alias("salt")).agg(F.max_by("x", F.struct("mass", "x")).alias("x"))
+    hub = pivots.select("h", zero, _numbers("k").alias("a"), F.lit(1).alias("role"), "x", F.lit(-1).cast("long").alias("c"))
+    return small.unionByName(spoke).unionByName(hub)
 
 
-def _across(open_: DataFrame, percent: int) -> DataFrame:
-    """All pairs of rows of one column that lie in different components, within the size bounds."""
-    parts = open_.groupBy("key", "c").agg(F.min("na").alias("least"), F.max("na").alias("most"))
-    other = parts.select("key", F.col("c").alias("c2"), F.col("least").alias("least2"), F.col("most").alias("most2"))
-    meet = parts.join(other, "key").filter(f"c < c2 and 100 * most2 >= {percent} * least and 100 * most >= {percent} * least2").select("key", "c", "c2")
-    one = meet.join(open_, ["key", "c"]).select("key", "c2", "a", "na")
-    two = one.join(open_.select("key", F.col("c").alias("c2"), F.col("a").alias("b"), F.col("na").alias("nb")), ["key", "c2"])
-    two = two.filter(f"100 * nb >= {percent} * na and 100 * na >= {percent} * nb")
-    return two.select(*_ordered_pair("a", "b")).distinct()
+def _open_tiles(members: DataFrame, inside: DataFrame, rows_a_tile: int) -> DataFrame:
+    """Of large groups that still hold several components: all rows outside the largest against all rows."""
+    label = F.coalesce("c", "x").alias("c")
+    large = stored(members.filter("k > 1").join(inside.withColumnRenamed("v", "x"), "x", "left").select("h", "x", "k", label), "large")
+    sizes = large.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("h").agg(F.max_by("c", F.struct("n", "c")).alias("main"), (F.sum("n") - F.max("n")).alias("outside"))
+    main = main.filter("outside > 0").select("h", "main", F.ceil(F.col("outside") / rows_a_tile).cast("int").alias("ku"))
+    named = large.join(main, "h")
+    left = named.filter("c <> main").select("h", _dealt("x", "ku").alias("u"), _numbers("k").alias("a"), F.lit(1).alias("role"), "x", "c")
+    right = named.select("h", _numbers("ku").alias("u"), _dealt("x", "k").alias("a"), F.lit(2).alias("role"), "x", "c")
+    return left.unionByName(right)
 
 
-def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = 100_000, tile_rows: int = 512, tile_grams: int = 2_000_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Links are pairs whose sets of word n-grams have 100 |x & y| >= percent
@@ -477,6 +513,9 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     sets are one row of the product.  Rows repeating an id are linked like any
     others and share the id.  Null ids come last: a component of null ids only
     has a null id.  Other columns of docs are ignored.
+
+    hot_rows: columns of more rows are dealt over several tasks; tile_rows,
+    tile_grams: what one side of a tile holds, about.  They change no result.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -487,33 +526,30 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     order = spark.sparkContext.broadcast(zlib.compress(order.tobytes(), 1))
     entries = classes.agg(F.sum(F.expr(f"n - cast(floor(({percent} * n + 99) / 100) as long) + 1"))).first()[0] or 0
     blocks = 1 << max(10, int(np.ceil(np.log2(max(1, entries / BLOCK_ENTRIES)))))
-    packed = docs.mapInArrow(_prefixes(n, percent, order, blocks), "block long, entries binary")
-    parts = blocks // 8
-    product = stored(packed.groupBy("block").applyInArrow(_column_block(percent, parts), PACKETS), "product")
-    tested = stored(product.filter("kind = 0").groupBy("part").applyInArrow(_pairs_of, "a long, b long, first boolean"), "tested")
-    links = _linked(docs, classes, tested.filter("first").select("a", "b"), n, percent)
+    hot, parts = _hot_class(hot_rows), max(1, blocks // 8)
+    packed = docs.mapInArrow(_prefixes(n, percent, order, blocks, hot), "block long, entries binary")
+    product = stored(packed.groupBy("block").applyInArrow(_column_block(percent, parts, hot), PACKETS), "product")
+    members = product.filter("kind = 0").groupBy("part").applyInArrow(_members_of, "h long, x long, n long")
+    if product.filter("kind = 1").limit(1).count():
+        members = members.unionByName(_hot_members(product.filter("kind = 1").select("data"), percent)).distinct()
+    members = stored(members, "members")
+    tiles = F.ceil(F.greatest((F.count(F.lit(1)) + 1) / tile_rows, F.sum("n") / tile_grams)).cast("int").alias("k")
+    groups = members.groupBy("h").agg(tiles)
+    members = stored(members.select("h", "x").join(groups, "h").unionByName(groups.select("h", F.col("h").alias("x"), "k")), "groups")
+    # a row that comes twice only repeats its links; those outside groups meet nothing
+    represented = classes.select(F.col("sig").alias("x"), "rep")
+    wanted = stored(members.select("x").distinct().join(represented, "x"), "wanted")
+    heads = stored(_rows_like(docs, wanted).mapInArrow(_heads(n, percent, order), "x long, n long, mass double, head binary"), "heads")
+    small = members.filter("k = 1").select("h", "x").join(heads.select("x", "n", "head"), "x").select("h", "x", "n", "head")
+    met = small.repartition("h").sortWithinPartitions("h").mapInArrow(_partnered(percent), "h long, x long")
+    members = stored(met.withColumn("k", F.lit(1)).unionByName(members.filter("k > 1")), "partners")
+    wanted = stored(members.select("x").distinct().join(represented, "x"), "wanted")
+    rows = stored(_rows_like(docs, wanted).mapInArrow(_sets(n), "x long, grams binary").join(wanted.select("x"), "x", "left_semi"), "rows")
+    links = _links(_first_tiles(members, heads), rows, percent)
     inside = components(links)
-    rest, tested = tested.filter("not first").select("a", "b"), tested.select("a", "b")
-    for x in "ab":
-        rest = rest.join(inside.select(F.col("v").alias(x), F.col("c").alias(f"c{x}")), x, "left")
-    rest = stored(rest.filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), "pairs")
-    if rest.limit(1).count():
-        links = links.unionByName(_linked(docs, classes, rest, n, percent))
-        inside = components(links)
-    columns = _open_columns(product.filter("kind = 1").select("part", "data"), inside, parts)
-    for turn in range(1, TURNS + 2):
-        members = columns.select(F.col("a").alias("v")).distinct()
-        label = stored(members.join(inside, "v", "left").select("v", F.coalesce("c", "v").alias("c")), "label")
-        columns = _open(columns, label)
-        if not columns.limit(1).count():
-            break
-        more = _across(columns, percent) if turn > TURNS else _neighbours(columns, turn, percent)
-        columns = columns.select("key", "a", "na")
-        more = stored(more.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if more.limit(1).count():
-            links = links.unionByName(_linked(docs, classes, more, n, percent))
-            tested = tested.unionByName(more)
-            inside = components(links)
+    if members.filter("k > 1").limit(1).count():
+        more = _links(_open_tiles(members, inside, tile_rows), rows, percent)
+        inside = components(links.unionByName(more))
     named = stored(classes.join(inside, F.col("sig") == F.col("v"), "left").select("sig", "rep", F.coalesce("c", "sig").alias("c")), "named")
     least = stored(named.groupBy("c").agg(F.min("rep").alias("component_id")), "least")
     by_sig = stored(named.join(least, "c").select("sig", "component_id"), "by-sig")

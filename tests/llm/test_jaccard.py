@@ -73,3 +73,36 @@ def test_components(spark):
             label[a] = label[b] = min(label[a], label[b])
     alone = {v for v in label if all(v not in e or e[0] == e[1] for e in edges)}
     assert got == {v: c for v, c in label.items() if v not in alone}
+
+
+def drifting(rng, count, shared):
+    base = [f"w{rng.randrange(999)}" for _ in range(60)]
+    rows = []
+    for i in range(count):
+        words = list(base)
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(60)] = f"v{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words + shared)))
+    return rows
+
+
+@pytest.mark.parametrize("hot_rows, tile_rows", [(100_000, 4), (3, 5)])
+def test_hot_columns_and_large_groups(spark, hot_rows, tile_rows):
+    """Neither how columns are dealt nor the size of tiles changes a row."""
+    rng = random.Random(9)
+    rows = drifting(rng, 70, []) + [(1000 + i, t) for i, t in drifting(rng, 40, ["a", "shared", "passage", "of", "some", "words"] * 3)]
+    rows += [(2000 + i, " ".join(["one", "long", "line", "that", "many", "rows", "hold"] * 3 + [f"x{i}{j}" for j in range(i % 9)])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in J.jaccard_classes(docs, hot_rows=hot_rows, tile_rows=tile_rows).collect())
+    assert got == brute(rows)
+    assert len({c for _, _, c in got}) < len(got)
+
+
+def test_overlaps_and_size_classes():
+    rng = random.Random(3)
+    sets = [J.np.array(sorted(rng.sample(range(90), rng.randrange(1, 60))), "<u8") for _ in range(30)]
+    for left, right in ((sets, sets), (sets[:7], sets[5:]), (sets[:2], sets[4:6])):
+        assert (J.overlaps(left, right) == [[len(set(a.tolist()) & set(b.tolist())) for b in right] for a in left]).all()
+    bounds = J.size_bounds(80)
+    size = lambda n: int(J.np.searchsorted(bounds, n, side="right"))
+    assert all(0 <= size(m) - size(n) <= 1 for n in range(1, 700) for m in range(n, 125 * n // 100 + 1) if 100 * n >= 80 * m)
