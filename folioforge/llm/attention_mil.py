@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read
+from .common import give_back, read
 from .wordhash import SPACED, mix, portions, utf8, word_hashes
 
 PASSAGE = 64
@@ -184,6 +184,7 @@ def scorer(spark: SparkSession, model: Model):
     def score(text: pa.Array) -> pa.Array:
         raw, offsets = utf8(text)
         out = [held.value.score(*encode(raw[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])) for s, e in portions(offsets)]
+        give_back()
         return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
     return score

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; only where that is unset, as in tests, a temporary one."""
+    """The folder all executors share, from spark.checkpoint.dir; only where that is unset on one machine, as in tests, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = getattr(spark, "_folioforge_folder", None) or tempfile.mkdtemp(prefix="folioforge-")
         spark._folioforge_folder = folder
     return folder.rstrip("/")
@@ -38,6 +43,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Returns freed memory to the machine: Python workers outlive their tasks, and what they keep counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function for mapInArrow that gives memory back when its task ends."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import lean, stored
 
 CHUNK = 1_000_000  # edges a task merges at once
 
@@ -56,9 +56,9 @@ def components(edges: DataFrame) -> DataFrame:
     vertex of any degree leaves it once; edges of one vertex then meet, and
     labels jump to their label's label, until nothing changes.
     """
-    stars = edges.select("a", "b").mapInArrow(_stars, "v long, c long")
+    stars = edges.select("a", "b").mapInArrow(lean(_stars), "v long, c long")
     while True:
-        stars = stored(stars.repartition("v").mapInArrow(_stars, "v long, c long").distinct(), "stars")
+        stars = stored(stars.repartition("v").mapInArrow(lean(_stars), "v long, c long").distinct(), "stars")
         onward = stars.select(F.col("v").alias("c"), F.col("c").alias("further"))
         stars = stored(stars.join(onward, "c", "left").select("v", F.coalesce("further", "c").alias("c"), F.col("further").isNotNull().alias("moved")), "labels")
         several = stars.groupBy("v").agg((F.min("c") < F.max("c")).alias("several"), F.max("moved").alias("moved")).filter("several or moved")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read, salted, spread, stored
+from .common import give_back, read, salted, spread, stored
 from .wordhash import ALNUM, ngrams, portions, utf8, word_hashes
 
 WINDOW = 10
@@ -163,6 +163,7 @@ def hits_of(spark: SparkSession, block: Index):
     @F.arrow_udf(returnType=RESULT)
     def scan(text: pa.Array) -> pa.Array:
         counts, spans, found = scan_batch(text, held.value)
+        give_back()
         return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string()))], ["n_words", "spans", "items"])
 
     return scan

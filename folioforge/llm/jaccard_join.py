@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FILTER_BITS, member_filter, probe, read, stored
+from .common import FILTER_BITS, lean, member_filter, probe, read, stored
 from .components import components, least_labels
 from .wordhash import SPACED, mix, ngrams, portions, utf8, word_hashes
 
@@ -468,7 +468,7 @@ TILE = ["h", "u", "a", "role", "x", "c"]
 def _links(tiles: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) found in tiles (h, u, a, role, x, c): their rows' n-grams meet in one task per tile."""
     full = tiles.select(*TILE).join(rows.select("x", "grams"), "x").select(*TILE, "grams").repartition("h", "u", "a").sortWithinPartitions("h", "u", "a")
-    return stored(full.mapInArrow(_tiles(percent), "a long, b long"), "links")
+    return stored(full.mapInArrow(lean(_tiles(percent)), "a long, b long"), "links")
 
 
 def _dealt(by: str, into: str):
@@ -519,7 +519,7 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    summary = stored(docs.mapInArrow(_summaries(n), SUMMARY), "summaries")
+    summary = stored(docs.mapInArrow(lean(_summaries(n)), SUMMARY), "summaries")
     own = summary.filter("kind = 0").select("doc_id", "n", "sig")
     classes = stored(own.filter("sig is not null").groupBy("sig").agg(F.min("n").alias("n"), F.min("doc_id").alias("rep")), "classes")
     order = frequency_classes(summary.filter("kind = 1").select("doc_id", "n", "counts"))
@@ -527,7 +527,7 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     entries = classes.agg(F.sum(F.expr(f"n - cast(floor(({percent} * n + 99) / 100) as long) + 1"))).first()[0] or 0
     blocks = 1 << max(10, int(np.ceil(np.log2(max(1, entries / BLOCK_ENTRIES)))))
     hot, parts = _hot_class(hot_rows), max(1, blocks // 8)
-    packed = docs.mapInArrow(_prefixes(n, percent, order, blocks, hot), "block long, entries binary")
+    packed = docs.mapInArrow(lean(_prefixes(n, percent, order, blocks, hot)), "block long, entries binary")
     product = stored(packed.groupBy("block").applyInArrow(_column_block(percent, parts, hot), PACKETS), "product")
     members = product.filter("kind = 0").groupBy("part").applyInArrow(_members_of, "h long, x long, n long")
     if product.filter("kind = 1").limit(1).count():
@@ -539,12 +539,12 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     # a row that comes twice only repeats its links; those outside groups meet nothing
     represented = classes.select(F.col("sig").alias("x"), "rep")
     wanted = stored(members.select("x").distinct().join(represented, "x"), "wanted")
-    heads = stored(_rows_like(docs, wanted).mapInArrow(_heads(n, percent, order), "x long, n long, mass double, head binary"), "heads")
+    heads = stored(_rows_like(docs, wanted).mapInArrow(lean(_heads(n, percent, order)), "x long, n long, mass double, head binary"), "heads")
     small = members.filter("k = 1").select("h", "x").join(heads.select("x", "n", "head"), "x").select("h", "x", "n", "head")
-    met = small.repartition("h").sortWithinPartitions("h").mapInArrow(_partnered(percent), "h long, x long")
+    met = small.repartition("h").sortWithinPartitions("h").mapInArrow(lean(_partnered(percent)), "h long, x long")
     members = stored(met.withColumn("k", F.lit(1)).unionByName(members.filter("k > 1")), "partners")
     wanted = stored(members.select("x").distinct().join(represented, "x"), "wanted")
-    rows = stored(_rows_like(docs, wanted).mapInArrow(_sets(n), "x long, grams binary").join(wanted.select("x"), "x", "left_semi"), "rows")
+    rows = stored(_rows_like(docs, wanted).mapInArrow(lean(_sets(n)), "x long, grams binary").join(wanted.select("x"), "x", "left_semi"), "rows")
     links = _links(_first_tiles(members, heads), rows, percent)
     inside = components(links)
     if members.filter("k > 1").limit(1).count():

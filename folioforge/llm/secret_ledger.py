@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import FILTER_BITS, member_filter, probe, read, salted, spread, stored
+from .common import FILTER_BITS, fresh_path, member_filter, probe, read, salted, spread, stored
 
 
 @dataclass(frozen=True)
@@ -49,7 +49,7 @@ RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", r"eyJ[A-Za-z0-9_-]{8}"),
     Rule("login", r"://[^\s/:@]{1,200}:[^\s/:@]{1,200}@", r"://[^\s/:@]{1,200}:"),
 )
-SPANS = "array<struct<start:bigint,place:int,kind:string,end:bigint>>"
+SPANS = "array<struct<start:bigint,place:int,kind:string,end:bigint,rule:string>>"
 LEDGER = f"blob string, rules array<string>, spans {SPANS}"
 
 
@@ -73,8 +73,8 @@ def _scan(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for i, r in enumerate(rules):
         if r.least:
             fits = fits & ((F.col("place") != i) | (F.length(F.regexp_extract("hit", r.pattern, r.group)) >= r.least))
-    kinds = F.array(*(F.lit(r.kind) for r in rules))
-    found = each.filter(fits).select("blob", F.struct((F.col("end") - F.col("size")).cast("long").alias("start"), "place", F.get(kinds, F.col("place")).alias("kind"), F.col("end").cast("long").alias("end")).alias("span"))
+    kinds, keys = F.array(*(F.lit(r.kind) for r in rules)), F.array(*(F.lit(r.key) for r in rules))
+    found = each.filter(fits).select("blob", F.struct((F.col("end") - F.col("size")).cast("long").alias("start"), "place", F.get(kinds, F.col("place")).alias("kind"), F.col("end").cast("long").alias("end"), F.get(keys, F.col("place")).alias("rule")).alias("span"))
     return found.groupBy("blob").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
@@ -107,13 +107,15 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: Sequen
         fresh = new.unionByName(met)
         fresh = fresh.withColumn("_live", (F.size("todo") > 0) & suspect)
     # a row without anything suspicious needs no text any more, and a suspicious blob is scanned once
-    live = fresh.filter("_live").groupBy("blob").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
+    marks = stored(fresh.select("doc_id", "blob", "todo", "_live", F.when(F.col("_live"), F.col("text")).alias("text")), "blobs")
+    live = marks.filter("_live").groupBy("blob").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
     scanned = stored(_scan(live, rules), "findings")
-    marks = stored(fresh.select("doc_id", "blob", "todo", "_live"), "blobs")
     spans = scanned
     if known is not None:
-        live_kinds = F.filter("old", lambda s: F.array_contains(F.array(*(F.lit(r.kind) for r in rules)), s["kind"]))
-        old = known.select("blob", live_kinds.alias("spans")).filter("size(spans) > 0")
+        # of what other versions of a rule found nothing stays, and places are those of the rules asked for
+        valid = F.filter("old", lambda s: F.array_contains(every, s["rule"]))
+        placed = F.transform(valid, lambda s: F.struct(s["start"].alias("start"), (F.array_position(every, s["rule"]) - 1).cast("int").alias("place"), s["kind"].alias("kind"), s["end"].alias("end"), s["rule"].alias("rule")))
+        old = known.select("blob", placed.alias("spans")).filter("size(spans) > 0")
         spans = scanned.unionByName(old).groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
         asks = F.lit(True)
     else:
@@ -131,7 +133,10 @@ def _listed(spans: Column) -> Column:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    findings, _ = scan_secrets(read(spark, sf_dir, "documents"))
+    """The corpus is scanned into a ledger, and the findings are those of a second run that finds every blob in it."""
+    docs, path = read(spark, sf_dir, "documents"), fresh_path(spark, "secret-ledger")
+    scan_secrets(docs)[1].write.option("compression", "zstd").parquet(path)
+    findings, _ = scan_secrets(docs, spark.read.schema(LEDGER).parquet(path))
     base = F.filter("spans", lambda s: s["place"] < len(BASE))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return findings.select("doc_id", *(count(r.kind).alias(f"n_{r.kind}") for r in BASE), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))

@@ -64,14 +64,14 @@ def fit_domains(docs: DataFrame, labels: DataFrame, names: list[str], rows: int
     Of conflicting labels the smallest counts, of several texts of one id the
     smallest.  Domains that are not in ``names`` and null labels are left out.
     """
-    known = labels.select(F.col("doc_id").alias("_id"), F.col("domain").alias("_y")).filter(F.col("_id").isNotNull() & F.col("_y").isin(names))
-    known = known.groupBy("_id").agg(F.min("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    sample = texts.join(F.broadcast(known), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.min("_y").alias("_y"))
-    sample = stored(sample.withColumn("_words", words_of(F.col("_text"))), "mix-sample")
-    size = {r["_y"]: r["n"] for r in sample.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = labels.select(F.col("doc_id").alias("_ff_id"), F.col("domain").alias("_ff_y")).filter(F.col("_ff_id").isNotNull() & F.col("_ff_y").isin(names))
+    known = known.groupBy("_ff_id").agg(F.min("_ff_y").alias("_ff_y")).orderBy(F.xxhash64("_ff_id"), "_ff_id").limit(rows)
+    texts = docs.select(F.col(id_col).alias("_ff_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_ff_text"))
+    sample = texts.join(F.broadcast(known), "_ff_id").groupBy("_ff_id").agg(F.min("_ff_text").alias("_ff_text"), F.min("_ff_y").alias("_ff_y"))
+    sample = stored(sample.withColumn("_ff_words", words_of(F.col("_ff_text"))), "mix-sample")
+    size = {r["_ff_y"]: r["n"] for r in sample.groupBy("_ff_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(size.values())
-    each = sample.select("_y", F.explode(F.array_distinct("_words")).alias("w")).groupBy("w").pivot("_y", names).agg(F.count(F.lit(1))).fillna(0)
+    each = sample.select("_ff_y", F.explode(F.array_distinct("_ff_words")).alias("w")).groupBy("w").pivot("_ff_y", names).agg(F.count(F.lit(1))).fillna(0)
     each = stored(each, "mix-words")
     lexicons = {}
     for name in names:
@@ -80,9 +80,9 @@ def fit_domains(docs: DataFrame, labels: DataFrame, names: list[str], rows: int
         ratio = (inside + 0.5) / (own + 1) / ((outside + 0.5) / (others + 1))
         top = each.filter((inside >= 5) & (ratio > 4)).orderBy(ratio.desc(), "w").limit(LEXICON)
         lexicons[name] = [r["w"] for r in top.select("w").collect()] if name != max(names, key=lambda n: size.get(n, 0)) else []
-    bins = feature_bins(F.col("_text"), F.col("_words"), lexicons)
+    bins = feature_bins(F.col("_ff_text"), F.col("_ff_words"), lexicons)
     pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("f"), b.alias("b")) for f, b in bins.items())))
-    counts = {(r["_y"], r["f"], r["b"]): r["n"] for r in sample.select("_y", pairs.alias("x")).groupBy("_y", "x.f", "x.b").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {(r["_ff_y"], r["f"], r["b"]): r["n"] for r in sample.select("_ff_y", pairs.alias("x")).groupBy("_ff_y", "x.f", "x.b").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = {f: [[math.log((counts.get((k, f, b), 0) + 0.5) / (size.get(k, 0) + 0.5 * BINS)) for b in range(BINS)] for k in names] for f in bins}
     return Domains(names, [math.log((size.get(k, 0) + 1) / (total + len(names))) for k in names], lexicons, table)
 
@@ -144,25 +144,25 @@ def _copies(rate: Column, key: Column) -> Column:
 
 
 def featured(docs: DataFrame, model: Domains, id_col: str, text_col: str) -> DataFrame:
-    """docs with _tokens (words of letters and digits) and one _b_ column per feature."""
-    out = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_words", words_of(F.col("_text")))
-    bins = {f"_b_{f}": b for f, b in feature_bins(F.col("_text"), F.col("_words"), model.lexicons).items()}
-    return out.withColumns({"_tokens": F.size("_words").cast("long"), **bins}).drop("_text", "_words")
+    """docs with _tokens (words of letters and digits) and one _ff_b_ column per feature."""
+    out = docs.withColumn("_ff_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_ff_words", words_of(F.col("_ff_text")))
+    bins = {f"_ff_b_{f}": b for f, b in feature_bins(F.col("_ff_text"), F.col("_ff_words"), model.lexicons).items()}
+    return out.withColumns({"_ff_tokens": F.size("_ff_words").cast("long"), **bins}).drop("_ff_text", "_ff_words")
 
 
 def _rated(rows: DataFrame, profiles: DataFrame, model: Domains, targets: Mapping[str, float], budget: float | None, max_rate: float | None, id_col: str) -> DataFrame:
     """rows of ``featured`` with posteriors, rates and copies; profiles: tokens per combination of bins."""
-    names, bins = model.names, [f"_b_{f}" for f in model.table]
-    named = [p.alias(f"p_{k}") for k, p in zip(names, posteriors(model, {f: F.col(f"_b_{f}") for f in model.table}), strict=True)]
+    names, bins = model.names, [f"_ff_b_{f}" for f in model.table]
+    named = [p.alias(f"p_{k}") for k, p in zip(names, posteriors(model, {f: F.col(f"_ff_b_{f}") for f in model.table}), strict=True)]
     rates, _ = fit_rates(stored(profiles.coalesce(1).select("*", *named), "mix-profiles"), names, targets, budget, max_rate)
     # at most BINS ** features rows of a few numbers: 2 MB for five features
-    side = F.broadcast(stored(rates.select(*(F.col(k).alias(f"{k}_") for k in bins), *(F.col(f"p_{k}").alias(f"_p_{k}") for k in names), F.col("rate").alias("_rate")), "mix-rates"))
+    side = F.broadcast(stored(rates.select(*(F.col(k).alias(f"{k}_") for k in bins), *(F.col(f"p_{k}").alias(f"_ff_p_{k}") for k in names), F.col("rate").alias("_ff_rate")), "mix-rates"))
     out = rows.join(side, [F.col(k) == F.col(f"{k}_") for k in bins]).drop(*bins, *(f"{k}_" for k in bins))
-    return out.withColumn("_copies", _copies(F.col("_rate"), F.col(id_col)))
+    return out.withColumn("_ff_copies", _copies(F.col("_ff_rate"), F.col(id_col)))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, budget: float | None = None, max_rate: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of docs with _tokens, _p_<domain>, _rate and _copies.
+    """All rows and columns of docs with _ff_tokens, _ff_p_<domain>, _ff_rate and _ff_copies.
 
     Tokens are words of letters and digits.  A null text counts as empty and
     has no tokens, but a rate like any other.  Null ids share one draw;
@@ -171,14 +171,14 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGE
     """
     model = fit_domains(docs, labels, sorted(targets), id_col=id_col, text_col=text_col)
     rows = featured(docs, model, id_col, text_col)
-    profiles = stored(rows.groupBy(*(f"_b_{f}" for f in model.table)).agg(F.sum("_tokens").alias("tokens")), "mix-profiles")
+    profiles = stored(rows.groupBy(*(f"_ff_b_{f}" for f in model.table)).agg(F.sum("_ff_tokens").alias("tokens")), "mix-profiles")
     return _rated(rows, profiles, model, targets, budget, max_rate, id_col)
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, max_rate: float | None = None, **kw) -> DataFrame:
     """docs with every row as often as its copies say, and the columns of docs."""
     out = mix(docs, labels, targets, max_rate=max_rate, **kw)
-    out = out.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    out = out.filter("_ff_copies > 0").withColumn("_ff_copy", F.explode(F.sequence(F.lit(1), F.col("_ff_copies"))))
     return out.select(*docs.columns)
 
 
@@ -193,6 +193,6 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_domains(docs, domain_labels(read(spark, sf_dir, "labels")), names)
     rows = stored(featured(docs, model, "doc_id", "text").drop("text"), "mix-features")
-    profiles = rows.groupBy(*(f"_b_{f}" for f in model.table)).agg(F.sum("_tokens").alias("tokens"))
+    profiles = rows.groupBy(*(f"_ff_b_{f}" for f in model.table)).agg(F.sum("_ff_tokens").alias("tokens"))
     out = _rated(rows, profiles, model, TARGETS, None, None, "doc_id")
-    return out.select("doc_id", F.col("_tokens").alias("tokens"), *(F.col(f"_p_{k}").alias(f"p_{k}") for k in names), F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
+    return out.select("doc_id", F.col("_ff_tokens").alias("tokens"), *(F.col(f"_ff_p_{k}").alias(f"p_{k}") for k in names), F.col("_ff_rate").alias("rate"), F.col("_ff_copies").alias("copies"))

@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh_path, read, salted, spread
+from .common import fresh_path, lean, read
 
 END_ID = 2
 MEAN_CHUNK = 512
 MOST_CHUNK = 4096
 WINDOW = 4
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 400_000
 TAILS = ".,!?;:"
 
 
@@ -49,7 +49,7 @@ class Encoder:
     The library's pre-tokenizer always starts a new piece at a space that has
     a non-space before or after it, so a text falls apart there into units
     whose ids do not depend on their neighbours.  Each distinct unit is encoded
-    by the library once and kept, up to ``CACHE_UNITS`` (about 250 MB in a
+    by the library once and kept, up to ``CACHE_UNITS`` (about 80 MB in a
     worker); texts with a space between two white-space characters are encoded
     whole.
     """
@@ -290,8 +290,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
     spark = docs.sparkSession
     vocabulary = vocabulary or default_vocabulary()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_cut_up(vocabulary, end_id), PIECES)
-    unique = pieces.repartition(parts, "key").sortWithinPartitions("kind", "digest").mapInArrow(_once, PIECES)
+    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(_cut_up(vocabulary, end_id)), PIECES)
+    unique = pieces.repartition(parts, "key").sortWithinPartitions("kind", "digest").mapInArrow(lean(_once), PIECES)
     unique.select("kind", "doc_id", "n", "digest", "payload").write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/pieces")
     recipes = _pieces(spark, path).filter("kind = 1").select("doc_id", "n", F.col("payload").alias("recipe"), F.col("digest").alias("root"))
     ordered = recipes.repartitionByRange(parts, "doc_id", "root").sortWithinPartitions("doc_id", "root")
@@ -311,19 +311,42 @@ def chunks(spark: SparkSession, path: str) -> DataFrame:
     return _pieces(spark, path).filter("kind = 0").select("digest", "n", "payload")
 
 
-def _check_chunks(width: int):
-    def run(batches):
-        for batch in batches:
-            crcs, sizes = [], []
-            for digest, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if hashlib.sha256(data).digest() != digest:
-                    raise ValueError(f"chunk {digest.hex()} is damaged")
-                ids = np.frombuffer(data, f"<u{width}")
-                crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                sizes.append(len(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64())], ["digest", "n", "crc"])
+def _ids_of(data: bytes, n: int) -> np.ndarray:
+    """The n ids of a chunk; its length says how wide they are."""
+    if n < 1 or len(data) not in (2 * n, 4 * n):
+        raise ValueError(f"{n} ids do not fill {len(data)} bytes")
+    return np.frombuffer(data, f"<u{len(data) // n}").astype("<u4")
 
-    return run
+
+def _check_chunks(batches):
+    for batch in batches:
+        crcs = []
+        for digest, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if hashlib.sha256(data).digest() != digest:
+                raise ValueError(f"chunk {digest.hex()} is damaged")
+            crcs.append(zlib.crc32(_ids_of(data, n).tobytes()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(crcs, pa.int64())], ["digest", "n", "crc"])
+
+
+def _check_manifests(batches):
+    """Partitions sorted by (part, kind, ord): (part, ids) of every part whose recipes are those of its manifest, in its order."""
+    part, count, ids, roots = None, 0, 0, Roots()
+    for batch in batches:
+        done = []
+        for kind, p, ord_, n, root in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if part is None:
+                part, count, ids, roots = p, 0, 0, Roots()
+            if kind == 1 and p == part and ord_ == count:
+                count, ids = count + 1, ids + n
+                roots.add(root)
+            elif kind == 2 and (p, ord_, n, root) == (part, count, ids, roots.root()):
+                done.append((part, ids))
+                part = None
+            else:
+                raise ValueError(f"recipes of part {part} are not those of its manifest")
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.int32()), pa.array([x[1] for x in done], pa.int64())], ["part", "n"])
+    if part is not None:
+        raise ValueError(f"part {part} has no manifest")
 
 
 def _steps(batches):
@@ -377,23 +400,24 @@ def _moved(crc: pa.Array, after: pa.Array) -> pa.Array:
     return pa.array(shift_crc(crc.to_numpy(zero_copy_only=False), 4 * after.to_numpy(zero_copy_only=False)).astype(np.int64), pa.int64())
 
 
-def read_tokens(spark: SparkSession, path: str, vocabulary_size: int = 50_257) -> DataFrame:
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """One row per document, from the files: doc_id, start, n_tokens, ids_crc32.
 
-    Every chunk's bytes are checked against its address and every recipe
-    against its root.  Checksums of chunks are joined to recipes and combined;
-    payloads are read where they lie and not shuffled.
+    Every chunk's bytes are checked against its address, every recipe against
+    its root and the recipes of a part against its manifest.  Checksums of
+    chunks are joined to recipes and combined; payloads are read where they lie
+    and not shuffled, and adaptive execution splits a frequent chunk's join.
     """
-    width = 2 if vocabulary_size <= 1 << 16 else 4
-    sums = chunks(spark, path).select("digest", "payload").mapInArrow(_check_chunks(width), "digest binary, n long, crc long")
+    sums = chunks(spark, path).mapInArrow(lean(_check_chunks), "digest binary, n long, crc long")
     recipes = _recipes(spark, path)
     docs = recipes.filter("kind = 1")
-    steps = docs.select("part", "ord", "recipe", "root").mapInArrow(_steps, "part int, ord long, pos long, digest binary, after long")
-    each = salted(steps, F.struct("part", "ord"), 4).join(spread(sums, 4), ["digest", "_salt"], "left")
+    steps = docs.select("part", "ord", "recipe", "root").mapInArrow(lean(_steps), "part int, ord long, pos long, digest binary, after long")
+    each = steps.join(sums, "digest", "left")
     each = each.withColumn("crc", F.coalesce("crc", F.raise_error(F.lit("a chunk is missing")).cast("long")))
     by_doc = each.select("part", "ord", "n", _moved("crc", "after").alias("crc")).groupBy("part", "ord").agg(F.sum("n").alias("n_tokens"), F.bit_xor("crc").alias("ids_crc32"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = recipes.filter("kind = 2").select("part", F.coalesce(before, F.lit(0)).alias("offset"))  # a row per recipe part
+    listed = recipes.select("kind", "part", "ord", "n", "root").repartition("part").sortWithinPartitions("part", "kind", "ord")
+    offsets = listed.mapInArrow(_check_manifests, "part int, n long").select("part", F.coalesce(before, F.lit(0)).alias("offset"))  # a row per recipe part
     out = docs.select("part", "ord", "doc_id", "start").join(by_doc, ["part", "ord"]).join(F.broadcast(offsets), "part")
     return out.select("doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
@@ -402,11 +426,11 @@ def reconstruct(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame
     """doc_id and ids (array of ints) of some documents, rebuilt through joins of recipes and chunks."""
     docs = _recipes(spark, path).filter("kind = 1").filter(F.col("doc_id").isin(doc_ids))
     steps = docs.select("part", "ord", "recipe", "root").mapInArrow(_steps, "part int, ord long, pos long, digest binary, after long")
-    whole = steps.join(chunks(spark, path), "digest").groupBy("part", "ord").agg(F.array_sort(F.collect_list(F.struct("pos", "payload"))).alias("x"))
+    whole = steps.join(chunks(spark, path), "digest").groupBy("part", "ord").agg(F.array_sort(F.collect_list(F.struct("pos", "n", "payload"))).alias("x"))
 
     @F.arrow_udf(returnType=T.ArrayType(T.IntegerType()))
     def ids(x: pa.Array) -> pa.Array:
-        return pa.array([np.frombuffer(b"".join(s["payload"] for s in row), "<u2").astype(np.int32) for row in x.to_pylist()], pa.list_(pa.int32()))
+        return pa.array([np.concatenate([_ids_of(s["payload"], s["n"]) for s in row]).astype(np.int32) for row in x.to_pylist()], pa.list_(pa.int32()))
 
     return docs.select("part", "ord", "doc_id").join(whole, ["part", "ord"]).select("doc_id", ids("x").alias("ids"))
 

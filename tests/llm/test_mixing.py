@@ -16,18 +16,18 @@ def test_targets_are_met_and_domains_found(spark):
     domains = M.domain_labels(labels)
     train, held = domains.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0), domains.filter(F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
     out = M.mix(docs, train).cache()
-    got = out.join(held, "doc_id").select("domain", *(f"_p_{k}" for k in sorted(M.TARGETS))).toPandas()
-    best = got[[f"_p_{k}" for k in sorted(M.TARGETS)]].to_numpy().argmax(1)
+    got = out.join(held, "doc_id").select("domain", *(f"_ff_p_{k}" for k in sorted(M.TARGETS))).toPandas()
+    best = got[[f"_ff_p_{k}" for k in sorted(M.TARGETS)]].to_numpy().argmax(1)
     assert np.mean([sorted(M.TARGETS)[i] == d for i, d in zip(best, got.domain, strict=True)]) > 0.85
-    sums = out.agg(*(F.sum(F.col("_tokens") * F.col(f"_p_{k}") * F.col("_rate")).alias(k) for k in M.TARGETS), F.min("_rate").alias("low")).first()
+    sums = out.agg(*(F.sum(F.col("_ff_tokens") * F.col(f"_ff_p_{k}") * F.col("_ff_rate")).alias(k) for k in M.TARGETS), F.min("_ff_rate").alias("low")).first()
     total = sum(sums[k] for k in M.TARGETS)
     for k, w in M.TARGETS.items():
         assert sums[k] / total == pytest.approx(w, abs=0.01)
     assert sums["low"] >= 0
-    clean = out.filter("_p_clean > 0.95")
-    assert clean.filter("_copies = 0").count() == 0
+    clean = out.filter("_ff_p_clean > 0.95")
+    assert clean.filter("_ff_copies = 0").count() == 0
     rows = M.mixed(docs, train)
-    assert rows.columns == docs.columns and rows.count() == out.agg(F.sum("_copies")).first()[0]
+    assert rows.columns == docs.columns and rows.count() == out.agg(F.sum("_ff_copies")).first()[0]
 
 
 def test_descent_reaches_feasible_targets(spark):
@@ -44,8 +44,14 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, p_clean double, domain string")
     none = spark.createDataFrame([], "doc_id long, domain string")
     out = M.mix(docs, none).collect()
-    assert len(out) == 4 and sorted(r["p_clean"] for r in out) == [1, 2, 3, 4] and all(r["_rate"] >= 0 for r in out)
+    assert len(out) == 4 and sorted(r["p_clean"] for r in out) == [1, 2, 3, 4] and all(r["_ff_rate"] >= 0 for r in out)
     assert M.mix(docs.limit(0), none).count() == 0
     odd = spark.createDataFrame([(1, "clean"), (1, "junk"), (2, None), (None, "toxic"), (2, "other")], "doc_id long, domain string")
     assert M.mix(docs, odd).count() == 4
     assert M.mixed(docs, odd, max_rate=1.0).columns == docs.columns
+
+
+def test_names_that_stages_use_inside(spark):
+    docs = spark.createDataFrame([(1, "one two", "a", "b", 1.5, 2), (2, None, "c", None, 2.5, 3)], "doc_id long, text string, _text string, _words string, _rate double, _copies int")
+    out = M.mixed(docs, spark.createDataFrame([(1, "clean")], "doc_id long, domain string"), max_rate=1.0)
+    assert out.columns == docs.columns and {r["_text"] for r in out.collect()} <= {"a", "c"}

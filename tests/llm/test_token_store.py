@@ -83,3 +83,16 @@ def test_odd_rows(spark, tmp_path):
     check(spark, docs, f"{tmp_path}/a")
     S.write_tokens(docs.limit(0), f"{tmp_path}/b")
     assert S.read_tokens(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_damaged_recipes_do_not_pass(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} of some words") for i in range(40)], "doc_id long, text string")
+    S.write_tokens(docs, f"{tmp_path}/a")
+    rows = spark.read.parquet(f"{tmp_path}/a/recipes")
+    for name, kept in (("lost", rows.filter("kind = 2 or doc_id <> 7")), ("manifest", rows.filter("kind = 1"))):
+        kept.coalesce(1).write.partitionBy("kind").parquet(f"{tmp_path}/{name}/recipes")
+        spark.read.parquet(f"{tmp_path}/a/pieces").write.partitionBy("kind").parquet(f"{tmp_path}/{name}/pieces")
+        with pytest.raises(Exception, match="manifest"):
+            S.read_tokens(spark, f"{tmp_path}/{name}").collect()
+    wide = [S._ids_of(np.array([1, 70_000], "<u4").tobytes(), 2).tolist(), S._ids_of(np.array([1, 7], "<u2").tobytes(), 2).tolist()]
+    assert wide == [[1, 70_000], [1, 7]]
