@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: fixed values: accented Latin letters and their base letters
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+
+def _mark_table() -> tuple[str, str]:
+    """Characters that are a base letter with marks, then all marks alone; and the base letters. Those beyond them are dropped by translate."""
+    bare = {c: "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn") for c in map(chr, range(0xC0, 0x3000))}
+    letters = [c for c, b in bare.items() if len(b) == 1 and b != c]
+    return "".join(letters) + "".join(c for c, b in bare.items() if not b), "".join(bare[c] for c in letters)
+
+
+ACCENTED, PLAIN = _mark_table()
 #: fixed values: apostrophes and dashes that count as ' and -
 CURLY = "‘´’‐‑‒–—―"
 STRAIGHT = "'''------"
@@ -22,7 +32,7 @@ WORD = r"[\p{L}\p{N}_]+"
 
 
 def strip_accents(text: Column) -> Column:
-    """Lower-case Latin letters without their accents."""
+    """Letters without their marks, composed or not."""
     return F.translate(text, ACCENTED, PLAIN)
 
 
@@ -47,11 +57,43 @@ def tidy_whitespace(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def rewritten(text: Column, pattern: str, group: int, new: Callable[[Column], Column]) -> Column:
+    """text with every match of pattern replaced by new(group of the match); text should be a plain column."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), new)
+    pieces = F.zip_with(F.split(text, pattern, -1), found, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit(""))))
+    return F.array_join(pieces, "")
+
+
+#: fixed values: headers that carry a credential, and provider keys by their beginning and least length
+SECRET_HEADERS = ("authorization", "x-api-key", "api-key")
+KEY_STARTS = {"sk-": 16, "AIza": 20}
+
+
+def redaction_rules() -> list[tuple[str, str]]:
+    """(pattern, replacement) in the order in which they apply: a parameter's value up to the next delimiter, a header's value, a bare key."""
+    either = "|".join
+    value = r"[^\s&<>'\"\]}]+"
+    bare = either(f"{start}[\\w-]{{{least},}}" for start, least in KEY_STARTS.items())
+    return [(rf"(?i)\b({either(SECRET_PARAMS)})={value}", f"$1={REDACTED}"), (rf"(?i)\b(({either(SECRET_HEADERS)})\s*[:=]\s*)\S+", f"$1{REDACTED}"), (rf"\b(?:{bare})", REDACTED)]
+
+
 def redact(text: Column) -> Column:
     """Credentials in parameters, authorisation headers and bare provider keys replaced."""
-    text = F.regexp_replace(text, rf"(?i)\b({'|'.join(SECRET_PARAMS)})=([^&\s'\"<>\]}}]+)", f"$1={REDACTED}")
-    text = F.regexp_replace(text, r"(?i)\b(authorization|x-api-key|api-key)(\s*[:=]\s*)(\S+)", f"$1$2{REDACTED}")
-    return F.regexp_replace(text, r"\b(sk-[A-Za-z0-9_\-]{16,}|AIza[A-Za-z0-9_\-]{20,})", REDACTED)
+    return reduce(lambda x, rule: F.regexp_replace(x, *rule), redaction_rules(), text)
+
+
+def scrub(text: Column, secrets: list[str], least: int = 12) -> Column:
+    """Known secrets of at least ``least`` characters, and pieces of them that long, replaced, also where white space was put between characters."""
+    pieces = {s[a:z] for s in secrets if len(s or "") >= least for a in range(len(s)) for z in range(a + least, len(s) + 1)}
+    spaced = lambda piece: r"\s*".join(f"\\x{{{ord(c):x}}}" for c in piece)
+    for piece in sorted(pieces, key=lambda x: (-len(x), x)):
+        text = F.regexp_replace(text, spaced(piece), REDACTED)
+    return text
 
 
 def _capital(word: Column) -> Column:
@@ -73,6 +115,7 @@ def clean_entity(name: Column) -> Column:
 
 def iso_seconds(duration: Column) -> Column:
     """Whole seconds, rounded up, of P[nD]T[nH][nM][nS]; null for anything else and for zero."""
+    duration = strip(duration)
     pattern = r"^P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?$"
     part = lambda i: F.coalesce(F.nullif(F.regexp_extract(duration, pattern, i), F.lit("")).cast("double"), F.lit(0.0))
     total = F.ceil(part(1) * 86_400 + part(2) * 3_600 + part(3) * 60 + part(4)).cast("long")
@@ -80,19 +123,59 @@ def iso_seconds(duration: Column) -> Column:
 
 
 def clock(seconds: Column) -> Column:
-    """HH:MM:SS, or question marks for null."""
-    s = seconds.cast("long")
+    """HH:MM:SS of seconds rounded half to even, or question marks for null."""
+    s = F.bround(seconds.cast("double")).cast("long")
     return F.when(s.isNull(), "??:??:??").otherwise(F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60))
 
 
+def clock_of_minutes(minutes: Column) -> Column:
+    return clock(minutes.cast("double") * 60)
+
+
+#: fixed values: raised and lowered forms
+RAISED = ("0123456789e+-()n", "⁰¹²³⁴⁵⁶⁷⁸⁹ᵉ⁺⁻⁽⁾ⁿ")
+LOWERED = ("0123456789+-()", "₀₁₂₃₄₅₆₇₈₉₊₋₍₎")
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+
+
+def plain_formula(inner: Column) -> Column:
+    """The inside of $...$: braces after ^ and _ raised or lowered, commands and what is left of the marks dropped."""
+    inner = rewritten(inner, r"\^\{([^}]*)\}", 1, lambda x: F.translate(x, *RAISED))
+    inner = rewritten(inner, r"_\{([^}]*)\}", 1, lambda x: F.translate(x, *LOWERED))
+    return F.translate(F.regexp_replace(inner, r"\\[a-zA-Z]+\s*", ""), "^_{}", "")
+
+
+def _plain_line(line: Column) -> Column:
+    """A Markdown line without its marks; null for lines that are nothing but marks."""
+    flat = F.regexp_replace(strip(line), r"\s*\|\s*", "|")
+    ruled = strip(line).rlike(r"^(-{3,}|\*{3,}|_{3,})$") | flat.rlike(r"^\|?(:?-+:?\|)*:?-+:?\|?$")
+    fence = F.ltrim(F.translate(line, "\t", " ")).startswith("```")
+    text = F.regexp_replace(F.regexp_replace(line, r"^\s{0,3}#{1,6}\s+", ""), r"^\s{0,3}>\s?", "")
+    row = strip(text)
+    cells = F.transform(F.split(F.regexp_replace(row, r"^\|+|\|+$", ""), r"\|", -1), strip)
+    is_row = row.startswith("|") & row.endswith("|") & (F.length(row) > 1)
+    return F.when(~(ruled | fence), F.when(is_row, F.array_join(cells, "\t")).otherwise(text))
+
+
+#: fixed values: inline marks and what stays of them, in the order in which they are taken off
+INLINE = (
+    (r"!\[[^\]]*\]\([^)]*\)", ""),
+    (r"\[([^\]]*)\]\([^)]*\)", "$1"),
+    (r"(\*\*|__)(.+?)\1", "$2"),
+    (r"(?<![\p{L}\p{N}_*])\*(?!\s)(.+?)(?<!\s)\*(?![\p{L}\p{N}_*])", "$1"),
+    (r"`([^`]+)`", "$1"),
+    (r"<(https?://[^>\s]+)>", "$1"),
+)
+
+
 def strip_line_markup(text: Column) -> Column:
-    """Markdown lines to plain text: fences and rules dropped, heading and quote marks removed, links and emphasis unwrapped."""
-    lines = F.filter(F.split(text, "\n", -1), lambda x: ~x.rlike(r"^\s*```|^\s*(-{3,}|\*{3,}|_{3,})\s*$"))
-    lines = F.transform(lines, lambda x: F.regexp_replace(F.regexp_replace(x, r"^\s{0,3}#{1,6}\s+", ""), r"^\s{0,3}>\s?", ""))
-    out = F.array_join(lines, "\n")
-    for pattern, to in ((r"!\[([^\]]*)\]\([^)]*\)", "$1"), (r"\[([^\]]*)\]\([^)]*\)", "$1"), (r"\*\*([^*]+)\*\*", "$1"), (r"`([^`]*)`", "$1")):
-        out = F.regexp_replace(out, pattern, to)
-    return F.regexp_replace(F.regexp_replace(out, r"(?m)[ \t]+$", ""), r"\n{3,}", "\n\n")
+    """Markdown to plain text: marks dropped, links and emphasis unwrapped, images dropped, table rows by tabs, formulas spelt out; null is empty."""
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), LINE_END, -1), _plain_line)
+    out = F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n")
+    for mark, stays in INLINE:
+        out = F.regexp_replace(out, mark, stays)
+    out = rewritten(out, r"\$([^$\n]*[\\^_][^$\n]*)\$", 1, plain_formula)
+    return strip(F.regexp_replace(F.regexp_replace(out, r"(?m)[^\S\n]+$", ""), r"\n{3,}", "\n\n"))
 
 
 def quota_kind(code: Column, message: Column) -> Column:
@@ -107,14 +190,14 @@ def language_code(label: Column, labels: dict[str, str]) -> Column:
     return F.element_at(keys, strip_accents(F.lower(F.trim(label))))
 
 
+VIDEO_HOSTS = ("youtube.com", "m.youtube.com", "music.youtube.com")
+
+
 def video_id(url: Column) -> Column:
-    """The 11-character id in a watch, embed, shorts, live or short link; else null."""
-    host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^https?://([^/?#:]+)", 1)), r"^(www|m|music)\.", "")
-    path = F.regexp_extract(url, r"^https?://[^/?#]+([^?#]*)", 1)
-    query = F.regexp_extract(url, r"[?&]v=([^&#]*)", 1)
-    found = (
-        F.when(host == "youtu.be", F.regexp_extract(path, r"^/([^/]+)", 1))
-        .when(host.isin("youtube.com", "youtube-nocookie.com") & path.rlike(r"^/watch/?$"), query)
-        .when(host.isin("youtube.com", "youtube-nocookie.com"), F.regexp_extract(path, r"^/(?:embed|shorts|live|v)/([^/]+)", 1))
-    )
+    """The 11-character id of a watch page or a short link; null for everything else, embedded players and shorts too."""
+    url = strip(url)
+    site = F.regexp_replace(F.lower(F.regexp_extract(url, r"^(?i:https?)://(?:[^/?#@]*@)?([^/?#:]*)", 1)), r"^www\.", "")
+    path = F.regexp_extract(url, r"^[^:]+://[^/?#]*([^?#]*)", 1)
+    asked = F.regexp_extract(url, r"^[^#?]*\?(?:[^#]*?&)?v=([^&#]+)", 1)
+    found = F.when(site == "youtu.be", F.regexp_extract(path, r"^/+([^/]*)", 1)).when(site.isin(*VIDEO_HOSTS) & path.rlike("^/watch/*$"), asked)
     return F.when(found.rlike(r"^[A-Za-z0-9_-]{11}$"), found)

@@ -7,22 +7,26 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WORD
 
+#: fixed values: words of a window, and repeats from which a text loops
 LOOP_WORDS, LOOP_REPEATS = 12, 20
 
 
 def most_repeated(docs: DataFrame, n: int = LOOP_WORDS) -> DataFrame:
     """docs (doc_id, text): the n-word window that occurs most often, first occurrence on ties; (0, '') below 2 n words.
 
-    Windows are counted by hash inside each document's row, so nothing is
-    exploded across the shuffle but one row per window.
+    Every row sorts the 64-bit hashes of its own windows and measures runs of
+    equal ones, so nothing leaves the row and there is no shuffle.
     """
-    words = docs.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)).alias("w"), F.size(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("n_words"))
-    long_enough = words.filter(F.size("w") >= 2 * n)
-    grams = F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice("w", i, n), " "))
-    each = long_enough.select("doc_id", F.posexplode(grams).alias("pos", "gram"))
-    counted = each.groupBy("doc_id", "gram").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
-    best = counted.groupBy("doc_id").agg(F.max_by(F.struct("n", "gram"), F.struct("n", -F.col("pos"))).alias("b"))
-    return words.select("doc_id", "n_words").join(best, "doc_id", "left").select("doc_id", "n_words", F.coalesce("b.n", F.lit(0).cast("long")).alias("repeats"), F.coalesce("b.gram", F.lit("")).alias("gram"))
+    out = docs.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)).alias("w"), F.size(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("n_words"))
+    places = F.when(F.size("w") >= 2 * n, F.sequence(F.lit(1), F.size("w") - (n - 1)))
+    windows = F.transform(places, lambda i: F.struct(F.xxhash64(F.array_join(F.slice("w", i, n), " ")).alias("h"), i.alias("at")))
+    out = out.withColumn("s", F.array_sort(windows))
+    begins = F.transform("s", lambda x, i: F.when((i == 0) | (F.get("s", i - 1)["h"] != x["h"]), i))
+    out = out.withColumn("b", F.filter(begins, lambda i: i.isNotNull()))
+    runs = F.transform("b", lambda i, k: F.struct((F.coalesce(F.get("b", k + 1), F.size("s")) - i).alias("n"), (-F.get("s", i)["at"]).alias("first")))
+    out = out.withColumn("top", F.array_max(runs))
+    gram = F.array_join(F.slice("w", -F.col("top.first"), n), " ")
+    return out.select("doc_id", "n_words", F.coalesce("top.n", F.lit(0)).cast("long").alias("repeats"), F.coalesce(gram, F.lit("")).alias("gram"))
 
 
 def looping(repeated: DataFrame) -> Column:
@@ -63,6 +67,7 @@ def chunk_plan(duration: Column, chunk: int, overlap: int) -> Column:
     return F.when(d.isNull() | (d <= chunk), one).otherwise(many)
 
 
+#: fixed values: where samples begin, as shares of the duration, in this order
 ANCHORS = (0.10, 0.55, 0.85, 0.30, 0.70)
 
 
@@ -75,11 +80,29 @@ def sample_windows(duration: Column, seconds: int, count: int) -> Column:
     return F.when(d.isNull(), F.array(struct(0, F.lit(0), F.lit(seconds)))).when(d <= seconds * count, F.array(struct(0, F.lit(0), none))).otherwise(F.array(*many))
 
 
-def numbered_parts(docs: DataFrame, group: str, order: list, size: int) -> DataFrame:
-    """Part number per group of size documents; null where a group fits in one part."""
+def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """rows with place (from 1, within the group) and of (the group's rows); order must be unique within a group.
+
+    Keys alone are sorted over ranges; a range's place in a group follows from
+    the counts of the ranges before it, so a group of any size is spread over
+    tasks, and the other columns travel once, by their whole key.
+    """
+    keys = [group, *order]
+    sorted_ = rows.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_i", F.monotonically_increasing_id())
+    sorted_ = sorted_.withColumn("_part", F.shiftright("_i", 33))
+    ranges = sorted_.groupBy(group, "_part").agg(F.min("_i").alias("_low"), F.count(F.lit(1)).alias("_n"))  # at most groups + ranges rows
     w = Window.partitionBy(group)
-    n = F.floor((F.row_number().over(w.orderBy(*order)) - 1) / size) + 1
-    return docs.withColumn("_n", n.cast("long")).withColumn("part", F.when(F.count(F.lit(1)).over(w) > size, F.col("_n"))).drop("_n")
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), (before - F.col("_low") + 1).alias("_shift"), F.sum("_n").over(w).alias("of"))
+    placed = sorted_.join(ranges, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p"))).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), (F.col("_i") + F.col("_shift")).alias("place"), "of")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return rows.join(placed, same).select(*rows.columns, "place", "of")
+
+
+def numbered_parts(docs: DataFrame, group: str, order: list[str], size: int) -> DataFrame:
+    """Part number per group of size documents; null where a group fits in one part."""
+    part = (F.floor((F.col("place") - 1) / size) + 1).cast("long")
+    return numbered(docs, group, order).withColumn("part", F.when(F.col("of") > size, part)).drop("place", "of")
 
 
 def apply_corrections(lines: DataFrame, fixes: DataFrame, keys: list[str]) -> DataFrame:
@@ -89,3 +112,9 @@ def apply_corrections(lines: DataFrame, fixes: DataFrame, keys: list[str]) -> Da
     out = lines.join(last, keys, "left").withColumn("_fix", F.coalesce("_fix", "tokens"))
     changed = F.size(F.filter(F.arrays_zip(F.col("tokens").alias("a"), F.col("_fix").alias("b")), lambda x: x["a"] != x["b"]))
     return out.select(*keys, F.array_join("_fix", " ").alias("text"), changed.cast("long").alias("changed"))
+
+
+def first_entities(names: DataFrame, key: str, pos: str, name: str) -> DataFrame:
+    """Of names equal but for case the first of each key; a name cleaned to nothing counts as one."""
+    first = F.min_by(name, pos)
+    return names.groupBy(key, F.lower(name).alias("_low")).agg(first.alias(name), F.min(pos).alias(pos)).select(key, name, pos)

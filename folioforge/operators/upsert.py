@@ -40,7 +40,7 @@ def append_links(existing: Column, new: Column) -> Column:
 
 def label_ids(ratings: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """ratings (item_id, term, label) to vocabulary ids; labels without an id, and blank ones, are left out."""
-    return ratings.filter(F.trim("label") != "").join(F.broadcast(vocabulary), ["term", "label"]).select("item_id", "term", "value_id")
+    return ratings.filter(F.trim("label") != "").join(vocabulary, ["term", "label"]).select("item_id", "term", "value_id")
 
 
 def pair_status(first: DataFrame, second: DataFrame, key: str) -> DataFrame:

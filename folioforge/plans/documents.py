@@ -37,7 +37,9 @@ def md_whitespace(docs):
     return docs.select("doc_id", X.tidy_whitespace(F.col("text")).alias("text"))
 
 
-_REDACT = r"regexp_replace(regexp_replace(regexp_replace(line, '(?i)\b(key_identity|key_credential|api_key|apikey|access_token|token)=([^&\s''\"<>\]}]+)', '\1=<redacted>', 'g'), '(?i)\b(authorization|x-api-key|api-key)(\s*[:=]\s*)(\S+)', '\1\2<redacted>', 'g'), '\b(sk-[A-Za-z0-9_\-]{16,}|AIza[A-Za-z0-9_\-]{20,})', '<redacted>', 'g')"
+_REDACT = "line"
+for _pattern, _new in X.redaction_rules():
+    _REDACT = "regexp_replace({}, '{}', '{}', 'g')".format(_REDACT, _pattern.replace("'", "''"), _new.replace("$", "\\"))
 
 
 @query(
@@ -51,9 +53,7 @@ def redact_kv(logs):
 
 @query(
     "strip_markup_lines",
-    r"""+ l AS (SELECT doc_id, list_transform(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^\s*```|^\s*(-{3,}|\*{3,}|_{3,})\s*$')), lambda x: regexp_replace(regexp_replace(x, '^\s{0,3}#{1,6}\s+', ''), '^\s{0,3}>\s?', '')) AS l FROM docs)
-    SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(array_to_string(l, chr(10)), '!\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '\*\*([^*]+)\*\*', '\1', 'g'), '`([^`]*)`', '\1', 'g'), '(?m)[ \t]+$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g') AS text FROM l""",
-    docs="SELECT doc_id, concat('# Title ', lang, chr(10), '---', chr(10), '> ', replace(replace(text, ' the ', ' **the** '), ' of ', ' [of](http://x.y/z) '), chr(10), '```', chr(10), '`code` ![pic](a.png)') AS text FROM {documents}",
+    docs="SELECT doc_id, concat('# Title ', lang, chr(10), '---', chr(10), '> ', replace(replace(text, ' the ', ' **the** '), ' of ', ' [of](http://x.y/z) '), chr(10), '```', chr(10), '| `code` | __b__ |', chr(10), '|---|:-:|', chr(10), '![pic](a.png) $x^{2}$ <https://a.b/c>') AS text FROM {documents}",
 )
 def strip_markup(docs):
     return docs.select("doc_id", X.strip_line_markup(F.col("text")).alias("text"))
@@ -70,7 +70,7 @@ _PART = ", ".join(f"'{p.replace(chr(39), chr(39) * 2)}'" for p in X.PARTICLES)
         CASE WHEN lower(x) IN ({_PART}) THEN lower(x)
              WHEN len(string_split_regex(x, '[''’]')) = 2 THEN upper(string_split_regex(x, '[''’]')[1][1]) || lower(string_split_regex(x, '[''’]')[1][2:]) || '''' || CASE WHEN string_split_regex(x, '[''’]')[2][1] = 'ß' THEN 'Ss' ELSE upper(string_split_regex(x, '[''’]')[2][1]) END || lower(string_split_regex(x, '[''’]')[2][2:])
              ELSE CASE WHEN x[1] = 'ß' THEN 'Ss' ELSE upper(x[1]) END || lower(x[2:]) END), ' ') AS clean FROM names)
-    SELECT doc_id, clean, min(pos) AS pos FROM w WHERE clean <> '' GROUP BY doc_id, clean""",
+    SELECT doc_id, arg_min(clean, pos) AS clean, min(pos) AS pos FROM w WHERE name <> '' GROUP BY doc_id, lower(clean)""",
     docs=DOCS,
 )
 def entity_clean_dedup(docs):
@@ -80,7 +80,7 @@ def entity_clean_dedup(docs):
     name = F.when(F.col("pos") % 4 == 0, F.concat(F.lit("côte d'"), "a")).when(F.col("pos") % 4 == 1, F.concat(F.lit(" DE "), "a", F.lit("  "), F.upper(F.replace("b", F.lit("ß"), F.lit("s"))))).otherwise(F.col("a"))
     # equal names first: cleaning is the dear part
     names = names.groupBy("doc_id", name.alias("name")).agg(F.min("pos").alias("pos"))
-    return names.select("doc_id", "pos", X.clean_entity(F.col("name")).alias("clean")).filter("clean <> ''").groupBy("doc_id", "clean").agg(F.min("pos").alias("pos"))
+    return D.first_entities(names.filter("name <> ''").select("doc_id", "pos", X.clean_entity(F.col("name")).alias("clean")), "doc_id", "pos", "clean")
 
 
 @query(

@@ -62,12 +62,12 @@ def reconcile_stats(names, raw):
     return R.statistics(_found(names, raw))
 
 
-@query("unreconciled_counts", f"+{_INDEX}, {_FOUND} SELECT CASE status WHEN 'ambiguous' THEN value || ' (Ambiguous)' ELSE value END AS value, count(*) AS n FROM found WHERE status IN ('ambiguous', 'unreconciled') GROUP BY 1", names=NAMES, raw=ROWS)
+@query("unreconciled_counts", f"+{_INDEX}, {_FOUND} SELECT CASE status WHEN 'ambiguous' THEN value || ' (Ambiguous)' ELSE value END AS value, count(*) AS n, min(row_id) AS first_row, CAST(arg_min(pos, row_id * 10 + pos) AS INTEGER) AS first_pos FROM found WHERE status IN ('ambiguous', 'unreconciled') GROUP BY 1", names=NAMES, raw=ROWS)
 def unreconciled_counts(names, raw):
     return R.unreconciled(_found(names, raw))
 
 
-@query("title_fold", f"SELECT doc_id, {_COMPACT.format('title')} AS compact, translate(lower(title), '{ACCENTED}', '{PLAIN}') AS plain FROM titles", titles="SELECT doc_id, split_part(text, '.', 1) AS title FROM {documents}")
+@query("title_fold", f"SELECT doc_id, {_COMPACT.format('title')} AS compact, translate(lower(title), '{ACCENTED}', '{PLAIN}') AS plain FROM titles", titles="SELECT doc_id, text AS title FROM {documents}")
 def title_fold(titles):
     from ..functions.text import compact_key, strip_accents
 

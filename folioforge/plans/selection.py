@@ -93,7 +93,7 @@ def language_agreement(items):
 
 @query("missing_label_counts", "SELECT label, count(DISTINCT item) AS n FROM labels_ WHERE label NOT IN (SELECT name FROM known) GROUP BY 1", labels_="SELECT user_id AS item, event_type AS label FROM {events}", known="SELECT DISTINCT event_type AS name FROM {events} WHERE event_type < 'd'")
 def missing_labels(labels_, known):
-    return labels_.distinct().join(F.broadcast(known), F.col("label") == F.col("name"), "left_anti").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return labels_.distinct().join(known, F.col("label") == F.col("name"), "left_anti").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
