@@ -57,6 +57,12 @@ def tidy_whitespace(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def is_json(text: Column) -> Column:
+    """True where all of the text is one JSON document: the parser ignores what follows a document, so it is tried inside a list and inside an object."""
+    inside = lambda a, z: F.try_parse_json(F.concat(F.lit(a), text, F.lit(z))).isNotNull()
+    return inside("[", "]") & inside('{"x":', "}")
+
+
 def strip(text: Column) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")

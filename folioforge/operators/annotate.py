@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -75,11 +76,11 @@ class QuotaStop(RuntimeError):
     """A spent quota: every further call would fail the same way."""
 
 
-def map_over_models(rows: DataFrame, client: Callable[[str, str], str], id_col: str = "item_id", text_col: str = "text", attempts: int = 3) -> DataFrame:
-    """rows (id, text, model): one result or error row each.  client(model, text) is made once per process.
+def map_over_models(rows: DataFrame, client: Callable[[str, str], str], id_col: str = "item_id", text_col: str = "text", attempts: int = 3, delay: float = 0.0) -> DataFrame:
+    """rows (id, text, model): one result or error row each.  client(model, text) is called as it is given.
 
-    A blank text is an error row without a call; a failing call is tried again,
-    then becomes an error row; QuotaStop ends the job.
+    A blank text is an error row without a call; a failing call is tried again
+    after a pause that grows from ``delay`` seconds, then becomes an error row; QuotaStop ends the job.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,8 +88,9 @@ def map_over_models(rows: DataFrame, client: Callable[[str, str], str], id_col:
             out = []
             for item, model, text in zip(frame[id_col], frame["model"], frame[text_col], strict=True):
                 result, error = None, "empty text" if not (text or "").strip() else None
-                for _ in range(attempts if error is None else 0):
+                for turn in range(attempts if error is None else 0):
                     try:
+                        time.sleep(delay * 2 ** (turn - 1) if turn else 0)
                         result, error = client(model, text), None
                         break
                     except QuotaStop:

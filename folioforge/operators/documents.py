@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import WORD
 
@@ -118,3 +122,40 @@ def first_entities(names: DataFrame, key: str, pos: str, name: str) -> DataFrame
     """Of names equal but for case the first of each key; a name cleaned to nothing counts as one."""
     first = F.min_by(name, pos)
     return names.groupBy(key, F.lower(name).alias("_low")).agg(first.alias(name), F.min(pos).alias(pos)).select(key, name, pos)
+
+
+def cut_text(text: str, most: int) -> list[str]:
+    """Pieces of at most ``most`` characters that end at paragraph breaks, else at spaces, else anywhere; spaces after a cut are dropped."""
+    if len(text) <= most:
+        return [text]
+    ends = [i for m in re.finditer(r"\n{2,}", text) for i in m.span()] + [len(text)]
+    out, start, kept = [], 0, 0  # text[start:kept] waits to be sent
+    for end in ends:
+        if end - start > most:
+            if kept > start:
+                out.append(text[start:kept])
+            start = kept
+            while end - start > most:
+                cut = text.rfind(" ", start, start + most)
+                cut = cut if cut > start else start + most
+                out.append(text[start:cut])
+                start = next((i for i in range(cut, end) if text[i] != " "), end)
+        kept = end
+    return [*out, text[start:]] if start < len(text) else out
+
+
+def chunk_text(docs: DataFrame, key: str, text: str, most: int) -> DataFrame:
+    """One row per piece of each text: key, i (from 0), piece. Null and empty texts give one empty piece."""
+    if most < 1:
+        raise ValueError("most must be positive")
+
+    @F.arrow_udf(returnType=T.ArrayType(T.StringType()))
+    def cut(column: pa.Array) -> pa.Array:
+        return pa.array([cut_text(t or "", most) for t in column.to_pylist()], pa.list_(pa.string()))
+
+    return docs.select(key, F.posexplode(cut(text)).alias("i", "piece"))
+
+
+def rejoined(pieces: DataFrame, key: str) -> DataFrame:
+    """Corrected pieces in order, without line ends at their ends, joined by a blank line."""
+    return ordered_concat(pieces, [key], "i", F.regexp_replace("piece", r"^\n+|\n+$", ""), "\n\n")

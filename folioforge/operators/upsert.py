@@ -48,3 +48,77 @@ def pair_status(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     a, b = first.select(key, F.lit(True).alias("_a")), second.select(key, F.lit(True).alias("_b"))
     status = F.when(F.col("_a") & F.col("_b"), "both").when(F.col("_a"), "first_only").otherwise("second_only")
     return a.join(b, key, "full").select(key, status.alias("status"))
+
+
+ANNOTATION = "map<string,array<map<string,string>>>"
+LITERAL = f"array<struct<property_id:bigint,type:string,value:string,lang:string,annotation:{ANNOTATION}>>"
+
+
+def annotation_matches(stored: Column, wanted: Column) -> Column:
+    """True where stored has every list of wanted, as long, with every key and value of ours; keys that the server adds are no difference."""
+
+    def listed(entry: Column) -> Column:
+        have, want = stored[entry["key"]], entry["value"]
+        each = F.zip_with(have, want, lambda h, w: F.forall(F.map_entries(w), lambda kv: F.coalesce(h[kv["key"]].eqNullSafe(kv["value"]), F.lit(False))))
+        return F.coalesce((F.size(have) == F.size(want)) & F.forall(each, lambda x: x), F.lit(False))
+
+    return wanted.isNull() | F.coalesce(F.forall(F.map_entries(wanted), listed), F.lit(False))
+
+
+def write_literal(values: Column, property_id: Column, text: Column, lang: Column | None = None, adopt_untagged: bool = False, annotation: Column | None = None) -> Column:
+    """values (``LITERAL``) with text in the literal that a target owns; a plain column, please.
+
+    Owned is the first literal of the property, of the same language where one
+    is given, or, where allowed, the first untagged one.  Other types and
+    properties are left alone; without an owned one the text is appended.  A
+    blank text, and one that is there already with its annotation, change
+    nothing.
+    """
+    values = F.coalesce(values, F.array().cast(LITERAL))
+    note = F.lit(None).cast(ANNOTATION) if annotation is None else annotation
+    ours = lambda v: (v["property_id"] == property_id) & (v["type"] == "literal")
+    first = lambda test: F.array_min(F.transform(values, lambda v, i: F.when(test(v), i)))
+    own = first(ours) if lang is None else first(lambda v: ours(v) & (v["lang"] == lang))
+    if lang is not None and adopt_untagged:
+        own = F.coalesce(own, first(lambda v: ours(v) & v["lang"].isNull()))
+    tag = (lambda v: v["lang"]) if lang is None else (lambda v: lang)
+
+    def new(v: Column) -> Column:
+        same = (v["value"] == text) & v["lang"].eqNullSafe(tag(v)) & annotation_matches(v["annotation"], note)
+        return F.when(same, v).otherwise(F.struct(v["property_id"].alias("property_id"), v["type"].alias("type"), text.alias("value"), tag(v).alias("lang"), F.coalesce(note, v["annotation"]).alias("annotation")))
+
+    added = F.struct(property_id.cast("long").alias("property_id"), F.lit("literal").alias("type"), text.alias("value"), (F.lit(None).cast("string") if lang is None else lang).alias("lang"), note.alias("annotation"))
+    written = F.transform(values, lambda v, i: F.when(i == own, new(v)).otherwise(v))
+    blank = F.trim(F.coalesce(text, F.lit(""))) == ""
+    return F.when(blank, values).when(own.isNull(), F.concat(values, F.array(added))).otherwise(written)
+
+
+def replace_property(values: Column, property_id: Column, new: Column) -> Column:
+    """values with all entries of one property replaced by new, where they differ."""
+    have = F.filter(values, lambda v: v["property_id"] == property_id)
+    return F.when(F.to_json(have).eqNullSafe(F.to_json(new)), values).otherwise(F.concat(F.filter(values, lambda v: v["property_id"] != property_id), new))
+
+
+def already_written(values: Column, property_id: int) -> Column:
+    """One property stands for all that a run writes."""
+    return F.coalesce(F.exists(values, lambda v: v["property_id"] == property_id), F.lit(False))
+
+
+def review_action(action: Column) -> Column:
+    """create or skip, trimmed and in lower case; anything else is neither: null."""
+    said = F.lower(F.trim(action))
+    return F.when(said.isin("create", "skip"), said)
+
+
+def without_own_place(places: Column, own: Column) -> Column:
+    """places but for those equal to the collection's own, case apart."""
+    return F.filter(places, lambda p: own.isNull() | (F.lower(p) != F.lower(own)))
+
+
+def with_new_terms(ids: Column, labels: DataFrame, rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """rows (row_id, ids) with the ids of their labels (row_id, pos, label) in a map (label, id, seq; the last wins) after their own, none twice."""
+    last = terms.groupBy(F.lower(F.trim("label")).alias("_l")).agg(F.max_by("id", "seq").alias("id"))
+    found = labels.withColumn("_l", F.lower(F.trim("label"))).join(last, "_l")
+    more = found.groupBy("row_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("_more"))
+    out = rows.join(more, "row_id", "left")
+    return out.withColumn("ids", append_links(ids, F.col("_more"))).drop("_more")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +22,14 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str)
     spark = SparkSession.builder.master(master).appName("folioforge").config(map={**settings, **conf}).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that all executors share (spark.checkpoint.dir); a temporary one only on one machine, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.gettempdir()
+    return f"{folder.rstrip('/')}/folioforge/{name}-{uuid.uuid4().hex}"
