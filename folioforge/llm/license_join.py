@@ -1,13 +1,16 @@
 """License scans: base phrases, and a set-similarity join with license templates.
 
-DataFrame functions only.  Blocks are the lines of a text and, across line
-ends, all runs of as many words as the template has; templates are token sets.
-A block carries a template's label where it holds at least a threshold
-share of the template's tokens.  Tokens are ordered by document frequency over
-the whole corpus, rarest first: a block below the prefix filter (none of the
-first |T| - need + 1 tokens) or the length filter (fewer tokens than needed)
-cannot reach the threshold and is never compared.  There is no positional
-filter: overlaps of the blocks left are counted in whole.
+DataFrame functions only.  Blocks are the runs of as many words as a template
+has, across line ends too (a shorter text is one block); templates are token
+sets.  A text gets a template's label where a block holds at least a threshold
+share of the template's tokens.
+
+Template tokens are ordered by document frequency over the whole corpus, rarest
+first, all other words before them.  Words of the texts are joined with the
+first |T| - need + 1 tokens of every template (prefix filter); a pair stays if
+enough words are there for the template (length filter) and if the words around
+the hit hold at least ``need`` tokens that do not precede it in the order
+(positional filter).  Only then are blocks formed around the hit and counted.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from .common import lower_ascii, read, stored
 
 #: fixed values: base phrases and their labels
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: templates of one line each; labels of the method's own
+#: templates; labels of the method's own
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license version 2.0",
     "cc-by": "licensed under cc by 4.0",
@@ -65,38 +68,35 @@ def token_frequencies(rows: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return {r["word"]: r["n"] for r in each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def _block_scores(block_words: Column, order: list[str], templates: Mapping[str, str], threshold: float) -> Column:
-    """array<struct<label, score>> of the templates that one block (distinct words) may hold."""
+def prefix_table(spark: SparkSession, templates: Mapping[str, str], order: list[str], threshold: float) -> DataFrame:
+    """One row per prefix token of each template: word, label, tokens, need, span (words of a block), after (tokens that do not precede the word)."""
     rank = {w: i for i, w in enumerate(order)}
-    out = []
+    rows = []
     for label, text in sorted(templates.items()):
-        tokens = sorted(set(text.replace(".", " ").split()), key=rank.__getitem__)
+        listed = text.replace(".", " ").split()
+        tokens = sorted(set(listed), key=rank.__getitem__)
         need = _needed(len(tokens), threshold)
-        prefix = F.array(*map(F.lit, tokens[: len(tokens) - need + 1]))
-        whole = F.array(*map(F.lit, tokens))
-        shared = F.size(F.array_intersect(block_words, whole))
-        out.append(F.when((F.size(block_words) >= need) & F.arrays_overlap(block_words, prefix) & (shared >= need), F.struct(F.lit(label).alias("label"), (shared / F.lit(float(len(tokens)))).alias("score"))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
-
+        rows += [(w, label, tokens, need, len(listed), tokens[i:]) for i, w in enumerate(tokens[: len(tokens) - need + 1])]
+    return spark.createDataFrame(rows, "word string, label string, tokens array<string>, need int, span int, after array<string>")
 
-def _best_run(at: Column, size: int, whole: Column) -> Column:
-    """The most template tokens in a run of ``size`` words over place ``at``."""
-    starts = F.sequence(F.greatest(at - (size - 1), F.lit(0)), at)
-    return F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("words", s + 1, F.lit(size)), whole))))
 
+def template_matches(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """rows (_row, words) joined with the templates: _row, matches (array of label, score).
 
-def _window_scores(order: list[str], templates: Mapping[str, str], threshold: float) -> Column:
-    """array<struct<label, score>> of the templates that a run of ``words`` as long as the template holds; only runs around one of ``hits`` (words of a prefix, and where they stand) can."""
-    rank = {w: i for i, w in enumerate(order)}
-    out = []
-    for label, text in sorted(templates.items()):
-        listed = text.replace(".", " ").split()
-        tokens = sorted(set(listed), key=rank.__getitem__)
-        need = _needed(len(tokens), threshold)
-        prefix, whole = tokens[: len(tokens) - need + 1], F.array(*map(F.lit, tokens))
-        best = F.array_max(F.transform(F.filter("hits", lambda h: h["word"].isin(*prefix)), lambda h: _best_run(h["at"], len(listed), whole)))  # noqa: B023
-        out.append(F.when(best >= need, F.struct(F.lit(label).alias("label"), (best / F.lit(float(len(tokens)))).alias("score"))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+    Only words around a hit travel; the table of prefixes has a few rows per
+    template, a fixed number whatever the corpus.
+    """
+    hits = rows.select("_row", "words", F.posexplode("words").alias("at", "word")).join(F.broadcast(prefixes), "word")
+    hits = hits.filter(F.size("words") >= F.col("need"))  # length
+    first = F.greatest(F.col("at") - F.col("span") + 1, F.lit(0))
+    around = F.slice("words", first + 1, F.col("at") - first + F.col("span"))
+    hits = hits.select("_row", "label", "tokens", "need", "span", "at", "after", first.alias("first"), F.greatest(F.size("words") - F.col("span"), F.lit(0)).alias("last"), around.alias("around"))
+    hits = hits.filter(F.size(F.array_intersect("around", "after")) >= F.col("need"))  # position
+    starts = F.sequence("first", F.greatest(F.least("at", "last"), F.col("first")))
+    counts = F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("around", s - F.col("first") + 1, F.col("span")), F.col("tokens"))))
+    best = hits.select("_row", "label", "need", F.size("tokens").alias("size"), F.array_max(counts).alias("n")).filter("n >= need")
+    best = best.groupBy("_row", "label").agg(F.max(F.col("n") / F.col("size").cast("double")).alias("score"))
+    return best.groupBy("_row").agg(F.collect_list(F.struct("label", "score")).alias("matches"))  # at most one entry per template
 
 
 def scan_licenses(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,27 +119,17 @@ def scan_licenses(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templat
         first.update(tokens[: len(tokens) - _needed(len(tokens), threshold) + 1])
     base = "|".join(_RAW_GAP.join(("", "+")).join(p.split()) for p in phrases)
     rows = rows.select("doc_id", F.regexp_count("text", F.lit(_RAW_WORD)).cast("long").alias("n_words"), "text", F.col("text").rlike(f"(?i:{base})").alias("_base"), F.col("text").rlike(_any_word(sorted(first))).alias("_near"))
-    some = F.col("_base") | F.col("_near")
-    rows = rows.withColumn("text", F.when(some, lower_ascii(F.col("text"))))
-    words = F.when(some, words_of(F.col("text")))
-    rows = rows.withColumn("words", words)
-    places = []
-    for p, label in phrases.items():
-        ws = p.split()
-        places.append(_places(ws, label))
-    rows = rows.withColumn("places", F.when(F.col("_base") & (F.size("words") > 0), F.concat(*places)))
-    scored = F.flatten(F.transform(F.split("text", "\n", -1), lambda line: _block_scores(F.array_distinct(words_of(line)), order, templates, threshold)))
-    # a text of one line has no block that its line does not hold
-    wrapped = F.col("_near") & F.col("text").contains("\n")
-    at = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda h: h["word"].isin(*sorted(first)))
-    rows = rows.withColumn("hits", F.when(wrapped, at))
-    across = F.when(wrapped, _window_scores(order, templates, threshold)).otherwise(F.array().cast("array<struct<label:string,score:double>>"))
-    rows = rows.withColumn("scored", F.when(F.col("_near"), F.concat(scored, across)))
+    rows = rows.select("doc_id", "n_words", "_base", "_near", F.when(F.col("_base") | F.col("_near"), words_of(lower_ascii(F.col("text")))).alias("words"))
+    places = F.when(F.col("_base") & (F.size("words") > 0), F.concat(*(_places(p.split(), label) for p, label in phrases.items())))
+    rows = rows.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "n_words", places.alias("places"), F.when(F.col("_near"), F.col("words")).alias("words"))
+    rows = stored(rows, "license-rows")  # row numbers must not change between scans
+    matches = template_matches(rows.filter("words is not null").select("_row", "words"), prefix_table(docs.sparkSession, templates, order, threshold))
+    rows = rows.drop("words").join(matches, "_row", "left")
     none = F.array().cast("array<string>")
-    mine = F.coalesce(F.transform("scored", lambda x: x["label"]), none)
+    mine = F.coalesce(F.transform("matches", lambda x: x["label"]), none)
     base_labels = F.array_sort(F.array_distinct(F.coalesce(F.transform("places", lambda x: x["label"]), none)))
     n_base = F.coalesce(F.when(F.col("places").isNotNull(), F.size("places")), F.lit(0)).cast("long")
-    top = F.array_max(F.transform("scored", lambda x: x["score"]))
+    top = F.array_max(F.transform("matches", lambda x: x["score"]))
     return rows.select(
         "doc_id",
         "n_words",
