@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILTER_BITS = 1 << 26
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28  # of a filter: the largest is broadcast as 4 million words of 16 bytes
 SALTS = 16
 
 
@@ -68,6 +68,16 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def filter_bits(keys: DataFrame) -> int:
+    """Bits of a filter for the rows of keys, which should be cheap to count: 16 a row, as a power of two.
+
+    Beyond ``MOST_BITS`` / 16 rows (16 million) more and more rows that occur
+    once count as possibly repeated; results stay the same, and in the end all
+    rows take the shuffled way.
+    """
+    return min(max(1 << (16 * max(keys.count(), 1) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+
+
 def _position(key: Column, seed: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(bits))
 
@@ -77,7 +87,7 @@ def _as_words(positions: DataFrame) -> DataFrame:
     return positions.groupBy(F.expr("shiftright(p, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("m"))
 
 
-def repeated_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFrame:
+def repeated_filter(keys: DataFrame, column: str, bits: int) -> DataFrame:
     """First pass: filter words in which both positions of every key that occurs twice are set.
 
     Each key has two positions of ``bits``; a position hit twice or more stays
@@ -87,17 +97,17 @@ def repeated_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> Da
     return _as_words(both.groupBy("p").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("p"))
 
 
-def member_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFrame:
+def member_filter(keys: DataFrame, column: str, bits: int) -> DataFrame:
     """Filter words in which both positions of every key are set."""
     both = keys.select(F.explode(F.array(_position(F.col(column), 1, bits), _position(F.col(column), 2, bits))).alias("p"))
     return _as_words(both)
 
 
-def probe(rows: DataFrame, column: str, words: DataFrame, flag: str, bits: int = FILTER_BITS) -> DataFrame:
+def probe(rows: DataFrame, column: str, words: DataFrame, flag: str, bits: int) -> DataFrame:
     """Second pass: rows with boolean ``flag``, false only if the key is surely not in the filter.
 
-    The filter is broadcast: it has at most bits / 64 rows of 16 bytes (16 MiB
-    at the default), whatever the input.
+    The filter is broadcast: it has at most bits / 64 rows of 16 bytes (64 MiB
+    at ``MOST_BITS``), whatever the input.
     """
     small = F.broadcast(words)
     out = rows

@@ -10,21 +10,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import FILTER_BITS, SALTS, probe, read, repeated_filter, salted, spread, stored
+from .common import SALTS, filter_bits, probe, read, repeated_filter, salted, spread, stored
 
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def keep_first(hashed: DataFrame, id_col: str, key_col: str, bits: int = FILTER_BITS, salts: int = SALTS) -> DataFrame:
-    """hashed with keep_id, group_size and kept; hashed must be cheap to read several times.
+def keep_first(hashed: DataFrame, id_col: str, key_col: str, bits: int | None = None, salts: int = SALTS) -> DataFrame:
+    """hashed with keep_id, group_size and kept; hashed must be cheap to read several times. bits: of the filter, by the number of rows unless given.
 
     The smallest id of a key stays.  Null ids come after all others.  Rows that
     repeat both id and key are one group member each; one of them, any, stays.
     A group of any size is aggregated before the shuffle and joined back over
     ``salts`` tasks.
     """
+    bits = bits or filter_bits(hashed)
     probed = probe(hashed, key_col, repeated_filter(hashed, key_col, bits), "_maybe", bits)
     alone = probed.filter("not _maybe").drop("_maybe").withColumns({"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
     some = salted(probed.filter("_maybe").drop("_maybe"), F.col(id_col), salts)
@@ -36,7 +37,7 @@ def keep_first(hashed: DataFrame, id_col: str, key_col: str, bits: int = FILTER_
     return alone.unionByName(found.select(*alone.columns))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null text counts as empty; empty texts are equal to each other, and a text

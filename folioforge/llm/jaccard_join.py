@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FILTER_BITS, lean, member_filter, probe, read, stored
+from .common import filter_bits, lean, member_filter, probe, read, stored
 from .components import components, least_labels
 from .wordhash import SPACED, mix, ngrams, portions, utf8, word_hashes
 
@@ -324,7 +324,8 @@ def _hot_members(packed: DataFrame, percent: int) -> DataFrame:
 
 def _rows_like(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id and text of the rows that stand for the signatures wanted (x, rep), and of some others that the filter lets through."""
-    return probe(docs.withColumn("_key", F.col("doc_id")), "_key", member_filter(wanted, "rep"), "_in", FILTER_BITS).filter("_in").select("doc_id", "text")
+    bits = filter_bits(wanted)
+    return probe(docs.withColumn("_key", F.col("doc_id")), "_key", member_filter(wanted, "rep", bits), "_in", bits).filter("_in").select("doc_id", "text")
 
 
 def _heads(n: int, percent: int, classes):

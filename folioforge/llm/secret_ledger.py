@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import FILTER_BITS, fresh_path, member_filter, probe, read, salted, spread, stored
+from .common import filter_bits, fresh_path, member_filter, probe, read, salted, spread, stored
 
 
 @dataclass(frozen=True)
@@ -78,7 +78,7 @@ def _scan(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return found.groupBy("blob").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
-def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(findings, additions to the ledger).
 
     findings has one row per row of docs: doc_id, blob, spans (struct array
@@ -100,6 +100,7 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: Sequen
     else:
         known = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"), F.flatten(F.collect_list("spans")).alias("old"))
         known = stored(known, "ledger")
+        bits = bits or filter_bits(known)
         probed = probe(rows, "blob", member_filter(known, "blob", bits), "_known", bits)
         new = probed.filter("not _known").drop("_known").withColumn("todo", every)
         met = salted(probed.filter("_known").drop("_known"), F.col("doc_id")).join(spread(known.select("blob", "seen")), ["blob", "_salt"], "left")

@@ -109,9 +109,9 @@ def rejected_templates(pages: DataFrame, labels: DataFrame, prior: float = 8.0,
     error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-6)) / F.greatest("seen", F.lit(1)))
     apart = (F.col("seen") > 0) & (F.abs(F.col("good") / F.greatest("seen", F.lit(1)) - share) > z * error)
     branch = leaf.withColumn("branch", F.when(apart, F.col("template")).otherwise(F.lit(WILD)))
-    pooled = branch.groupBy("host", "parent", "branch").agg(F.sum("seen").alias("seen"), F.sum("good").alias("good"), F.collect_set("template").alias("members"))
+    pooled = branch.groupBy("host", "parent", "branch").agg(F.sum("seen").alias("seen"), F.sum("good").alias("good"))
     bad = pooled.filter((F.col("good") + prior * whole) / (F.col("seen") + prior) < least_purity)
-    bad = bad.select("host", F.explode("members").alias("template"))
+    bad = branch.join(bad.select("host", "parent", "branch"), ["host", "parent", "branch"], "left_semi").select("host", "template")
     return tree.join(bad, ["host", "template"], "left_semi").select("host", "raw")
 
 

@@ -12,7 +12,7 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FILTER_BITS, fresh_path, probe, read, repeated_filter, salted, spread, stored
+from .common import filter_bits, fresh_path, probe, read, repeated_filter, salted, spread, stored
 from .exact_dedup import keep_first
 
 LEAST_BYTES = 100
@@ -51,7 +51,7 @@ def _header(date: str) -> Column:
     )
 
 
-def write_archive(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, bits: int = FILTER_BITS, date: str | None = None) -> None:
+def write_archive(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, bits: int | None = None, date: str | None = None) -> None:
     """Writes path/headers (page_id, digest, header) and path/payloads (digest, payload).
 
     date is every record's WARC-Date, the time of writing unless given.
@@ -66,6 +66,7 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, b
     rows = rows.withColumns({"digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
     date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     meta = stored(rows.drop("payload").withColumn("serial", F.monotonically_increasing_id()), "warc-meta")
+    bits = bits or filter_bits(meta)
     large = keep_first(meta.filter(F.col("payload_bytes") >= least_bytes), "page_id", "digest", bits).withColumn("shared", F.lit(True))
     small = meta.filter(F.col("payload_bytes") < least_bytes).withColumns({"keep_id": F.col("page_id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True), "shared": F.lit(False)})
     typed = large.unionByName(small).withColumns({"record_type": F.when(F.col("kept"), "response").otherwise("revisit"), "refers_to": F.when(~F.col("kept"), F.col("keep_id"))})

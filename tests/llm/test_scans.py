@@ -191,3 +191,15 @@ def test_warc_lost_payload_and_odd_rows(spark, tmp_path):
     spark.read.parquet(f"{tmp_path}/w/headers").write.parquet(f"{tmp_path}/lost/headers")
     with pytest.raises(Exception, match="payload missing"):
         warc_store.read_archive(spark, f"{tmp_path}/lost").collect()
+
+
+def test_url_query_blocks_planted_branches(spark, tmp_path):
+    """The tree's verdicts inside the query: pages of documents marked 0 lie in one branch of a host."""
+    rows = [(i, f"https://Site.test/{'spam' if i % 3 == 0 else 'news'}/{i}") for i in range(300)] + [(1000 + i, f"https://other.test/{'spam' if i % 2 else 'news'}/{i}") for i in range(40)]
+    spark.createDataFrame([*rows, (2000, None), (None, "https://site.test/spam/999999")], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, 0 if i % 3 == 0 else 1) for i in range(0, 300, 2)] + [(i, 1) for i in range(5000, 5100)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["page_id"]: r for r in url_templates.op6_url_filter(spark, str(tmp_path)).collect()}
+    assert len(got) == 342 and all(r["rule"] is None for r in got.values())
+    assert {r["verdict"] for i, r in got.items() if i is None or (i < 300 and i % 3 == 0)} == {"block"}
+    assert {r["verdict"] for i, r in got.items() if i is not None and (i >= 2000 or i < 300 and i % 3)} == {"allow"}
+    assert {r["verdict"] for i, r in got.items() if i is not None and 1000 <= i < 2000} <= {"allow", "block"}
