@@ -80,17 +80,21 @@ def prefix_table(spark: SparkSession, templates: Mapping[str, str], order: list[
     return spark.createDataFrame(rows, "word string, label string, tokens array<string>, need int, span int, after array<string>")
 
 
-def template_matches(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
+def template_matches(rows: DataFrame, prefixes: DataFrame, rare: list[str], widest: int) -> DataFrame:
     """rows (_row, words) joined with the templates: _row, matches (array of label, score).
 
+    rare: the words of the prefixes; widest: the longest block.
+
     Only words around a hit travel; the table of prefixes has a few rows per
     template, a fixed number whatever the corpus.
     """
-    hits = rows.select("_row", "words", F.posexplode("words").alias("at", "word")).join(F.broadcast(prefixes), "word")
-    hits = hits.filter(F.size("words") >= F.col("need"))  # length
-    first = F.greatest(F.col("at") - F.col("span") + 1, F.lit(0))
-    around = F.slice("words", first + 1, F.col("at") - first + F.col("span"))
-    hits = hits.select("_row", "label", "tokens", "need", "span", "at", "after", first.alias("first"), F.greatest(F.size("words") - F.col("span"), F.lit(0)).alias("last"), around.alias("around"))
+    spots = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda h: h["word"].isin(rare))
+    near = F.transform(spots, lambda h: F.struct(h["word"].alias("word"), h["at"].alias("at"), F.slice("words", F.greatest(h["at"] - widest + 1, F.lit(0)) + 1, F.lit(2 * widest - 1)).alias("near")))
+    hits = rows.select("_row", F.size("words").alias("n_words"), F.explode(near).alias("h")).select("_row", "n_words", "h.*")
+    hits = hits.join(F.broadcast(prefixes), "word").filter("n_words >= need")  # length
+    first, offset = F.greatest(F.col("at") - F.col("span") + 1, F.lit(0)), F.greatest(F.col("at") - widest + 1, F.lit(0))
+    around = F.slice("near", first - offset + 1, F.col("at") - first + F.col("span"))
+    hits = hits.select("_row", "label", "tokens", "need", "span", "at", "after", first.alias("first"), F.greatest(F.col("n_words") - F.col("span"), F.lit(0)).alias("last"), around.alias("around"))
     hits = hits.filter(F.size(F.array_intersect("around", "after")) >= F.col("need"))  # position
     starts = F.sequence("first", F.greatest(F.least("at", "last"), F.col("first")))
     counts = F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("around", s - F.col("first") + 1, F.col("span")), F.col("tokens"))))
@@ -123,7 +127,7 @@ def scan_licenses(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templat
     places = F.when(F.col("_base") & (F.size("words") > 0), F.concat(*(_places(p.split(), label) for p, label in phrases.items())))
     rows = rows.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "n_words", places.alias("places"), F.when(F.col("_near"), F.col("words")).alias("words"))
     rows = stored(rows, "license-rows")  # row numbers must not change between scans
-    matches = template_matches(rows.filter("words is not null").select("_row", "words"), prefix_table(docs.sparkSession, templates, order, threshold))
+    matches = template_matches(rows.filter("words is not null").select("_row", "words"), prefix_table(docs.sparkSession, templates, order, threshold), sorted(first), max(len(t.replace(".", " ").split()) for t in templates.values()))
     rows = rows.drop("words").join(matches, "_row", "left")
     none = F.array().cast("array<string>")
     mine = F.coalesce(F.transform("matches", lambda x: x["label"]), none)

@@ -33,7 +33,7 @@ END_ID = 2
 MEAN_CHUNK = 512
 MOST_CHUNK = 4096
 WINDOW = 4
-CACHE_UNITS = 400_000
+CACHE_UNITS = 800_000
 TAILS = ".,!?;:"
 
 
@@ -49,7 +49,7 @@ class Encoder:
     The library's pre-tokenizer always starts a new piece at a space that has
     a non-space before or after it, so a text falls apart there into units
     whose ids do not depend on their neighbours.  Each distinct unit is encoded
-    by the library once and kept, up to ``CACHE_UNITS`` (about 80 MB in a
+    by the library once and kept, up to ``CACHE_UNITS`` (about 160 MB in a
     worker); texts with a space between two white-space characters are encoded
     whole.
     """
