@@ -102,10 +102,16 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: Sequen
         known = stored(known, "ledger")
         bits = bits or filter_bits(known)
         probed = probe(rows, "blob", member_filter(known, "blob", bits), "_known", bits)
-        new = probed.filter("not _known").drop("_known").withColumn("todo", every)
-        met = salted(probed.filter("_known").drop("_known"), F.col("doc_id")).join(spread(known.select("blob", "seen")), ["blob", "_salt"], "left")
-        met = met.select("doc_id", "blob", "text", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo"))
-        fresh = new.unionByName(met)
+        nothing = F.array().cast("array<string>")
+        new, met = probed.filter("not _known").drop("_known").withColumn("todo", every), probed.filter("_known").drop("_known")
+        strays = met.select("blob").join(known.select("blob"), "blob", "left_anti").distinct()  # let through by the filter alone
+        open_ = known.select("blob", F.array_except(every, "seen").alias("todo")).filter("size(todo) > 0").unionByName(strays.withColumn("todo", every))
+        open_ = stored(open_, "open-blobs")
+        # texts travel only where something is left to do
+        met = probe(met, "blob", member_filter(open_, "blob", bits), "_open", bits)
+        done = met.filter("not _open").drop("_open").withColumn("todo", nothing)
+        left = salted(met.filter("_open").drop("_open"), F.col("doc_id")).join(spread(open_), ["blob", "_salt"], "left").select("doc_id", "blob", "text", F.coalesce("todo", nothing).alias("todo"))
+        fresh = new.unionByName(done).unionByName(left)
         fresh = fresh.withColumn("_live", (F.size("todo") > 0) & suspect)
     # a row without anything suspicious needs no text any more, and a suspicious blob is scanned once
     marks = stored(fresh.select("doc_id", "blob", "todo", "_live", F.when(F.col("_live"), F.col("text")).alias("text")), "blobs")
