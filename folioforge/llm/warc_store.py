@@ -67,7 +67,7 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, b
     date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     meta = stored(rows.drop("payload").withColumn("serial", F.monotonically_increasing_id()), "warc-meta")
     bits = bits or filter_bits(meta)
-    large = keep_first(meta.filter(F.col("payload_bytes") >= least_bytes), "page_id", "digest", bits).withColumn("shared", F.lit(True))
+    large = keep_first(meta.filter(F.col("payload_bytes") >= least_bytes), "page_id", "digest", "serial", bits).withColumn("shared", F.lit(True))
     small = meta.filter(F.col("payload_bytes") < least_bytes).withColumns({"keep_id": F.col("page_id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True), "shared": F.lit(False)})
     typed = large.unionByName(small).withColumns({"record_type": F.when(F.col("kept"), "response").otherwise("revisit"), "refers_to": F.when(~F.col("kept"), F.col("keep_id"))})
     typed.select("page_id", "digest", _header(date).alias("header")).write.option("compression", "zstd").parquet(f"{path}/headers")
