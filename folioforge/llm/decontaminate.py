@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -139,21 +140,26 @@ def scan_batch(column: pa.Array, index: Index) -> tuple[list[int], list[list[int
 RESULT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))])
 
 
-def item_blocks(benchmark: DataFrame, limit: int = BLOCK_WINDOWS) -> list[Index]:
-    """The benchmark's windows in blocks, read item by item; items without words or id are left out."""
-    blocks, items, size = [], [], 0
+def _pieces(words: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """Words in stretches of at most ``limit`` windows that together hold every window once."""
+    for at in range(0, max(1, len(words) - WINDOW + 1), limit):
+        yield words[at : at + limit + WINDOW - 1]
+
+
+def item_blocks(benchmark: DataFrame, limit: int = BLOCK_WINDOWS) -> Iterator[Index]:
+    """The benchmark's windows in blocks of fewer than 2 * ``limit``, built one at a time; items without words or id are left out, long ones go in pieces."""
+    items, size, none = [], 0, True
     for r in benchmark.select("item_id", "text").filter("item_id is not null and text is not null").toLocalIterator():
         raw, offsets = utf8(pa.array([r["text"]]))
         words, _ = word_hashes(raw, offsets, ALNUM)
-        if len(words):
-            items.append((str(r["item_id"]), words))
-            size += len(words)
-        if size >= limit:
-            blocks.append(Index(items))
-            items, size = [], 0
-    if items or not blocks:
-        blocks.append(Index(items))
-    return blocks
+        for piece in _pieces(words, limit) if len(words) else ():
+            items.append((str(r["item_id"]), piece))
+            size += max(1, len(piece) - WINDOW + 1)
+            if size >= limit:
+                yield Index(items)
+                items, size, none = [], 0, False
+    if items or none:
+        yield Index(items)
 
 
 def hits_of(spark: SparkSession, block: Index):
@@ -193,12 +199,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     blocks = item_blocks(benchmark, limit)
-    if len(blocks) == 1:
-        out = rows.select("doc_id", hits_of(docs.sparkSession, blocks[0])("text").alias("r")).select("doc_id", "r.*")
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        out = rows.select("doc_id", hits_of(docs.sparkSession, first)("text").alias("r")).select("doc_id", "r.*")
         out = out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: x - n))  # ends less starts
     else:
         key = F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text")).alias("key")
-        passes = [stored(rows.select(key, hits_of(docs.sparkSession, b)("text").alias("r")).select("key", "r.*"), "decontaminate") for b in blocks]
+        passes = [stored(rows.select(key, hits_of(docs.sparkSession, b)("text").alias("r")).select("key", "r.*"), "decontaminate") for b in chain([first, second], blocks)]
         some = reduce(DataFrame.unionByName, [p.filter(F.size("items") > 0).dropDuplicates(["key"]) for p in passes])
         some = some.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         some = spread(some.withColumn("n_hit", covered_words("spans")))

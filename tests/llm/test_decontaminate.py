@@ -75,3 +75,16 @@ def test_hashes_follow_words_and_rows():
         seen = dict(zip(flat, got.tolist(), strict=True))
         assert [seen[w] for w in flat] == got.tolist() and len(set(seen.values())) == len(seen)
     assert ngrams(got[:5], 5)[0] != ngrams(got[:4], 4)[0]
+
+
+def test_long_items_go_in_pieces(spark):
+    rng = random.Random(11)
+    text = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    long, short = text(137), text(25)
+    words = long.split(" ")
+    bench = spark.createDataFrame([(1, long), (2, short), (3, "w1 w2")], "item_id long, text string")
+    assert max(sum(len(h) for h, _ in b.lengths.values()) for b in D.item_blocks(bench, 20)) < 40
+    docs = [(i, " ".join(["x", *words[i : i + 10], "y"]), "n", 0) for i in range(128)] + [(200, long, "n", 0), (201, short, "n", 0), (None, short, "n", 0), (None, None, "n", 0), (201, "q", "n", 0)]
+    docs = spark.createDataFrame(docs, DOCS)
+    assert sum(x[4] for x in check(spark, docs, bench, limit=20)) >= 131
+    check(spark, docs, bench, limit=1_000_000)
