@@ -23,7 +23,7 @@ from .wordhash import SPACED, mix, portions, utf8, word_hashes
 PASSAGE = 64
 THRESHOLD = 0.3
 TRAIN_ROWS = 6000  # the labelled sample's bound
-TRAIN_CHARS = 50_000  # longer labelled texts are not trained on
+TRAIN_PASSAGES = 256  # of a labelled text in training, spread evenly over all of it; scoring reads every passage
 HIDDEN = 24
 BINS = 128
 WIDTH = BINS + 6
@@ -145,31 +145,40 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 40, batch: int = 25
     return model
 
 
-@F.arrow_udf(returnType=T.BinaryType())
-def _bag(text: pa.Array) -> pa.Array:
-    raw, offsets = utf8(text)
-    out = []
-    for s, e in portions(offsets):
-        x, start = encode(raw[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
-        out += [x[start[i] : start[i + 1]].astype(np.float16).tobytes() for i in range(e - s)]
-    return pa.array(out, pa.binary())
+def _bags(most: int):
+    """A column function text -> encoded passages, at most ``most`` from even places."""
+
+    @F.arrow_udf(returnType=T.BinaryType())
+    def bag(text: pa.Array) -> pa.Array:
+        raw, offsets = utf8(text)
+        out = []
+        for s, e in portions(offsets):
+            x, start = encode(raw[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
+            for a, z in zip(start[:-1].tolist(), start[1:].tolist(), strict=True):
+                rows = x[a:z] if z - a <= most else x[a + np.arange(most) * (z - a) // most]
+                out.append(rows.astype(np.float16).tobytes())
+        return pa.array(out, pa.binary())
+
+    return bag
 
 
 def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, passages: int = TRAIN_PASSAGES, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fits on at most ``rows`` labelled documents outside the held-out fifth, picked by a hash of their ids.
 
     Of conflicting labels the smallest counts, of several texts of one id the
-    smallest; null labels and ids are left out.
+    one with the smallest encoding; null labels and ids are left out.  A text
+    of more than ``passages`` passages trains with that many of them, so the
+    driver holds 70 kB a row at most.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("_y")).filter(F.col("_id").isNotNull() & F.col("_y").isNotNull() & ~held_out(F.col("_id")))
     known = known.groupBy("_id").agg(F.min("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter(F.length("_text") <= chars)
-    sample = texts.join(F.broadcast(known), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.min("_y").alias("_y"))
-    got = sample.select("_id", "_y", _bag("_text").alias("bag")).toArrow().sort_by("_id")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
+    sample = texts.join(F.broadcast(known), "_id").select("_id", "_y", _bags(passages)("_text").alias("bag"))
+    got = sample.groupBy("_id").agg(F.min("bag").alias("bag"), F.min("_y").alias("_y")).toArrow().sort_by("_id")
     bags = [np.frombuffer(b, np.float16).reshape(-1, WIDTH) for b in got["bag"].to_pylist()]
     y = got["_y"].to_numpy()
     full = [i for i, b in enumerate(bags) if len(b)]

@@ -48,3 +48,12 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert len({r["score"] for r in rows[:3]}) == 1
     assert A.classify(odd.limit(0), labels.limit(0)).count() == 0
     assert A.classify(odd, labels.limit(0)).count() == 5
+
+
+def test_long_texts_train_from_all_their_passages(spark):
+    text = " ".join(f"w{i}" for i in range(64 * 40))
+    docs = spark.createDataFrame([(1, text), (2, "a b"), (3, "c")], "doc_id long, text string")
+    got = {r["doc_id"]: np.frombuffer(r["bag"], np.float16).reshape(-1, A.WIDTH) for r in docs.select("doc_id", A._bags(8)("text").alias("bag")).collect()}
+    assert len(got[1]) == 8 and len(got[2]) == len(got[3]) == 1
+    every = A.encode(*utf8(pa.array([text])))[0].astype(np.float16)
+    assert (got[1] == every[::5]).all()
