@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import attention_mil, decontaminate, exact_dedup, jaccard_join, license_join, secret_ledger, soft_mixing, token_store, url_templates, warc_store
+from . import attention_mil, decontaminate, divergence_audit, exact_dedup, jaccard_join, kdtree_clusters, license_join, minhash_dedup, secret_ledger, soft_mixing, token_store, url_templates, warc_store
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -17,8 +17,11 @@ QUERIES = {
     "op8_tokens": token_store.op8_tokens,
     "op9_warc": warc_store.op9_warc,
     "op10_licenses": license_join.op10_licenses,
+    "op11_minhash": minhash_dedup.op11_minhash,
+    "op12_clusters": kdtree_clusters.op12_clusters,
+    "op13_divergence": divergence_audit.op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op1_exact_dedup": exact_dedup.SQL, "op9_warc": warc_store.SQL}
+ORACLES = {"op1_exact_dedup": exact_dedup.SQL, "op9_warc": warc_store.SQL, "op12_clusters": kdtree_clusters.SQL, "op13_divergence": divergence_audit.SQL}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -314,14 +314,18 @@ def _hot_entries(percent: int):
     return run
 
 
-def _hot_members(packed: DataFrame, percent: int) -> DataFrame:
-    """Members of hot columns: the smallest row of each size class comes from partial minima, and adaptive execution splits a hot column's join."""
-    rows = stored(packed.mapInArrow(_hot_entries(percent), "key long, size long, x long, n long, early boolean"), "hot")
+def hub_members(rows: DataFrame) -> DataFrame:
+    """Members of the groups of rows (key, size, x, n, early): the smallest row of each size class comes from partial minima, and adaptive execution splits a hot key's join."""
     hubs = rows.filter("early").groupBy("key", "size").agg(F.min(F.struct("n", "x")).alias("hub"))
     own, guest = rows.join(hubs, ["key", "size"]).filter("n > hub.n or (n = hub.n and x > hub.x)"), rows.join(hubs.withColumn("size", F.col("size") + 1), ["key", "size"])
     return own.unionByName(guest).select(F.col("hub.x").alias("h"), "x", "n").distinct()
 
 
+def _hot_members(packed: DataFrame, percent: int) -> DataFrame:
+    """Members of hot columns."""
+    return hub_members(stored(packed.mapInArrow(_hot_entries(percent), "key long, size long, x long, n long, early boolean"), "hot"))
+
+
 def _rows_like(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id and text of the rows that stand for the signatures wanted (x, rep), and of some others that the filter lets through."""
     bits = filter_bits(wanted)
@@ -480,14 +484,14 @@ def _numbers(upto: str):
     return F.explode(F.sequence(F.lit(0), F.col(upto) - 1))
 
 
-def _first_tiles(members: DataFrame, heads: DataFrame) -> DataFrame:
-    """Groups of one tile whole; in larger ones every row meets the pivots, of each of PIVOTS parts the row whose n-grams are the most common."""
+def _first_tiles(members: DataFrame, mass: DataFrame) -> DataFrame:
+    """Groups of one tile whole; in larger ones every row meets the pivots, of each of PIVOTS parts the row of the largest mass."""
     zero = F.lit(0).alias("u")
     small = members.filter("k = 1").select("h", zero, F.lit(0).alias("a"), F.lit(3).alias("role"), "x", F.col("x").alias("c"))
     large = members.filter("k > 1")
     spoke = large.select("h", zero, _dealt("x", "k").alias("a"), F.lit(2).alias("role"), "x", F.col("x").alias("c"))
     salt = F.pmod(F.xxhash64("x", F.lit(7)), F.lit(PIVOTS))
-    pivots = large.join(heads.select("x", "mass"), "x").groupBy("h", "k", salt.alias("salt")).agg(F.max_by("x", F.struct("mass", "x")).alias("x"))
+    pivots = large.join(mass, "x").groupBy("h", "k", salt.alias("salt")).agg(F.max_by("x", F.struct("mass", "x")).alias("x"))
     hub = pivots.select("h", zero, _numbers("k").alias("a"), F.lit(1).alias("role"), "x", F.lit(-1).cast("long").alias("c"))
     return small.unionByName(spoke).unionByName(hub)
 
@@ -505,6 +509,35 @@ def _open_tiles(members: DataFrame, inside: DataFrame, rows_a_tile: int) -> Data
     return left.unionByName(right)
 
 
+def grouped(members: DataFrame, tile_rows: int, tile_grams: int) -> DataFrame:
+    """Members (h, x, n) as (h, x, k): k tiles a side hold the group h, to which h itself belongs."""
+    tiles = F.ceil(F.greatest((F.count(F.lit(1)) + 1) / tile_rows, F.sum("n") / tile_grams)).cast("int").alias("k")
+    groups = members.groupBy("h").agg(tiles)
+    return stored(members.select("h", "x").join(groups, "h").unionByName(groups.select("h", F.col("h").alias("x"), "k")), "groups")
+
+
+def resolved(docs: DataFrame, own: DataFrame, classes: DataFrame, members: DataFrame, mass: DataFrame, n: int, percent: int, tile_rows: int) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of own (doc_id, n, sig), from the links within groups (h, x, k) of distinct sets.
+
+    classes: sig and rep, the smallest doc_id with that set; mass: x and the
+    number by which a large group's pivots are picked.
+    """
+    represented = classes.select(F.col("sig").alias("x"), "rep")
+    wanted = stored(members.select("x").distinct().join(represented, "x"), "wanted")
+    rows = stored(_rows_like(docs, wanted).mapInArrow(lean(_sets(n)), "x long, grams binary").join(wanted.select("x"), "x", "left_semi"), "rows")
+    links = _links(_first_tiles(members, mass), rows, percent)
+    inside = components(links)
+    if members.filter("k > 1").limit(1).count():
+        more = _links(_open_tiles(members, inside, tile_rows), rows, percent)
+        inside = components(links.unionByName(more))
+    named = stored(classes.join(inside, F.col("sig") == F.col("v"), "left").select("sig", "rep", F.coalesce("c", "sig").alias("c")), "named")
+    least = stored(named.groupBy("c").agg(F.min("rep").alias("component_id")), "least")
+    by_sig = stored(named.join(least, "c").select("sig", "component_id"), "by-sig")
+    full = own.filter("sig is not null").join(by_sig, "sig")  # both sides come from tables: adaptive execution splits a hot set
+    alone = own.filter("sig is null").withColumn("component_id", F.col("doc_id"))
+    return full.select("doc_id", "n", "component_id").unionByName(alone.select("doc_id", "n", "component_id")).withColumnRenamed("n", "n_shingles")
+
+
 def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = 100_000, tile_rows: int = 512, tile_grams: int = 2_000_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -534,9 +567,7 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     if product.filter("kind = 1").limit(1).count():
         members = members.unionByName(_hot_members(product.filter("kind = 1").select("data"), percent)).distinct()
     members = stored(members, "members")
-    tiles = F.ceil(F.greatest((F.count(F.lit(1)) + 1) / tile_rows, F.sum("n") / tile_grams)).cast("int").alias("k")
-    groups = members.groupBy("h").agg(tiles)
-    members = stored(members.select("h", "x").join(groups, "h").unionByName(groups.select("h", F.col("h").alias("x"), "k")), "groups")
+    members = grouped(members, tile_rows, tile_grams)
     # a row that comes twice only repeats its links; those outside groups meet nothing
     represented = classes.select(F.col("sig").alias("x"), "rep")
     wanted = stored(members.select("x").distinct().join(represented, "x"), "wanted")
@@ -544,19 +575,7 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, id_
     small = members.filter("k = 1").select("h", "x").join(heads.select("x", "n", "head"), "x").select("h", "x", "n", "head")
     met = small.repartition("h").sortWithinPartitions("h").mapInArrow(lean(_partnered(percent)), "h long, x long")
     members = stored(met.withColumn("k", F.lit(1)).unionByName(members.filter("k > 1")), "partners")
-    wanted = stored(members.select("x").distinct().join(represented, "x"), "wanted")
-    rows = stored(_rows_like(docs, wanted).mapInArrow(lean(_sets(n)), "x long, grams binary").join(wanted.select("x"), "x", "left_semi"), "rows")
-    links = _links(_first_tiles(members, heads), rows, percent)
-    inside = components(links)
-    if members.filter("k > 1").limit(1).count():
-        more = _links(_open_tiles(members, inside, tile_rows), rows, percent)
-        inside = components(links.unionByName(more))
-    named = stored(classes.join(inside, F.col("sig") == F.col("v"), "left").select("sig", "rep", F.coalesce("c", "sig").alias("c")), "named")
-    least = stored(named.groupBy("c").agg(F.min("rep").alias("component_id")), "least")
-    by_sig = stored(named.join(least, "c").select("sig", "component_id"), "by-sig")
-    full = own.filter("sig is not null").join(by_sig, "sig")  # both sides come from tables: adaptive execution splits a hot set
-    alone = own.filter("sig is null").withColumn("component_id", F.col("doc_id"))
-    return full.select("doc_id", "n", "component_id").unionByName(alone.select("doc_id", "n", "component_id")).withColumnRenamed("n", "n_shingles")
+    return resolved(docs, own, classes, members, heads.select("x", "mass"), n, percent, tile_rows)
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ character is a word byte, so working on bytes equals working on code points.
 
 * ``ALNUM``  words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the lower-cased text
 * ``SPACED`` words ``[^\\x20\\x09-\\x0D]+`` of the lower-cased text
+* ``LETTERS`` words ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+`` of the lower-cased text
 
 Hashes are 64 bits wide.  Two different words or n-grams share a hash with
 probability about 2**-64, so equality of hashes stands for equality of text.
@@ -24,6 +25,7 @@ _LOWER = np.where(_UPPER, _BYTES + 32, _BYTES)
 
 ALNUM = ((_LOWER >= 0x30) & (_LOWER <= 0x39)) | ((_LOWER >= 0x61) & (_LOWER <= 0x7A)) | (_BYTES >= 0x80)
 SPACED = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
+LETTERS = ((_LOWER >= 0x61) & (_LOWER <= 0x7A)) | (_BYTES >= 0x80)
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -90,6 +92,21 @@ def _cut(is_word: np.ndarray, edge: np.ndarray, start: int) -> int:
     return min(end, n)
 
 
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """Bytes with a-z for A-Z."""
+    return _LOWER.astype(np.uint8)[raw]
+
+
+def spans(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, byte after the last) of every word; rows' ends end words."""
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = table[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
+    return starts, np.flatnonzero(inside[:-1] & (~inside[1:] | edge))
+
+
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, index of its first word per row with the total last)."""
     n = len(raw)
