@@ -49,12 +49,26 @@ def key_variants(name: Column) -> list[Column]:
 
 
 def tidy_whitespace(text: Column) -> Column:
-    """LF line ends, plain spaces, no trailing blanks, at most one blank line, trimmed."""
-    text = F.regexp_replace(text, r"\r\n?", "\n")
-    text = F.replace(text, F.lit(" "), F.lit(" "))
-    text = F.regexp_replace(text, r"(?m)[ \t]+$", "")
-    text = F.regexp_replace(text, r"\n[\t ]*\n[\t ]*\n[\t \n]*", "\n\n")  # no repeated group: Java recurses on those, and long runs overflow its stack
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """LF line ends, plain spaces, no trailing blanks, at most one blank line, trimmed; the line after a longer gap loses its indent too."""
+    lines = F.transform(F.split(text, "\r\n|\r|\n", -1), lambda x: F.rtrim(F.translate(x, "\u00a0\t", " \t"), F.lit(" \t")))
+    blank = lambda i: F.coalesce(F.get(lines, i) == "", F.lit(False))
+    moved = F.transform(lines, lambda x, i: F.when((i > 1) & blank(i - 1) & blank(i - 2), F.ltrim(x, F.lit(" \t"))).otherwise(x))
+    return strip(F.array_join(F.filter(moved, lambda x, i: (x != "") | (i == 0) | ~blank(i - 1)), "\n"))
+
+
+_END = "\u241e"
+
+
+def whole_json(text: Column) -> Column:
+    """The variant of a text that is one JSON document, all of it, else null; parsed once.
+
+    The parser ignores what follows a document, so the text is read as the
+    first of two elements of a list and the second must be there, and last.
+    """
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    ends = (F.try_variant_get(pair, "$[1]", "string") == _END) & F.try_variant_get(pair, "$[2]", "variant").isNull()
+    odd = text.contains(_END)  # only then could the end be the text's own
+    return F.when(ends & (~odd | is_json(text)), F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def is_json(text: Column) -> Column:
@@ -75,17 +89,21 @@ def rewritten(text: Column, pattern: str, group: int, new: Callable[[Column], Co
     return F.array_join(pieces, "")
 
 
-#: fixed values: headers that carry a credential, and provider keys by their beginning and least length
+#: fixed values: headers that carry a credential
 SECRET_HEADERS = ("authorization", "x-api-key", "api-key")
-KEY_STARTS = {"sk-": 16, "AIza": 20}
+#: fixed values: besides white space, what ends a parameter's value: the next parameter, or the end of what the address stands in
+VALUE_ENDS = "&'\"<>]}"
+#: fixed values: bare provider keys
+BARE_KEYS = ("sk-[A-Za-z0-9_-]{16,}", "AIza[A-Za-z0-9_-]{20,}")
 
 
 def redaction_rules() -> list[tuple[str, str]]:
-    """(pattern, replacement) in the order in which they apply: a parameter's value up to the next delimiter, a header's value, a bare key."""
-    either = "|".join
-    value = r"[^\s&<>'\"\]}]+"
-    bare = either(f"{start}[\\w-]{{{least},}}" for start, least in KEY_STARTS.items())
-    return [(rf"(?i)\b({either(SECRET_PARAMS)})={value}", f"$1={REDACTED}"), (rf"(?i)\b(({either(SECRET_HEADERS)})\s*[:=]\s*)\S+", f"$1{REDACTED}"), (rf"\b(?:{bare})", REDACTED)]
+    """(pattern, replacement) in the order in which they apply: a parameter's value up to what ends it, a header's value, a bare key."""
+    ends = "".join("\\" + c if c == "]" else c for c in VALUE_ENDS)
+    named, headed = "|".join(SECRET_PARAMS), "|".join(SECRET_HEADERS)
+    parameter = f"(?i)\\b({named})=[^\\s{ends}]+"
+    header = f"(?i)\\b(({headed})\\s*[:=]\\s*)\\S+"
+    return [(parameter, f"$1={REDACTED}"), (header, f"$1{REDACTED}"), (f"\\b(?:{'|'.join(BARE_KEYS)})", REDACTED)]
 
 
 def redact(text: Column) -> Column:
@@ -93,15 +111,6 @@ def redact(text: Column) -> Column:
     return reduce(lambda x, rule: F.regexp_replace(x, *rule), redaction_rules(), text)
 
 
-def scrub(text: Column, secrets: list[str], least: int = 12) -> Column:
-    """Known secrets of at least ``least`` characters, and pieces of them that long, replaced, also where white space was put between characters."""
-    pieces = {s[a:z] for s in secrets if len(s or "") >= least for a in range(len(s)) for z in range(a + least, len(s) + 1)}
-    spaced = lambda piece: r"\s*".join(f"\\x{{{ord(c):x}}}" for c in piece)
-    for piece in sorted(pieces, key=lambda x: (-len(x), x)):
-        text = F.regexp_replace(text, spaced(piece), REDACTED)
-    return text
-
-
 def _capital(word: Column) -> Column:
     first = F.substring(word, 1, 1)
     return F.concat(F.when(first == "ß", "Ss").otherwise(F.upper(first)), F.lower(F.substring(word, 2, 1 << 30)))
@@ -119,13 +128,27 @@ def clean_entity(name: Column) -> Column:
     return F.array_join(F.transform(words, one), " ")
 
 
+#: designators of a duration before and after its T, and their seconds
+DATE_UNITS, TIME_UNITS = (("D", 86_400),), (("H", 3_600), ("M", 60), ("S", 1))
+
+
 def iso_seconds(duration: Column) -> Column:
-    """Whole seconds, rounded up, of P[nD]T[nH][nM][nS]; null for anything else and for zero."""
+    """Whole seconds, rounded up, of P[nD]T[nH][nM][nS]; null for anything else and for zero.
+
+    Each designator in turn takes its number from the front; nothing may be
+    left, and a T needs something after it.
+    """
     duration = strip(duration)
-    pattern = r"^P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?$"
-    part = lambda i: F.coalesce(F.nullif(F.regexp_extract(duration, pattern, i), F.lit("")).cast("double"), F.lit(0.0))
-    total = F.ceil(part(1) * 86_400 + part(2) * 3_600 + part(3) * 60 + part(4)).cast("long")
-    return F.when(duration.rlike(pattern) & ~duration.rlike("^P$|T$") & (total > 0), total)
+    halves = F.split(F.substring(duration, 2, 1 << 30), "T", -1)
+    total, sound = F.lit(0.0), duration.startswith("P") & (F.size(halves) < 3)
+    for rest, units in ((F.get(halves, F.lit(0)), DATE_UNITS), (F.get(halves, F.lit(1)), TIME_UNITS)):
+        sound = sound & ((rest != "") | rest.isNull() | F.lit(units is DATE_UNITS))
+        for unit, seconds in units:
+            number = F.regexp_extract(rest, f"^([0-9]+{'([.][0-9]+)?' if unit == 'S' else ''}){unit}", 1)
+            total = total + F.coalesce(F.nullif(number, F.lit("")).cast("double"), F.lit(0.0)) * seconds
+            rest = F.when(number != "", F.substring(rest, F.length(number) + 2, F.lit(1 << 30))).otherwise(rest)
+        sound = sound & F.coalesce(rest == "", F.lit(True))
+    return F.when(sound & (total > 0), F.ceil(total).cast("long"))
 
 
 def clock(seconds: Column) -> Column:
@@ -138,52 +161,6 @@ def clock_of_minutes(minutes: Column) -> Column:
     return clock(minutes.cast("double") * 60)
 
 
-#: fixed values: raised and lowered forms
-RAISED = ("0123456789e+-()n", "⁰¹²³⁴⁵⁶⁷⁸⁹ᵉ⁺⁻⁽⁾ⁿ")
-LOWERED = ("0123456789+-()", "₀₁₂₃₄₅₆₇₈₉₊₋₍₎")
-LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
-
-
-def plain_formula(inner: Column) -> Column:
-    """The inside of $...$: braces after ^ and _ raised or lowered, commands and what is left of the marks dropped."""
-    inner = rewritten(inner, r"\^\{([^}]*)\}", 1, lambda x: F.translate(x, *RAISED))
-    inner = rewritten(inner, r"_\{([^}]*)\}", 1, lambda x: F.translate(x, *LOWERED))
-    return F.translate(F.regexp_replace(inner, r"\\[a-zA-Z]+\s*", ""), "^_{}", "")
-
-
-def _plain_line(line: Column) -> Column:
-    """A Markdown line without its marks; null for lines that are nothing but marks."""
-    flat = F.regexp_replace(strip(line), r"\s*\|\s*", "|")
-    ruled = strip(line).rlike(r"^(-{3,}|\*{3,}|_{3,})$") | flat.rlike(r"^\|?(:?-+:?\|)*:?-+:?\|?$")
-    fence = F.ltrim(F.translate(line, "\t", " ")).startswith("```")
-    text = F.regexp_replace(F.regexp_replace(line, r"^\s{0,3}#{1,6}\s+", ""), r"^\s{0,3}>\s?", "")
-    row = strip(text)
-    cells = F.transform(F.split(F.regexp_replace(row, r"^\|+|\|+$", ""), r"\|", -1), strip)
-    is_row = row.startswith("|") & row.endswith("|") & (F.length(row) > 1)
-    return F.when(~(ruled | fence), F.when(is_row, F.array_join(cells, "\t")).otherwise(text))
-
-
-#: fixed values: inline marks and what stays of them, in the order in which they are taken off
-INLINE = (
-    (r"!\[[^\]]*\]\([^)]*\)", ""),
-    (r"\[([^\]]*)\]\([^)]*\)", "$1"),
-    (r"(\*\*|__)(.+?)\1", "$2"),
-    (r"(?<![\p{L}\p{N}_*])\*(?!\s)(.+?)(?<!\s)\*(?![\p{L}\p{N}_*])", "$1"),
-    (r"`([^`]+)`", "$1"),
-    (r"<(https?://[^>\s]+)>", "$1"),
-)
-
-
-def strip_line_markup(text: Column) -> Column:
-    """Markdown to plain text: marks dropped, links and emphasis unwrapped, images dropped, table rows by tabs, formulas spelt out; null is empty."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), LINE_END, -1), _plain_line)
-    out = F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n")
-    for mark, stays in INLINE:
-        out = F.regexp_replace(out, mark, stays)
-    out = rewritten(out, r"\$([^$\n]*[\\^_][^$\n]*)\$", 1, plain_formula)
-    return strip(F.regexp_replace(F.regexp_replace(out, r"(?m)[^\S\n]+$", ""), r"\n{3,}", "\n\n"))
-
-
 def quota_kind(code: Column, message: Column) -> Column:
     """terminal or transient: 402 always ends a run, 429 only where the message speaks of a spent quota."""
     spent = F.lower(message).rlike("|".join(SPENT))
@@ -196,6 +173,7 @@ def language_code(label: Column, labels: dict[str, str]) -> Column:
     return F.element_at(keys, strip_accents(F.lower(F.trim(label))))
 
 
+#: fixed values: hosts of watch pages
 VIDEO_HOSTS = ("youtube.com", "m.youtube.com", "music.youtube.com")
 
 

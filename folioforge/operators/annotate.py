@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip, whole_json
+from .runtime import Terminal
+
 
 def latest(log: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """The record with the highest seq per key: a map-side aggregate, no window over a key's whole history."""
@@ -45,11 +48,21 @@ def pending(items: DataFrame, models: DataFrame, have: DataFrame, keys: Sequence
 
 
 def load_report(lines: DataFrame, version: str) -> DataFrame:
-    """lines (pos, line): records of the version, distinct items, malformed lines, other versions, first torn line."""
-    parsed = lines.withColumn("v", F.try_variant_get(F.try_parse_json("line"), "$.v", "string")).withColumn("item", F.try_variant_get(F.try_parse_json("line"), "$.item_id", "string")).withColumn("torn", F.try_parse_json("line").isNull())
-    good = F.col("v").isNotNull() & F.col("item").isNotNull()
-    mine = good & (F.col("v") == version)
-    return parsed.agg(F.count_if(mine).alias("records"), F.count_distinct(F.when(mine, F.col("item"))).alias("items"), F.count_if(~good).alias("malformed"), F.count_if(good & (F.col("v") != version)).alias("other_version"), F.min(F.when(F.col("torn"), F.col("pos"))).alias("first_torn"))
+    """lines (pos, line): records of the version, distinct items, malformed lines, other versions, first torn line.
+
+    Blank lines count nowhere.  A line that is not one whole JSON document is
+    torn, and malformed; a document whose v is another one, or missing, is of
+    another version; one of the version is malformed if it is no object, has no
+    item_id or no model (missing, null or empty), or a result that is no object.
+    """
+    docs = lines.filter(strip(F.col("line")) != "").select("pos", whole_json(strip(F.col("line"))).alias("doc"))
+    field = lambda name: F.coalesce(F.try_variant_get("doc", f"$.{name}", "string"), F.lit(""))
+    kind = F.when(F.col("doc").isNull(), "torn").when(~F.schema_of_variant("doc").startswith("OBJECT"), "malformed").when(field("v") != version, "other")
+    result = F.coalesce(F.schema_of_variant(F.try_variant_get("doc", "$.result", "variant")), F.lit("")).startswith("OBJECT")
+    kind = kind.when((field("item_id") == "") | (field("model") == "") | ~result, "malformed").otherwise("record")
+    parsed = docs.select("pos", kind.alias("kind"), field("item_id").alias("item"))
+    is_ = lambda *kinds: F.col("kind").isin(*kinds)
+    return parsed.agg(F.count_if(is_("record")).alias("records"), F.count_distinct(F.when(is_("record"), F.col("item"))).alias("items"), F.count_if(is_("torn", "malformed")).alias("malformed"), F.count_if(is_("other")).alias("other_version"), F.min(F.when(is_("torn"), F.col("pos"))).alias("first_torn"))
 
 
 def valid(result_error: Column, label: Column, score: Column, absent: str) -> Column:
@@ -72,7 +85,7 @@ def status_counts(rows: DataFrame, column: str, statuses: Sequence[str]) -> Data
     return all_of.join(got, "status", "left").select("status", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-class QuotaStop(RuntimeError):
+class QuotaStop(Terminal):
     """A spent quota: every further call would fail the same way."""
 
 

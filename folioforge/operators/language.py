@@ -58,10 +58,12 @@ def agrees(label: Column, languages: Column, labels: dict[str, str]) -> Column:
 def linked(detected: DataFrame, labels: DataFrame, authority: DataFrame) -> DataFrame:
     """detected (item_id, name, code) with label and record_id: by code to a label, by label (case apart) to a record.
 
-    Without a label the label is 'name (code)', and record_id is null; so it is
+    Of several labels of a code the smallest counts, of several records of a
+    label the smallest id.  Without a label the label is 'name (code)', and record_id is null; so it is
     for a label without a record.
     """
-    named = detected.withColumn("_c", primary(F.col("code"))).join(labels.select(F.col("code").alias("_c"), F.col("label").alias("_l")), "_c", "left")
+    one = labels.groupBy(F.col("code").alias("_c")).agg(F.min("label").alias("_l"))
+    named = detected.withColumn("_c", primary(F.col("code"))).join(one, "_c", "left")
     records = authority.select(F.lower("title").alias("_t"), F.col("id").alias("record_id")).groupBy("_t").agg(F.min("record_id").alias("record_id"))
     out = named.withColumn("label", F.coalesce("_l", F.format_string("%s (%s)", "name", "code"))).withColumn("_t", F.lower("_l"))
     return out.join(records, "_t", "left").select(*detected.columns, "label", "record_id")

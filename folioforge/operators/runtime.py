@@ -106,10 +106,16 @@ def overlaid(base: Column, over: Column, fields: list[str]) -> Column:
 def json_payload(text: Column) -> Column:
     """The JSON document in an answer: all of it, a fenced block, the outermost braces or brackets; else the answer as it came."""
     whole = strip(text)
-    fenced = strip(F.regexp_extract(whole, r"(?s)```(?:json)?\s*(.*?)\s*```", 1))
-    inside = F.when(fenced != "", fenced).otherwise(whole)
-    options = [whole, fenced, F.regexp_extract(inside, r"(?s)(\{.*\})", 1), F.regexp_extract(inside, r"(?s)(\[.*\])", 1)]
-    sound = [F.when((x != "") & is_json(x), x) for x in options]
+    parts = F.split(whole, "```", 3)  # before a fence, in it, behind it
+    inner = F.when(F.size(parts) == 3, F.get(parts, F.lit(1)))
+    fenced = strip(F.when(inner.startswith("json"), F.substring(inner, 5, 1 << 30)).otherwise(inner))
+    inside = F.coalesce(F.nullif(fenced, F.lit("")), whole)
+
+    def between(first: str, last: str) -> Column:
+        a, z = F.instr(inside, first), F.length(inside) - F.instr(F.reverse(inside), last) + 1
+        return F.when((a > 0) & F.contains(inside, F.lit(last)) & (z > a), F.substring(inside, a, z - a + 1))
+
+    sound = [F.when((x != "") & is_json(x), x) for x in (whole, fenced, between("{", "}"), between("[", "]"))]
     return F.coalesce(*sound, text)
 
 

@@ -34,9 +34,14 @@ def offline_done(log):
 
 @query(
     "cache_load_report",
-    "+ x AS (SELECT pos, json_valid(line) AS ok, CASE WHEN json_valid(line) THEN json_extract_string(line, '$.v') END AS v, CASE WHEN json_valid(line) THEN json_extract_string(line, '$.item_id') END AS item FROM lines) SELECT count(*) FILTER (WHERE v = '1' AND item IS NOT NULL) AS records, count(DISTINCT CASE WHEN v = '1' THEN item END) AS items, count(*) FILTER (WHERE v IS NULL OR item IS NULL) AS malformed, count(*) FILTER (WHERE v <> '1' AND item IS NOT NULL) AS other_version, min(pos) FILTER (WHERE NOT ok) AS first_torn FROM x",
-    lines="""SELECT event_id AS pos, CASE WHEN event_id % 97 = 5 THEN concat(chr(123), '"v": "1", "item') WHEN event_id % 89 = 3 THEN '[1]'
-             ELSE concat(chr(123), '"v": "', CAST(1 + event_id % 2 AS VARCHAR(20)), '", "item_id": "', CAST(user_id AS VARCHAR(20)), '"', chr(125)) END AS line FROM {events}""",
+    """+ t AS (SELECT pos, trim(line) AS line FROM lines WHERE trim(line) <> ''),
+    f AS (SELECT pos, json_valid(line) AS ok, CASE WHEN json_valid(line) THEN line END AS line FROM t),
+    x AS (SELECT pos, json_extract_string(line, '$.item_id') AS item, CASE WHEN NOT ok THEN 'torn' WHEN json_type(line) <> 'OBJECT' THEN 'malformed' WHEN coalesce(json_extract_string(line, '$.v'), '') <> '1' THEN 'other'
+        WHEN coalesce(json_extract_string(line, '$.item_id'), '') = '' OR coalesce(json_extract_string(line, '$.model'), '') = '' OR coalesce(json_type(json_extract(line, '$.result')), '') <> 'OBJECT' THEN 'malformed' ELSE 'record' END AS kind FROM f)
+    SELECT count(*) FILTER (WHERE kind = 'record') AS records, count(DISTINCT CASE WHEN kind = 'record' THEN item END) AS items, count(*) FILTER (WHERE kind IN ('torn', 'malformed')) AS malformed,
+        count(*) FILTER (WHERE kind = 'other') AS other_version, min(pos) FILTER (WHERE kind = 'torn') AS first_torn FROM x""",
+    lines="""SELECT event_id AS pos, CASE WHEN event_id % 97 = 5 THEN concat(chr(123), '"v": "1", "item') WHEN event_id % 89 = 3 THEN '[1]' WHEN event_id % 83 = 7 THEN '  ' WHEN event_id % 79 = 4 THEN concat(chr(123), '"item_id": "x"', chr(125))
+             ELSE concat(chr(123), '"v": "', CAST(1 + event_id % 2 AS VARCHAR(20)), '", "item_id": "', CASE WHEN event_id % 73 = 2 THEN '' ELSE CAST(user_id AS VARCHAR(20)) END, '"', CASE WHEN event_id % 71 = 1 THEN '' ELSE ', "model": "m"' END, ', "result": ', CASE WHEN event_id % 67 = 9 THEN '[]' ELSE concat(chr(123), '"a": 1', chr(125)) END, chr(125), CASE WHEN event_id % 61 = 8 THEN concat(' ', chr(125)) WHEN event_id % 59 = 8 THEN ' rest' ELSE ' ' END) END AS line FROM {events}""",
 )
 def load_report(lines):
     return N.load_report(lines, "1")

@@ -12,8 +12,10 @@ ORACLES: dict[str, str] = {}
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Runs SQL in which {table} stands for a table of the folder."""
+    """Runs SQL in which {table} stands for a table of the folder; other braces of the SQL must be written chr(123) and chr(125)."""
     names = set(re.findall(r"\{(\w+)\}", sql))
+    if unknown := [n for n in names if not re.fullmatch("[a-z_]+", n)]:
+        raise ValueError(f"not names of tables: {unknown}")
     return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
 
 

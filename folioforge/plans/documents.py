@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import markup as M
 from ..functions import text as X
 from ..operators import documents as D
 from .base import query
@@ -30,7 +31,9 @@ def loop_detect(docs):
 
 @query(
     "md_whitespace",
-    r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(160), ' '), '(?m)[ \t]+$', '', 'g'), '(\n[\t ]*){3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS text FROM docs",
+    r"""+ l AS (SELECT doc_id, text IS NULL AS no_text, list_transform(string_split_regex(text, '\r\n|\r|\n'), lambda x: rtrim(replace(x, chr(160), ' '), ' ' || chr(9))) AS l FROM docs),
+    m AS (SELECT doc_id, no_text, l, list_transform(l, lambda x, i: CASE WHEN i > 2 AND l[i - 1] = '' AND l[i - 2] = '' THEN ltrim(x, ' ' || chr(9)) ELSE x END) AS m FROM l)
+    SELECT doc_id, CASE WHEN NOT no_text THEN regexp_replace(array_to_string(list_filter(m, lambda x, i: x <> '' OR i = 1 OR l[i - 1] <> ''), chr(10)), '^\s+|\s+$', '', 'g') END AS text FROM m""",
     docs="SELECT doc_id, concat(replace(replace(text, chr(10), concat(' ', chr(13), chr(10), chr(10), '  ', chr(10), chr(10))), ', ', concat(',', chr(160), ' ')), '  ', chr(10)) AS text FROM {documents}",
 )
 def md_whitespace(docs):
@@ -53,10 +56,10 @@ def redact_kv(logs):
 
 @query(
     "strip_markup_lines",
-    docs="SELECT doc_id, concat('# Title ', lang, chr(10), '---', chr(10), '> ', replace(replace(text, ' the ', ' **the** '), ' of ', ' [of](http://x.y/z) '), chr(10), '```', chr(10), '| `code` | __b__ |', chr(10), '|---|:-:|', chr(10), '![pic](a.png) $x^{2}$ <https://a.b/c>') AS text FROM {documents}",
+    docs="SELECT doc_id, concat('# Title ', lang, chr(10), '---', chr(10), '> ', replace(replace(text, ' the ', ' **the** '), ' of ', ' [of](http://x.y/z) '), chr(10), '```', chr(10), '| `code` | __b__ |', chr(10), '|---|:-:|', chr(10), '![pic](a.png) $x^', chr(123), '2', chr(125), '$ <https://a.b/c>') AS text FROM {documents}",
 )
 def strip_markup(docs):
-    return docs.select("doc_id", X.strip_line_markup(F.col("text")).alias("text"))
+    return docs.select("doc_id", M.strip_line_markup(F.col("text")).alias("text"))
 
 
 _PART = ", ".join(f"'{p.replace(chr(39), chr(39) * 2)}'" for p in X.PARTICLES)

@@ -1,15 +1,22 @@
 """Hand-computed cases of the engine's own operators."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from folioforge.functions import markup as M
+from folioforge.functions import secrets as S
 from folioforge.functions import text as X
 from folioforge.functions import values as V
 from folioforge.operators import agreement as A
 from folioforge.operators import annotate as N
 from folioforge.operators import documents as D
 from folioforge.operators import reconcile as R
+from folioforge.operators import runtime as T
 from folioforge.operators import upsert as U
+from folioforge.plans.base import derive
 
 
 def one(spark, column, **values):
@@ -129,6 +136,57 @@ def test_redaction(spark):
     assert one(spark, X.redact(F.col("a")), a="u?api_key=abc&page=19 token = kept Authorization: x sk-abcdefghijklmnopqrs") == "u?api_key=<redacted>&page=19 token = kept Authorization: <redacted> <redacted>"
 
 
+@pytest.mark.parametrize("size", [12, 40, 200])
+def test_scrub_against_all_pieces(spark, size):
+    """Every piece of at least 12 characters, the longest first, by one search each."""
+    rng = random.Random(size)
+    secret = "".join(rng.choice("abAB12-_+" if size < 200 else "ab1") for _ in range(size))
+
+    def brute(text):
+        for n in range(size, 11, -1):
+            for a in range(size - n + 1):
+                text = re.sub(r"\s*".join(map(re.escape, secret[a : a + n])), "<redacted>", text)
+        return text
+
+    texts = [secret, f"k={secret}!", secret[:11], secret[1:] + secret, secret[: size - 3] + "\n   " + secret[size - 3 :], "".join(c + " " for c in secret), "", "no secret here"]
+    for _ in range(12):
+        cut = sorted(rng.sample(range(size + 1), 2))
+        texts.append("x" + secret[cut[0] : cut[1]] + rng.choice(["", " ", "y"]) + secret[rng.randrange(size) :])
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    got = {r["i"]: r["x"] for r in rows.select("i", S.scrub(F.col("t"), [secret, "short", None]).alias("x")).collect()}
+    assert got == {**{i: brute(t) for i, t in enumerate(texts)}, len(texts): None}
+
+
+def test_scrub_refuses_white_space():
+    with pytest.raises(ValueError):
+        S.scrub(F.lit("x"), ["a secret of words"])
+
+
+def test_load_report_reads_whole_lines(spark):
+    sound = '{"v": "1", "item_id": "%s", "model": "m", "result": {}}'
+    lines = [sound % "a", sound % "a", sound % "b" + " }", sound % "c" + "garbage", sound % "d" + ", " + sound % "e", '{"v": "1", "item', "", " \t", "[1]", "7", '{"v": "2"}', '{"item_id": "x"}', sound % "", '{"v": "1", "item_id": "f", "result": {}}', '{"v": "1", "item_id": "f", "model": "m", "result": []}', '{"v": "1", "item_id": "f", "model": null, "result": {}}', sound % "g \u241e", '1,"\u241e"],[2', "  " + sound % 5]
+    report = N.load_report(spark.createDataFrame(list(enumerate(lines)), "pos long, line string"), "1").first()
+    assert tuple(report) == (4, 3, 11, 2, 2)
+    assert tuple(N.load_report(spark.createDataFrame([], "pos long, line string"), "1").first()) == (0, 0, 0, 0, None)
+
+
+def test_a_spent_quota_is_terminal():
+    calls = []
+
+    def call():
+        calls.append(1)
+        raise N.QuotaStop("spent")
+
+    with pytest.raises(T.Terminal):
+        T.retried(call, sleep=lambda s: None)()
+    assert len(calls) == 1
+
+
+def test_unknown_braces_raise(spark):
+    with pytest.raises(ValueError):
+        derive(spark, "/root/testdata/sf0.001", "SELECT '$x^{2}$' AS t FROM {region}")
+
+
 def test_loops(spark):
     docs = spark.createDataFrame([(1, "la la " * 300), (2, " ".join(f"w{i}" for i in range(60))), (3, "short text")], "doc_id long, text string")
     out = D.most_repeated(docs)
@@ -136,9 +194,9 @@ def test_loops(spark):
     assert got == {1: "looping-589x", 2: None, 3: None}
 
 
-@pytest.mark.parametrize("md, text", [("![alt](a.png) __b__ **c** `d` [e](f) <https://g.h>", " b c d e https://g.h".strip()), ("# T\n---\n> q\n```x\ncode\n```", "T\nq\ncode"), ("| a | b |\n|---|:-:|\n|c|d|", "a\tb\nc\td"), ("x$^{7}$ $_{2}$ $5 \\\\mathrm{e}_n$ $9", "x⁷ ₂ 5 en $9"), ("*it* a*b*c * no *", "it a*b*c * no *"), ("a  \n\n\n\n b", "a\n\n b"), (None, "")])
+@pytest.mark.parametrize("md, text", [("![alt](a.png) __b__ **c** `d` [e](f) <https://g.h>", " b c d e https://g.h".strip()), ("# T\n---\n> q\n```x\ncode\n```", "T\nq\ncode"), ("| a | b |\n|---|:-:|\n|c|d|", "a\tb\nc\td"), ("x$^{7}$ $_{2}$ $5 \\\\mathrm{e}_n$ $9", "x⁷ ₂ 5 en $9"), ("*it* a*b*c * no *", "it a*b*c * no *"), ("a  \n\n\n\n b", "a\n\n b"), (None, ""), ("[a](b", "[a](b"), ("[x [y](z) *a* **b", "x [y a **b"), ("**a *b* c** __d\ne__", "a b c __d\ne__"), ("`` `x` <ftp://a> <http://a b>", "` x` <ftp://a> <http://a b>"), ("####### no\n   ## yes\n    # no", "####### no\nyes\n    # no"), ("|-|\n-\n:-:\n| a |\n||\n|", "a\n\n|"), ("![a][b](c)![d](e", "![a]b![d](e"), ("$a_b\n_c$ $x^{a1}_{2}$", "$a_b\n_c$ xa¹₂")])
 def test_markdown(spark, md, text):
-    assert spark.createDataFrame([(md.replace("\\\\", "\\") if md else md,)], "t string").select(X.strip_line_markup(F.col("t"))).first()[0] == text
+    assert spark.createDataFrame([(md.replace("\\\\", "\\") if md else md,)], "t string").select(M.strip_line_markup(F.col("t"))).first()[0] == text
 
 
 def test_numbering_over_ranges(spark):
@@ -156,6 +214,6 @@ def test_loops_stay_in_their_row(spark):
 
 
 def test_scrub_and_entities(spark):
-    assert one(spark, X.scrub(F.col("a"), ["wP9Yabcdefgh12345", "short"]), a="k=wP9Y\n  abcdefgh12345 then abcdefgh1234 and short") == "k=<redacted> then <redacted> and short"
+    assert one(spark, S.scrub(F.col("a"), ["wP9Yabcdefgh12345", "short"]), a="k=wP9Y\n  abcdefgh12345 then abcdefgh1234 and short") == "k=<redacted> then <redacted> and short"
     names = spark.createDataFrame([(1, 0, "Abc"), (1, 1, "abC"), (1, 2, ""), (1, 3, "")], "k long, pos long, n string")
     assert sorted((r["n"], r["pos"]) for r in D.first_entities(names, "k", "pos", "n").collect()) == [("", 2), ("Abc", 0)]

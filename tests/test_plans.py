@@ -26,3 +26,10 @@ def test_same_rows(spark, duck, name):
     order = [columns.index(c) for c in sorted(columns)]
     assert sorted(columns) == sorted(df.columns)
     assert sorted(got) == sorted(tuple(str(r[i]) for i in order) for r in result.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_queries_without_a_twin_run(spark, name):
+    df = QUERIES[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    assert len(df.columns) == len(set(df.columns))
