@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ACCENTED, CURLY, PLAIN, STRAIGHT
 from ..operators import reconcile as R
+from ..operators.setjoin import similar_sets, word_set
 from .base import query
 
 NAMES = """
@@ -74,10 +75,30 @@ def title_fold(titles):
     return titles.select("doc_id", compact_key(F.col("title")).alias("compact"), strip_accents(F.lower("title")).alias("plain"))
 
 
-@query(
-    "fuzzy_candidates",
-    vals="SELECT DISTINCT concat(p_type, ' de ', p_name) AS value FROM {part} UNION SELECT DISTINCT concat(p_name, ' ', p_brand) FROM {part}",
-    names="SELECT concat('p', CAST(min(p_partkey) AS STRING)) AS id, concat(p_type, ' ', p_name) AS name, 0 AS variant FROM {part} GROUP BY 2 UNION ALL SELECT concat('b', CAST(min(p_partkey) AS STRING)), concat(p_brand, ' ', p_name), 1 FROM {part} GROUP BY 2",
-)
+VALUES = "SELECT DISTINCT concat(p_type, ' de ', p_name) AS value FROM {part} UNION SELECT DISTINCT concat(p_name, ' ', p_brand) FROM {part}"
+FUZZY_NAMES = "SELECT concat('p', CAST(min(p_partkey) AS VARCHAR(20))) AS id, concat(p_type, ' ', p_name) AS name, 0 AS variant, min(p_partkey) AS place FROM {part} GROUP BY 2 UNION ALL SELECT concat('b', CAST(min(p_partkey) AS VARCHAR(20))), concat(p_brand, ' ', p_name), 1, min(p_partkey) FROM {part} GROUP BY 2"
+
+
+@query("fuzzy_candidates", vals=VALUES, names=FUZZY_NAMES)
 def fuzzy(vals, names):
     return R.fuzzy_candidates(vals, names)
+
+
+# sets of the first words of texts, of 1 to about 24 words, so that both kinds of prefix are used
+WORD_SETS = "SELECT doc_id, lower(text) AS t FROM {documents} WHERE text IS NOT NULL"
+
+
+@query(
+    "similar_word_sets",
+    r"""+ w AS (SELECT DISTINCT list_sort(list_distinct(regexp_extract_all(line, '[a-z]+'))) AS words FROM (SELECT unnest(string_split(t, '.')) AS line FROM texts)),
+    s AS (SELECT row_number() OVER () AS i, words, len(words) AS n FROM w WHERE len(words) BETWEEN 1 AND 24),
+    e AS (SELECT i, n, unnest(words) AS word FROM s),
+    p AS (SELECT a.i AS i, b.i AS j, a.n AS n, b.n AS m, count(*) AS shared FROM e a JOIN e b ON a.word = b.word AND a.n * 10 >= b.n * 7 AND b.n * 10 >= a.n * 7 GROUP BY ALL)
+    SELECT array_to_string(x.words, ' ') AS left_words, array_to_string(y.words, ' ') AS right_words, CAST(p.shared AS INTEGER) AS shared, CAST(p.n + p.m - p.shared AS INTEGER) AS "both"
+    FROM p JOIN s x ON x.i = p.i JOIN s y ON y.i = p.j WHERE p.shared * 10 >= 7 * (p.n + p.m - p.shared)""",
+    texts=WORD_SETS,
+)
+def similar_word_sets(texts):
+    words = texts.select(F.explode(F.split("t", "[.]", -1)).alias("line")).select(word_set(F.regexp_extract_all("line", F.lit("[a-z]+"), F.lit(0))).alias("words")).filter(F.size("words").between(1, 24))
+    near = similar_sets(words, words.select("words"), 0.7)
+    return near.select(F.array_join("left_words", " ").alias("left_words"), F.array_join("right_words", " ").alias("right_words"), "shared", "both")
