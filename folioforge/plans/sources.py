@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks as K
 from ..functions import text as X
+from ..operators import contents as N
 from ..operators import documents as D
 from ..operators import language as L
 from ..operators import runtime as U
+from ..operators import sampling as M
 from ..operators import transcripts as T
 from ..operators import upsert as P
 from ..session import scratch
 from ..sources import catalogue as C
 from ..sources import files as S
+from ..sources.listing import read_listing, record_pages
 from .base import ORACLES, QUERIES, derive, query
 
 # links in every form that is taken and some that are not
@@ -215,10 +220,73 @@ def text_round_trip(spark, path, rows):
     return read.select("id", F.col("header")["Title"].alias("title"), "body")
 
 
-@round_trip("page_round_trip", "SELECT CAST(s_suppkey AS BIGINT) AS block, p.tok, CASE p.tok WHEN 0 THEN s_name ELSE 'k' || CAST(s_nationkey AS VARCHAR) END AS content, CASE p.tok WHEN 0 THEN CAST(s_suppkey AS DOUBLE) END AS hpos FROM supplier, (SELECT unnest([0, 1]) AS tok) p", rows="SELECT s_suppkey, s_name, s_nationkey FROM {supplier}")
+@round_trip(
+    "page_round_trip",
+    "SELECT s_suppkey % 8 AS page, CAST((dense_rank() OVER (PARTITION BY s_suppkey % 8 ORDER BY s_suppkey) - 1) AS INTEGER) AS block, l.line, p.tok, CASE p.tok WHEN 0 THEN s_name ELSE 'k' || CAST(s_nationkey + l.line AS VARCHAR) END AS content, CASE p.tok WHEN 0 THEN CAST(s_suppkey AS DOUBLE) END AS hpos FROM supplier, (SELECT unnest([0, 1]) AS tok) p, (SELECT unnest([0, 1]) AS line) l",
+    rows="SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey FROM {supplier}",
+)
 def page_round_trip(spark, path, rows):
-    xml = F.format_string('<alto><TextBlock><TextLine><String CONTENT="%s" HPOS="%d"/><String CONTENT="k%d" HPOS="none"/></TextLine></TextBlock></alto>', "s_name", F.col("s_suppkey").cast("long"), F.col("s_nationkey").cast("long"))
-    K.write_parts(rows.select((F.col("s_suppkey") % 8).alias("page"), xml.alias("text")).groupBy("page").agg(F.concat(F.lit("<pages>"), F.array_join(F.collect_list("text"), "\n"), F.lit("</pages>")).alias("text")), path, ["page"])
+    line = '<TextLine><String CONTENT="%s" HPOS="%d"/><String CONTENT="k%d" HPOS="none"/></TextLine>'
+    xml = F.format_string(f"<PrintSpace><TextBlock>{line}{line}</TextBlock></PrintSpace>", "s_name", "s_suppkey", "s_nationkey", "s_name", "s_suppkey", F.col("s_nationkey") + 1)
+    blocks = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", xml.alias("x")))), lambda b: b["x"]), "\n")
+    K.write_parts(rows.groupBy((F.col("s_suppkey") % 8).alias("page")).agg(F.concat(F.lit('<alto xmlns="http://a/b">'), blocks, F.lit("</alto>")).alias("text")), path, ["page"])
     read = S.page_tokens(spark, path)
-    number = F.max("hpos").over(Window.partitionBy("path", "block", "line")).cast("long")
-    return read.select(number.alias("block"), "tok", "content", "hpos")
+    return read.select(F.regexp_extract("path", "page=([0-9]+)/", 1).cast("long").alias("page"), "block", "line", "tok", "content", "hpos")
+
+
+def _listing(spark: SparkSession, path: str, items: DataFrame) -> DataFrame:
+    record_pages(items, path, 50)
+    return read_listing(spark, path, 50)
+
+
+LISTED = f"SELECT item_id % 4 AS set_id, item_id, raw FROM ({RECORDS}) r"
+
+
+@round_trip("listed_items", "SELECT * FROM (SELECT o_orderkey % 4 AS set_id, CAST((row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) - 1) // 50 + 1 AS INTEGER) AS page, CAST((row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) - 1) % 50 AS INTEGER) AS pos, o_orderkey AS item_id, 2 AS classes FROM orders) WHERE set_id IN (1, 3) AND item_id % 3 <> 0", items=LISTED)
+def listed_items(spark, path, items):
+    listed = _listing(spark, path, items).filter(F.col("set_id").isin(1, 3))
+    return C.of_class(C.with_facets(listed), "bibo:Article").select("set_id", "page", "pos", "item_id", F.size("classes").alias("classes"))
+
+
+@round_trip("listed_pages", "SELECT o_orderkey AS item_id FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) AS n FROM orders) WHERE o_orderkey % 4 = 2 AND n BETWEEN 51 AND 150", items=LISTED)
+def listed_pages(spark, path, items):
+    return _listing(spark, path, items).filter("set_id = 2 and page in (2, 3)").select("item_id")
+
+
+_ARTICLE = "named_struct('titre', concat(role, ' ', CAST(turn AS STRING)), 'auteurs', CASE WHEN turn % 2 = 1 THEN array(role, 'x') ELSE array() END, 'pages', CAST(turn AS STRING), 'resume', text)"
+
+
+@round_trip(
+    "index_rollup",
+    """SELECT conv_id AS doc_id, CAST(count(*) AS INTEGER) AS articles,
+    string_agg('p. ' || CAST(turn AS VARCHAR) || ' : ' || role || ' ' || CAST(turn AS VARCHAR) || CASE WHEN turn % 2 = 1 THEN ' (' || role || ', x)' ELSE '' END || chr(10) || text, chr(10) || chr(10) ORDER BY turn) AS contents,
+    '# Index des articles du magazine' || chr(10) || chr(10) || string_agg(chr(10) || '## ' || role || ' ' || CAST(turn AS VARCHAR) || chr(10) || CASE WHEN turn % 2 = 1 THEN '- Auteur(s) : ' || role || ', x' || chr(10) ELSE '' END || '- Pages : ' || CAST(turn AS VARCHAR) || chr(10) || '- Résumé :' || chr(10) || '  ' || text, chr(10) ORDER BY turn) AS markdown
+    FROM conversations GROUP BY 1""",
+    pages=f"SELECT conv_id AS doc_id, turn AS page, array({_ARTICLE}) AS articles FROM {{conversations}}",
+)
+def index_rollup(spark, path, pages):
+    N.write_indexes(N.rolled_up(pages), path)
+    read = N.read_indexes(spark, path)
+    return read.select("doc_id", F.size("articles").alias("articles"), N.contents(F.col("articles")).alias("contents"), "markdown")
+
+
+@query(
+    "produced_limit",
+    """SELECT n.n, count(*) AS seen, count(*) FILTER (WHERE ok) AS produced, max(doc_id) AS last FROM (SELECT unnest([1, 7, 400, 100000]) AS n) n,
+    (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (ORDER BY doc_id) AS c FROM docs) d WHERE c < n.n OR (c = n.n AND ok) GROUP BY 1""",
+    docs="SELECT doc_id, n_chars > 500 AND lang IN ('fr', 'en') AS ok FROM {documents}",
+)
+def produced_limit(docs: DataFrame) -> DataFrame:
+    one = lambda n: M.until_produced(docs, "doc_id", F.col("ok"), n).agg(F.lit(n).alias("n"), F.count(F.lit(1)).alias("seen"), F.count_if("ok").alias("produced"), F.max("doc_id").alias("last"))
+    return reduce(DataFrame.unionAll, map(one, (1, 7, 400, 100_000)))
+
+
+@query(
+    "two_stage_sample",
+    """+ p AS (SELECT page FROM (SELECT DISTINCT page FROM docs) ORDER BY sha256('42:' || page), page LIMIT 8),
+    i AS (SELECT * FROM docs SEMI JOIN p USING (page) QUALIFY row_number() OVER (PARTITION BY page ORDER BY sha256('42:' || page || ':' || doc_id), doc_id) <= 6)
+    SELECT doc_id, page FROM i ORDER BY sha256('42:' || doc_id), doc_id LIMIT 40""",
+    docs="SELECT doc_id, CAST(floor(doc_id / 10) AS BIGINT) AS page FROM {documents}",
+)
+def two_stage_sample(docs: DataFrame) -> DataFrame:
+    return M.page_sample(docs, "page", "doc_id", 8, 6, 40, 42).select("doc_id", "page")

@@ -1,8 +1,7 @@
-"""Sinks: validity-gated appends, reports, pre-images, part files, keyed merges, transcripts, corrected pages."""
+"""Sinks: validity-gated appends, reports, pre-images, part files, keyed merges, transcripts, corrected pages. Tables replaced whole are in ``commit``."""
 
 from __future__ import annotations
 
-import uuid
 import xml.etree.ElementTree as ET
 
 import pyarrow as pa
@@ -25,23 +24,6 @@ def append_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").csv(path, header=True, quote='"', escape='"')
 
 
-def replace_whole(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replaces path in one step: readers see the old rows or the new ones, and a failed write leaves the old ones. rows may come from path."""
-    spark = rows.sparkSession
-    fresh, old = f"{path}.{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    rows.write.format(fmt).save(fresh)
-    jvm = spark.sparkContext._jvm
-    name = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = name(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(name(path)) and not fs.rename(name(path), name(old)):
-        raise OSError(f"cannot move {path}")
-    if not fs.rename(name(fresh), name(path)):
-        fs.rename(name(old), name(path))
-        raise OSError(f"cannot move {fresh}")
-    if fs.exists(name(old)):
-        fs.delete(name(old), True)
-
-
 def change_set(updates: DataFrame) -> DataFrame:
     """updates (item_id, before, after, status): the records to send, one per changed item."""
     return updates.filter(F.col("status").isin("updated", "would_update")).select("item_id", F.col("after").alias("record"))

@@ -6,8 +6,12 @@ Spark reaches, and files are split over tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import xml.etree.ElementTree as ET
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import is_json, strip
 
@@ -74,17 +78,33 @@ def index_files(spark: SparkSession, path: str, pattern: str = r"index.*\.json$"
     return files.groupBy(F.col("folder").cast("long").alias("id")).agg(F.min_by(F.struct("file", "text"), "file").alias("x")).select("id", "x.*")
 
 
-ALTO = "TextLine array<struct<String array<struct<_CONTENT string, _HPOS string, _VPOS string, _WIDTH string, _HEIGHT string>>>>"
+_TOKEN = T.StructType([T.StructField(c, T.IntegerType()) for c in ("block", "line", "tok")] + [T.StructField(c, T.StringType()) for c in ("content", "hpos", "vpos", "width", "height")])
+
+
+@F.arrow_udf(returnType=T.ArrayType(_TOKEN))
+def _alto(pages: pa.Array) -> pa.Array:
+    out = []
+    for xml in pages.to_pylist():
+        parts = lambda node, name: (x for x in node.iter() if isinstance(x.tag, str) and x.tag.rpartition("}")[2] == name)
+        try:
+            root = ET.fromstring(xml or "<none/>")
+        except ET.ParseError:
+            out.append(None)
+            continue
+        out.append([{"block": b, "line": i, "tok": k, **{c: word.get(c.upper()) for c in ("content", "hpos", "vpos", "width", "height")}} for b, block in enumerate(parts(root, "TextBlock")) for i, line in enumerate(parts(block, "TextLine")) for k, word in enumerate(parts(line, "String"))])
+    return pa.array(out, pa.list_(pa.struct([*((c, pa.int32()) for c in ("block", "line", "tok")), *((c, pa.string()) for c in ("content", "hpos", "vpos", "width", "height"))])))
 
 
 def page_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Tokens of ALTO pages by place: path, file, block, line, tok (from 0), content, hpos, vpos, width, height; a coordinate that is no number is null."""
-    blocks = spark.read.format("xml").schema(ALTO).option("rowTag", "TextBlock").option("ignoreNamespace", "true").load(path)
-    blocks = blocks.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("_i"), "TextLine")
-    block = F.row_number().over(Window.partitionBy("path").orderBy("_i")) - 1
-    lines = blocks.withColumn("block", block).select("path", "file", "block", F.posexplode("TextLine").alias("line", "_l"))
-    number = lambda c: F.col(f"_t._{c.upper()}").try_cast("double").alias(c)
-    return lines.select("path", "file", "block", "line", F.posexplode("_l.String").alias("tok", "_t")).select("path", "file", "block", "line", "tok", F.col("_t._CONTENT").alias("content"), *map(number, ("hpos", "vpos", "width", "height")))
+    """Tokens of ALTO pages by place: path, file, block, line, tok (from 0), content, hpos, vpos, width, height; a coordinate that is no number is null.
+
+    A file is parsed whole, in any namespace, so a block's place is its place in
+    the file, however files are split; a file that is no XML has no tokens.
+    """
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=False)
+    tokens = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.explode(_alto("value")).alias("_t"))
+    number = lambda c: F.col(f"_t.{c}").try_cast("double").alias(c)
+    return tokens.select("path", "file", "_t.block", "_t.line", "_t.tok", "_t.content", *map(number, ("hpos", "vpos", "width", "height")))
 
 
 def transcripts(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge import sinks as K
 from folioforge import streaming as S
+from folioforge.sinks.commit import commit, current
 from folioforge.sources import catalogue as C
 from folioforge.sources import files as S_
 from folioforge.operators import annotate as N
@@ -107,9 +108,9 @@ def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a"), (2, None)], "id int, x string")
     assert [r["id"] for r in K.append_valid(rows, f"{tmp_path}/j", F.col("x") != "").collect()] == [2]
     assert spark.read.json(f"{tmp_path}/j").count() == 1
-    K.replace_whole(rows, f"{tmp_path}/w")
-    K.replace_whole(spark.read.parquet(f"{tmp_path}/w").filter("id = 2"), f"{tmp_path}/w")
-    assert [r["id"] for r in spark.read.parquet(f"{tmp_path}/w").collect()] == [2] and not list(tmp_path.glob("w.*"))
+    commit(rows, f"{tmp_path}/w")
+    commit(current(spark, f"{tmp_path}/w").filter("id = 2"), f"{tmp_path}/w")
+    assert [r["id"] for r in current(spark, f"{tmp_path}/w").collect()] == [2]
     merged = K.merge_keyed(rows, spark.createDataFrame([(2, "new"), (3, "c")], "id int, x string"), ["id"])
     assert sorted(map(tuple, merged.collect())) == [(1, "a"), (2, "new"), (3, "c")]
     updates = spark.createDataFrame([(1, ["a"], ["b"], "updated"), (2, ["a"], ["a"], "unchanged")], "item_id int, before array<string>, after array<string>, status string")
