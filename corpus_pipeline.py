@@ -16,7 +16,12 @@ from folioforge.llm.common import drop_ids, read, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    Rows are judged one by one by their text alone; null, empty and blank texts
+    have the score of an empty document.  Null and repeated ids and labels, very
+    long texts, an empty table and other columns are as in ``attention_mil``.
+    """
     model = attention_mil.train(docs, read(spark, sf_dir, "labels"))
     score = attention_mil.scorer(spark, model)
     return docs.withColumn("_ff_score", score("text")).filter(F.col("_ff_score") >= attention_mil.THRESHOLD).select(*docs.columns)
@@ -34,21 +39,36 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
-    benchmark = read(spark, sf_dir, "benchmark")
-    for block in decontaminate.item_blocks(benchmark):
+    """Documents without any benchmark window.
+
+    Rows are judged one by one: null and empty texts stay, repeated rows and
+    ids stay or go alike.  The benchmark comes in bounded blocks; each is held
+    against what the blocks before it left, which is stored in between, so a
+    worker holds one block, however large the benchmark.
+    """
+    blocks = decontaminate.item_blocks(read(spark, sf_dir, "benchmark"))
+    block = next(blocks)
+    while True:
         found = decontaminate.hits_of(spark, block)
-        docs = docs.withColumn("_ff_hits", found("text")).filter(F.size("_ff_hits.items") == 0).select(*docs.columns)
-    return docs
+        left = docs.withColumn("_ff_hits", found("text")).filter(F.size("_ff_hits.items") == 0).select(*docs.columns)
+        block = next(blocks, None)
+        if block is None:
+            return left
+        docs = stored(left, "clean")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents at the rates that meet the domains' target weights, each once at most."""
+    """Documents at the rates that meet the domains' target weights, each once at most.
+
+    Whether a row stays depends on its features and its id, so rows repeating
+    an id and a text stay or go together; null ids share one draw, null texts
+    count as empty.  An empty table stays empty.
+    """
     return soft_mixing.mixed(docs, soft_mixing.domain_labels(read(spark, sf_dir, "labels")), max_rate=1.0)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token store's read-back: doc_id, start, n_tokens, ids_crc32."""
+    """The token store's read-back: doc_id, start, n_tokens, ids_crc32; null texts are empty ones, rows repeating an id are documents of their own."""
     return token_store.tokenise(docs)
 
 
