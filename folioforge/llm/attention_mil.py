@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, read
+from .common import give_back, read, stored
 from .wordhash import SPACED, mix, portions, utf8, word_hashes
 
 PASSAGE = 64
 THRESHOLD = 0.3
 TRAIN_ROWS = 6000  # the labelled sample's bound
-TRAIN_PASSAGES = 256  # of a labelled text in training, spread evenly over all of it; scoring reads every passage
+TRAIN_PASSAGES = 1_000_000  # the same sample's bound by passages, of all rows together: rows beyond it are left out, texts are never cut
 HIDDEN = 24
 BINS = 128
 WIDTH = BINS + 6
@@ -119,8 +119,10 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 40, batch: int = 25
     Without bags, or with one class only, the model scores the prior alone.
     """
     rng = np.random.default_rng(seed)
-    every = np.concatenate(bags).astype(np.float64) if bags else np.zeros((1, WIDTH))
-    model = Model(every.mean(0), every.std(0) + 0.02)
+    each = lambda: (np.concatenate(bags[i : i + batch]).astype(np.float64) for i in range(0, len(bags), batch))
+    count = max(1, sum(map(len, bags)))
+    mean = sum((x.sum(0) for x in each()), np.zeros(WIDTH)) / count
+    model = Model(mean, np.sqrt(sum((((x - mean) ** 2).sum(0) for x in each()), np.zeros(WIDTH)) / count) + 0.02)
     p = {"w": rng.normal(0, WIDTH**-0.5, (WIDTH, HIDDEN)), "b": np.zeros(HIDDEN), "v": rng.normal(0, 0.2, (HIDDEN, HIDDEN)), "u": rng.normal(0, 0.2, (HIDDEN, HIDDEN)), "a": np.zeros(HIDDEN), "c": np.zeros(HIDDEN), "c0": np.zeros(())}
     prior = (y.sum() + 1) / (len(y) + 2)
     p["c0"] = np.array(np.log(prior / (1 - prior)))
@@ -145,21 +147,15 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 40, batch: int = 25
     return model
 
 
-def _bags(most: int):
-    """A column function text -> encoded passages, at most ``most`` from even places."""
-
-    @F.arrow_udf(returnType=T.BinaryType())
-    def bag(text: pa.Array) -> pa.Array:
-        raw, offsets = utf8(text)
-        out = []
-        for s, e in portions(offsets):
-            x, start = encode(raw[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
-            for a, z in zip(start[:-1].tolist(), start[1:].tolist(), strict=True):
-                rows = x[a:z] if z - a <= most else x[a + np.arange(most) * (z - a) // most]
-                out.append(rows.astype(np.float16).tobytes())
-        return pa.array(out, pa.binary())
-
-    return bag
+@F.arrow_udf(returnType=T.BinaryType())
+def encoded(text: pa.Array) -> pa.Array:
+    """Every passage of a text, as halves."""
+    raw, offsets = utf8(text)
+    out = []
+    for s, e in portions(offsets):
+        x, start = encode(raw[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
+        out += [x[a:z].astype(np.float16).tobytes() for a, z in zip(start[:-1].tolist(), start[1:].tolist(), strict=True)]
+    return pa.array(out, pa.binary())
 
 
 def held_out(doc_id):
@@ -170,15 +166,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     """Fits on at most ``rows`` labelled documents outside the held-out fifth, picked by a hash of their ids.
 
     Of conflicting labels the smallest counts, of several texts of one id the
-    one with the smallest encoding; null labels and ids are left out.  A text
-    of more than ``passages`` passages trains with that many of them, so the
-    driver holds 70 kB a row at most.
+    one with the smallest encoding; null labels and ids are left out.  Texts
+    train with all their passages; rows are taken in the order of the hash as
+    long as they have at most ``passages`` together, so the driver holds 270 MB
+    of halves, and one batch of doubles.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("_y")).filter(F.col("_id").isNotNull() & F.col("_y").isNotNull() & ~held_out(F.col("_id")))
     known = known.groupBy("_id").agg(F.min("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
-    sample = texts.join(F.broadcast(known), "_id").select("_id", "_y", _bags(passages)("_text").alias("bag"))
-    got = sample.groupBy("_id").agg(F.min("bag").alias("bag"), F.min("_y").alias("_y")).toArrow().sort_by("_id")
+    sample = texts.join(F.broadcast(known), "_id").select("_id", "_y", encoded("_text").alias("bag"))
+    sample = stored(sample.groupBy("_id").agg(F.min("bag").alias("bag"), F.min("_y").alias("_y")), "labelled-bags")
+    sizes = sample.select("_id", F.xxhash64("_id").alias("h"), (F.length("bag") / (2 * WIDTH)).cast("long").alias("n")).toArrow().sort_by([("h", "ascending"), ("_id", "ascending")])
+    fits = int(np.searchsorted(np.cumsum(sizes["n"].to_numpy()), passages, side="right"))
+    if fits < len(sizes):
+        sample = sample.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in sizes["_id"].to_pylist()[:fits]], sample.select("_id").schema)), "_id")
+    got = sample.toArrow().sort_by("_id")
     bags = [np.frombuffer(b, np.float16).reshape(-1, WIDTH) for b in got["bag"].to_pylist()]
     y = got["_y"].to_numpy()
     full = [i for i, b in enumerate(bags) if len(b)]

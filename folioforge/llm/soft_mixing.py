@@ -154,15 +154,18 @@ def _rated(rows: DataFrame, profiles: DataFrame, model: Domains, targets: Mappin
     """rows of ``featured`` with posteriors, rates and copies; profiles: tokens per combination of bins."""
     names, bins = model.names, [f"_ff_b_{f}" for f in model.table]
     named = [p.alias(f"p_{k}") for k, p in zip(names, posteriors(model, {f: F.col(f"_ff_b_{f}") for f in model.table}), strict=True)]
-    rates, _ = fit_rates(stored(profiles.coalesce(1).select("*", *named), "mix-profiles"), names, targets, budget, max_rate)
+    rates, reached = fit_rates(stored(profiles.coalesce(1).select("*", *named), "mix-profiles"), names, targets, budget, max_rate)
     # at most BINS ** features rows of a few numbers: 2 MB for five features
-    side = F.broadcast(stored(rates.select(*(F.col(k).alias(f"{k}_") for k in bins), *(F.col(f"p_{k}").alias(f"_ff_p_{k}") for k in names), F.col("rate").alias("_ff_rate")), "mix-rates"))
+    side = F.broadcast(stored(rates.select(*(F.col(k).alias(f"{k}_") for k in bins), *(F.col(f"p_{k}").alias(f"_ff_p_{k}") for k in names), F.col("rate").alias("_ff_rate"), *(F.lit(reached[k]).alias(f"_ff_share_{k}") for k in names)), "mix-rates"))
     out = rows.join(side, [F.col(k) == F.col(f"{k}_") for k in bins]).drop(*bins, *(f"{k}_" for k in bins))
     return out.withColumn("_ff_copies", _copies(F.col("_ff_rate"), F.col(id_col)))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, budget: float | None = None, max_rate: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of docs with _ff_tokens, _ff_p_<domain>, _ff_rate and _ff_copies.
+    """All rows and columns of docs with _ff_tokens, _ff_p_<domain>, _ff_rate, _ff_copies and _ff_share_<domain>.
+
+    The shares, the same in every row, are what the domains' expected tokens
+    come to under the fitted rates, to be held against the targets.
 
     Tokens are words of letters and digits.  A null text counts as empty and
     has no tokens, but a rate like any other.  Null ids share one draw;
@@ -195,4 +198,4 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(featured(docs, model, "doc_id", "text").drop("text"), "mix-features")
     profiles = rows.groupBy(*(f"_ff_b_{f}" for f in model.table)).agg(F.sum("_ff_tokens").alias("tokens"))
     out = _rated(rows, profiles, model, TARGETS, None, None, "doc_id")
-    return out.select("doc_id", F.col("_ff_tokens").alias("tokens"), *(F.col(f"_ff_p_{k}").alias(f"p_{k}") for k in names), F.col("_ff_rate").alias("rate"), F.col("_ff_copies").alias("copies"))
+    return out.select("doc_id", F.col("_ff_tokens").alias("tokens"), *(F.col(f"_ff_p_{k}").alias(f"p_{k}") for k in names), F.col("_ff_rate").alias("rate"), F.col("_ff_copies").alias("copies"), *(F.col(f"_ff_share_{k}").alias(f"share_{k}") for k in names))

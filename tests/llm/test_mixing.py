@@ -23,6 +23,7 @@ def test_targets_are_met_and_domains_found(spark):
     total = sum(sums[k] for k in M.TARGETS)
     for k, w in M.TARGETS.items():
         assert sums[k] / total == pytest.approx(w, abs=0.01)
+        assert out.first()[f"_ff_share_{k}"] == pytest.approx(sums[k] / total, rel=1e-6)
     assert sums["low"] >= 0
     clean = out.filter("_ff_p_clean > 0.95")
     assert clean.filter("_ff_copies = 0").count() == 0
