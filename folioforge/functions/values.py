@@ -34,3 +34,15 @@ def joined_literals(values: Column) -> Column:
 def linked_ids(values: Column) -> Column:
     """Ids of the linked entries, in order, joined by |."""
     return F.array_join(F.transform(F.filter(values, lambda v: v["id"].isNotNull()), lambda v: v["id"].cast("string")), "|")
+
+
+def shown_first(values: Column) -> Column:
+    """What the first entry that has anything shows: its display title, else its value, else its address; blank ones are passed over, else null."""
+    one = lambda v: F.coalesce(F.nullif(v["title"], F.lit("")), F.nullif(v["value"], F.lit("")), F.nullif(v["uri"], F.lit("")))
+    return F.get(F.filter(F.transform(values, one), lambda x: x.isNotNull()), F.lit(0))
+
+
+def label_of_language(values: Column) -> Column:
+    """The trimmed display title or value of the first entry that has one; null means untagged, which is no language."""
+    one = lambda v: F.nullif(F.trim(F.coalesce(F.nullif(v["title"], F.lit("")), v["value"])), F.lit(""))
+    return F.get(F.filter(F.transform(values, one), lambda x: x.isNotNull()), F.lit(0))

@@ -38,6 +38,44 @@ def append_links(existing: Column, new: Column) -> Column:
     return F.concat(have, F.array_except(F.coalesce(new, F.array().cast("array<bigint>")), have))
 
 
+def resource_ids(text: Column) -> Column:
+    """Ids of a list by |; blank parts and those that are no whole number are left out."""
+    sound = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\|", -1), lambda x: F.trim(x)), lambda x: x.rlike("^[+-]?[0-9]+$"))
+    return F.filter(F.transform(sound, lambda x: x.try_cast("long")), lambda x: x.isNotNull())
+
+
+def link_updates(updates: DataFrame, links: DataFrame, items: DataFrame, dry_run: bool, sent: DataFrame | None = None) -> DataFrame:
+    """item_id (as given), term, after, added, status for updates (item_id string, term, ids: a list by |).
+
+    links (item_id, term, links array<bigint>): what items (item_id) hold now.
+    An item's status goes by all its terms: invalid_id, not_found, unchanged,
+    would_update in a dry run, else failed where ``sent`` (item_id of records
+    that were taken) lacks it, else updated.  (item_id, term) must be unique in
+    updates and links.
+    """
+    number = F.when(F.trim("item_id").rlike("^[+-]?[0-9]+$"), F.trim("item_id").try_cast("long"))
+    asked = updates.select(F.col("item_id").alias("_given"), number.alias("item_id"), "term", resource_ids(F.col("ids")).alias("_new"))
+    known = items.select("item_id").distinct().withColumn("_there", F.lit(True))
+    out = asked.join(known, "item_id", "left").join(links.select("item_id", "term", "links"), ["item_id", "term"], "left")
+    have = F.coalesce("links", F.array().cast("array<bigint>"))
+    out = out.withColumn("after", append_links(have, F.array_distinct("_new"))).withColumn("added", (F.size("after") - F.size(have)).cast("long"))
+    of_item = out.groupBy(F.col("_given").alias("_g")).agg(F.sum("added").alias("_all"))
+    out = out.join(of_item, F.col("_given").eqNullSafe(F.col("_g")))
+    taken = F.lit(True)
+    if sent is not None:
+        out = out.join(sent.select("item_id").distinct().withColumn("_sent", F.lit(True)), "item_id", "left")
+        taken = F.coalesce("_sent", F.lit(False))
+    status = F.when(F.col("item_id").isNull(), "invalid_id").when(F.col("_there").isNull(), "not_found").when(F.col("_all") == 0, "unchanged")
+    status = status.when(F.lit(dry_run), "would_update").when(~taken, "failed").otherwise("updated")
+    return out.select(F.col("_given").alias("item_id"), "term", "after", "added", status.alias("status"))
+
+
+def links_by_term(updates: DataFrame) -> DataFrame:
+    """How many links rows of ``link_updates`` add per term; only items updated, or that would be, count."""
+    counted = F.when(F.col("status").isin("updated", "would_update"), F.col("added")).otherwise(0)
+    return updates.groupBy("term").agg(F.sum(counted).alias("added"))
+
+
 def label_ids(ratings: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """ratings (item_id, term, label) to vocabulary ids; labels without an id, and blank ones, are left out."""
     return ratings.filter(F.trim("label") != "").join(vocabulary, ["term", "label"]).select("item_id", "term", "value_id")

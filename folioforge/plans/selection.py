@@ -123,6 +123,15 @@ def quota_classify(errors):
     return errors.groupBy(X.quota_kind(F.col("code"), F.col("message")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "quota_classify_strictly",
+    "SELECT kind, count(*) AS n FROM (SELECT CASE WHEN code = 429 AND regexp_matches(lower(message), 'exceeded your current quota|quota exceeded|per_day|billing|insufficient credits') THEN 'terminal' ELSE 'transient' END AS kind FROM errors) GROUP BY 1",
+    errors="SELECT CASE CAST(event_id % 4 AS INT) WHEN 0 THEN 402 WHEN 1 THEN 429 WHEN 2 THEN NULL ELSE 429 END AS code, CASE CAST(event_id % 5 AS INT) WHEN 0 THEN 'Quota exceeded' WHEN 1 THEN 'requests_per_model_per_DAY' WHEN 2 THEN 'Rate limit exceeded' WHEN 3 THEN 'see billing' END AS message FROM {events}",
+)
+def quota_classify_strictly(errors):
+    return errors.groupBy(X.quota_kind(F.col("code"), F.col("message"), strict=True).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("status_buckets", "SELECT s.status, count(o.o_orderstatus) AS n FROM (SELECT unnest(['F', 'O', 'P', 'X']) AS status) s LEFT JOIN orders_ o ON o.o_orderstatus = s.status GROUP BY 1", orders_="SELECT o_orderstatus FROM {orders}")
 def status_buckets(orders_):
     return status_counts(orders_, "o_orderstatus", ["F", "O", "P", "X"])

@@ -17,6 +17,7 @@ from ..operators import sampling as M
 from ..operators import transcripts as T
 from ..operators import upsert as P
 from ..session import scratch
+from ..sinks.commit import commit, current
 from ..sources import catalogue as C
 from ..sources import files as S
 from ..sources.listing import read_listing, record_pages
@@ -290,3 +291,31 @@ def produced_limit(docs: DataFrame) -> DataFrame:
 )
 def two_stage_sample(docs: DataFrame) -> DataFrame:
     return M.page_sample(docs, "page", "doc_id", 8, 6, 40, 42).select("doc_id", "page")
+
+
+@query("items_having", "SELECT o_orderkey AS item_id, 'any' AS asked FROM orders UNION ALL SELECT o_orderkey, 'one' FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1995-03-05'", items=RECORDS)
+def items_having(items: DataFrame) -> DataFrame:
+    values = C.long_values(items)
+    one = lambda found, name: found.select("item_id", F.lit(name).alias("asked"))
+    return one(C.having(items, values, 7), "any").unionAll(one(C.having(items, values, 7, "1995-03-05"), "one"))
+
+
+_REVERSE = """concat(chr(123), '"@reverse": ', chr(123), '"dcterms:subject": [', chr(123), '"@id": "http://h/api/resources/', CAST(o_custkey AS VARCHAR(20)), '"', chr(125), ', 5, "', CAST(o_orderkey AS VARCHAR(20)), '", ', chr(123), '"x": 1', chr(125), ']', chr(125), chr(125))"""
+
+
+@query("back_link_ids", "SELECT o_orderkey AS item_id, p.pos, CASE p.pos WHEN 0 THEN CAST(o_custkey AS BIGINT) WHEN 1 THEN 5 WHEN 2 THEN CAST(o_orderkey AS BIGINT) END AS ref_id FROM orders, (SELECT unnest([0, 1, 2, 3]) AS pos) p", items=f"SELECT o_orderkey AS item_id, {_REVERSE} AS raw FROM {{orders}}")
+def back_link_ids(items: DataFrame) -> DataFrame:
+    return C.back_links(items, "dcterms:subject").select("item_id", "pos", "ref_id")
+
+
+@round_trip("work_list_round_trip", "SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation", rows="SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM {nation}")
+def work_list_round_trip(spark, path, rows):
+    K.write_report(spark, rows, path)
+    return S.work_list(spark, path, "struct<id: bigint, name: string>")
+
+
+@round_trip("versions_round_trip", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0", rows="SELECT c_custkey, c_name FROM {customer}")
+def versions_round_trip(spark, path, rows):
+    commit(rows, path)
+    commit(current(spark, path).filter("c_custkey % 2 = 0"), path)
+    return current(spark, path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import values as V
 from ..operators import upsert as U
 from .base import query
 
@@ -68,3 +69,31 @@ def new_term_ids(terms, map_):
 )
 def bilingual_pairs(fr, en):
     return U.pair_status(fr, en, "k")
+
+
+@query(
+    "link_sums_by_term",
+    """+ f AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 = 0 THEN 'invalid_id' WHEN o_orderkey % 7 = 0 THEN 'not_found' END AS bad, CASE WHEN o_custkey % 50 <> o_orderkey % 6 THEN 1 ELSE 0 END AS s, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE 1 END AS p FROM orders),
+    g AS (SELECT *, coalesce(bad, CASE WHEN s + p = 0 THEN 'unchanged' WHEN k % 13 = 0 THEN 'failed' ELSE 'updated' END) AS status FROM f)
+    SELECT 'subject' AS term, CAST(sum(s) FILTER (WHERE status = 'updated') AS BIGINT) AS n FROM g UNION ALL SELECT 'spatial', CAST(sum(p) FILTER (WHERE status = 'updated') AS BIGINT) FROM g UNION ALL SELECT status, CAST(count(*) AS BIGINT) FROM g GROUP BY 1""",
+    updates="SELECT CASE WHEN o_orderkey % 11 = 0 THEN concat('x', CAST(o_orderkey AS VARCHAR(20))) ELSE concat(' ', CAST(o_orderkey AS VARCHAR(20))) END AS item_id, 'subject' AS term, concat(CAST(o_custkey % 50 AS VARCHAR(20)), '| ', CAST(o_orderkey % 6 AS VARCHAR(20)), '|junk||1.5|', CAST(o_custkey % 50 AS VARCHAR(20))) AS ids FROM {orders} UNION ALL SELECT CASE WHEN o_orderkey % 11 = 0 THEN concat('x', CAST(o_orderkey AS VARCHAR(20))) ELSE concat(' ', CAST(o_orderkey AS VARCHAR(20))) END, 'spatial', CAST(o_orderkey % 4 AS VARCHAR(20)) FROM {orders}",
+    links="SELECT o_orderkey AS item_id, 'subject' AS term, o_orderkey % 6 AS link FROM {orders} UNION ALL SELECT o_orderkey, 'spatial', o_orderkey % 4 FROM {orders} WHERE o_orderkey % 5 = 0",
+    items="SELECT o_orderkey AS item_id FROM {orders} WHERE o_orderkey % 7 <> 0",
+    sent="SELECT o_orderkey AS item_id FROM {orders} WHERE o_orderkey % 13 <> 0",
+)
+def link_sums(updates, links, items, sent):
+    held = links.groupBy("item_id", "term").agg(F.collect_list(F.col("link").cast("long")).alias("links"))
+    done = U.link_updates(updates, held, items, dry_run=False, sent=sent)
+    per_status = done.filter("term = 'subject'").groupBy(F.col("status").alias("term")).agg(F.count(F.lit(1)).alias("added"))
+    return U.links_by_term(done).unionAll(per_status).withColumnRenamed("added", "n")
+
+
+@query(
+    "shown_values",
+    """SELECT doc_id, coalesce(nullif(t1, ''), nullif(v1, ''), nullif(u1, ''), nullif(t2, ''), nullif(v2, ''), nullif(u2, '')) AS shown,
+    coalesce(nullif(trim(coalesce(nullif(t1, ''), v1)), ''), nullif(trim(coalesce(nullif(t2, ''), v2)), '')) AS label FROM docs""",
+    docs="SELECT doc_id, CASE CAST(doc_id % 3 AS INT) WHEN 0 THEN '' WHEN 1 THEN lang END AS t1, CASE CAST(doc_id % 5 AS INT) WHEN 0 THEN ' ' WHEN 1 THEN concat(' ', source, ' ') WHEN 2 THEN '' END AS v1, CASE WHEN doc_id % 2 = 0 THEN concat('u:', source) END AS u1, CASE WHEN doc_id % 7 = 0 THEN source END AS t2, CASE WHEN doc_id % 4 = 0 THEN text END AS v2, CASE WHEN doc_id % 9 = 0 THEN 'u:2' END AS u2 FROM {documents}",
+)
+def shown_values(docs):
+    entries = F.array(*(F.struct(F.col(f"t{i}").alias("title"), F.col(f"v{i}").alias("value"), F.col(f"u{i}").alias("uri")) for i in (1, 2)))
+    return docs.select("doc_id", V.shown_first(entries).alias("shown"), V.label_of_language(entries).alias("label"))

@@ -217,3 +217,21 @@ def test_scrub_and_entities(spark):
     assert one(spark, S.scrub(F.col("a"), ["wP9Yabcdefgh12345", "short"]), a="k=wP9Y\n  abcdefgh12345 then abcdefgh1234 and short") == "k=<redacted> then <redacted> and short"
     names = spark.createDataFrame([(1, 0, "Abc"), (1, 1, "abC"), (1, 2, ""), (1, 3, "")], "k long, pos long, n string")
     assert sorted((r["n"], r["pos"]) for r in D.first_entities(names, "k", "pos", "n").collect()) == [("", 2), ("Abc", 0)]
+
+
+def test_link_updates_and_sums(spark):
+    updates = spark.createDataFrame([(" 9", "a", "3| 3|junk||1.5|0"), (" 9", "b", "1"), ("12", "a", "0"), ("x", "a", "1"), (None, "a", "1"), ("77", "a", "1"), ("13", "a", None)], "item_id string, term string, ids string")
+    links = spark.createDataFrame([(9, "a", [3]), (12, "a", [0])], "item_id long, term string, links array<long>")
+    items = spark.createDataFrame([(9,), (12,), (13,), (13,)], "item_id long")
+    dry = {(r["item_id"], r["term"]): (r["after"], r["added"], r["status"]) for r in U.link_updates(updates, links, items, True).collect()}
+    assert dry == {(" 9", "a"): ([3, 0], 1, "would_update"), (" 9", "b"): ([1], 1, "would_update"), ("12", "a"): ([0], 0, "unchanged"), ("x", "a"): ([1], 1, "invalid_id"), (None, "a"): ([1], 1, "invalid_id"), ("77", "a"): ([1], 1, "not_found"), ("13", "a"): ([], 0, "unchanged")}
+    live = U.link_updates(updates, links, items, False, sent=items.filter("item_id <> 9"))
+    assert {r["status"] for r in live.filter("item_id = ' 9'").collect()} == {"failed"}
+    assert {r["term"]: r["added"] for r in U.links_by_term(U.link_updates(updates, links, items, True)).collect()} == {"a": 1, "b": 1}
+    assert {r["term"]: r["added"] for r in U.links_by_term(live).collect()} == {"a": 0, "b": 0}
+
+
+def test_shown_values(spark):
+    schema = "v array<struct<title:string,value:string,uri:string>>"
+    rows = spark.createDataFrame([([("", None, None), (None, "b", "u")],), ([("", " ", "u")],), ([],), (None,), ([(None, "", "u")],)], schema)
+    assert [tuple(r) for r in rows.select(V.shown_first(F.col("v")), V.label_of_language(F.col("v"))).collect()] == [("b", "b"), (" ", None), (None, None), (None, None), ("u", None)]
