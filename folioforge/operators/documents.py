@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,22 +16,39 @@ from ..functions.text import WORD
 LOOP_WORDS, LOOP_REPEATS = 12, 20
 
 
+def _top_window(n: int):
+    """A column function hashes of words (array) -> how often the n-word window that comes most often does, and where it first begins (from 1); null below 2 n words."""
+
+    @F.arrow_udf(returnType="struct<n: bigint, first: int>")
+    def top(words: pa.Array) -> pa.Array:
+        every, out = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64), []
+        windows = np.zeros(max(0, len(every) - n + 1), np.uint64)
+        for k in range(n):  # windows over row ends are never looked at
+            windows = windows * np.uint64(0x9E3779B97F4A7C15) + every[k : k + len(windows)]
+        end = 0
+        for size in words.value_lengths().fill_null(0).to_pylist():
+            start, end = end, end + size
+            if size < 2 * n:
+                out.append(None)
+                continue
+            _, first, count = np.unique(windows[start : end - n + 1], return_index=True, return_counts=True)
+            most = count.max()
+            out.append({"n": int(most), "first": int(first[count == most].min()) + 1})
+        return pa.array(out, pa.struct([("n", pa.int64()), ("first", pa.int32())]))
+
+    return top
+
+
 def most_repeated(docs: DataFrame, n: int = LOOP_WORDS) -> DataFrame:
     """docs (doc_id, text): the n-word window that occurs most often, first occurrence on ties; (0, '') below 2 n words.
 
-    Every row sorts the 64-bit hashes of its own windows and measures runs of
-    equal ones, so nothing leaves the row and there is no shuffle.
+    Words are hashed once; a rolling 64-bit hash stands for a window, and every
+    row sorts its own, so nothing leaves the row and there is no shuffle.
     """
     out = docs.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)).alias("w"), F.size(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("n_words"))
-    places = F.when(F.size("w") >= 2 * n, F.sequence(F.lit(1), F.size("w") - (n - 1)))
-    windows = F.transform(places, lambda i: F.struct(F.xxhash64(F.array_join(F.slice("w", i, n), " ")).alias("h"), i.alias("at")))
-    out = out.withColumn("s", F.array_sort(windows))
-    begins = F.transform("s", lambda x, i: F.when((i == 0) | (F.get("s", i - 1)["h"] != x["h"]), i))
-    out = out.withColumn("b", F.filter(begins, lambda i: i.isNotNull()))
-    runs = F.transform("b", lambda i, k: F.struct((F.coalesce(F.get("b", k + 1), F.size("s")) - i).alias("n"), (-F.get("s", i)["at"]).alias("first")))
-    out = out.withColumn("top", F.array_max(runs))
-    gram = F.array_join(F.slice("w", -F.col("top.first"), n), " ")
-    return out.select("doc_id", "n_words", F.coalesce("top.n", F.lit(0)).cast("long").alias("repeats"), F.coalesce(gram, F.lit("")).alias("gram"))
+    out = out.withColumn("top", _top_window(n)(F.transform("w", lambda x: F.xxhash64(x))))
+    gram = F.array_join(F.slice("w", F.col("top.first"), n), " ")
+    return out.select("doc_id", "n_words", F.coalesce("top.n", F.lit(0).cast("long")).alias("repeats"), F.coalesce(gram, F.lit("")).alias("gram"))
 
 
 def looping(repeated: DataFrame) -> Column:

@@ -235,3 +235,17 @@ def test_shown_values(spark):
     schema = "v array<struct<title:string,value:string,uri:string>>"
     rows = spark.createDataFrame([([("", None, None), (None, "b", "u")],), ([("", " ", "u")],), ([],), (None,), ([(None, "", "u")],)], schema)
     assert [tuple(r) for r in rows.select(V.shown_first(F.col("v")), V.label_of_language(F.col("v"))).collect()] == [("b", "b"), (" ", None), (None, None), (None, None), ("u", None)]
+
+
+def test_most_repeated_window_against_counting(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["a", "B", "é", "c2"][: rng.randrange(1, 5)]) for _ in range(rng.randrange(0, 90))) for _ in range(40)] + ["", None, "x " * 23, "x " * 24]
+
+    def brute(text):
+        w = (text or "").lower().split()
+        grams = [tuple(w[i : i + 12]) for i in range(len(w) - 11)] if len(w) >= 24 else []
+        best = max(grams, key=lambda g: (grams.count(g), -grams.index(g)), default=())
+        return grams.count(best) if grams else 0, " ".join(best)
+
+    out = D.most_repeated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1))
+    assert {r["doc_id"]: (r["repeats"], r["gram"]) for r in out.collect()} == {i: brute(t) for i, t in enumerate(texts)}
