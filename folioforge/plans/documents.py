@@ -9,7 +9,7 @@ from ..functions import text as X
 from ..operators import documents as D
 from .base import query
 
-_GRAMS = r"""
+GRAMS = r"""
 w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w, len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) AS n_words FROM docs),
 g AS (SELECT doc_id, pos, array_to_string(w[pos : pos + 11], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS pos FROM w WHERE len(w) >= 24)),
 c AS (SELECT doc_id, gram, count(*) AS n, min(pos) AS pos FROM g GROUP BY ALL),
@@ -18,22 +18,26 @@ b AS (SELECT doc_id, n, gram FROM c QUALIFY row_number() OVER (PARTITION BY doc_
 DOCS = "SELECT doc_id, text FROM {documents}"
 
 
-@query("repeat_ngram_top", f"+{_GRAMS} SELECT w.doc_id, coalesce(n, 0) AS repeats, coalesce(gram, '') AS gram FROM w LEFT JOIN b USING (doc_id)", docs=DOCS)
+@query("repeat_ngram_top", f"+{GRAMS} SELECT w.doc_id, coalesce(n, 0) AS repeats, coalesce(gram, '') AS gram FROM w LEFT JOIN b USING (doc_id)", docs=DOCS)
 def repeat_ngram_top(docs):
     return D.most_repeated(docs).select("doc_id", "repeats", "gram")
 
 
-@query("loop_detect", f"+{_GRAMS} SELECT w.doc_id, CASE WHEN n_words >= 36 AND n >= 20 THEN 'looping-' || CAST(n AS VARCHAR) || 'x' END AS reason FROM w LEFT JOIN b USING (doc_id)", docs=DOCS)
+@query("loop_detect", f"+{GRAMS} SELECT w.doc_id, CASE WHEN n_words >= 36 AND n >= 20 THEN 'looping-' || CAST(n AS VARCHAR) || 'x' END AS reason FROM w LEFT JOIN b USING (doc_id)", docs=DOCS)
 def loop_detect(docs):
     out = D.most_repeated(docs)
     return out.select("doc_id", D.looping(out).alias("reason"))
 
 
+#: SQL: docs (doc_id, text) with the text's white space tidied, line by line
+TIDIED = r"""l AS (SELECT doc_id, text IS NULL AS no_text, list_transform(string_split_regex(text, '\r\n|\r|\n'), lambda x: rtrim(replace(x, chr(160), ' '), ' ' || chr(9))) AS l FROM docs),
+    m AS (SELECT doc_id, no_text, l, list_transform(l, lambda x, i: CASE WHEN i > 2 AND l[i - 1] = '' AND l[i - 2] = '' THEN ltrim(x, ' ' || chr(9)) ELSE x END) AS m FROM l),
+    tidied AS (SELECT doc_id, CASE WHEN NOT no_text THEN regexp_replace(array_to_string(list_filter(m, lambda x, i: x <> '' OR i = 1 OR l[i - 1] <> ''), chr(10)), '^\s+|\s+$', '', 'g') END AS text FROM m)"""
+
+
 @query(
     "md_whitespace",
-    r"""+ l AS (SELECT doc_id, text IS NULL AS no_text, list_transform(string_split_regex(text, '\r\n|\r|\n'), lambda x: rtrim(replace(x, chr(160), ' '), ' ' || chr(9))) AS l FROM docs),
-    m AS (SELECT doc_id, no_text, l, list_transform(l, lambda x, i: CASE WHEN i > 2 AND l[i - 1] = '' AND l[i - 2] = '' THEN ltrim(x, ' ' || chr(9)) ELSE x END) AS m FROM l)
-    SELECT doc_id, CASE WHEN NOT no_text THEN regexp_replace(array_to_string(list_filter(m, lambda x, i: x <> '' OR i = 1 OR l[i - 1] <> ''), chr(10)), '^\s+|\s+$', '', 'g') END AS text FROM m""",
+    f"+{TIDIED} SELECT doc_id, text FROM tidied",
     docs="SELECT doc_id, concat(replace(replace(text, chr(10), concat(' ', chr(13), chr(10), chr(10), '  ', chr(10), chr(10))), ', ', concat(',', chr(160), ' ')), '  ', chr(10)) AS text FROM {documents}",
 )
 def md_whitespace(docs):
