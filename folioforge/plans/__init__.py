@@ -1,6 +1,6 @@
 """Named queries over the engine and their SQL twins."""
 
-from . import agreement, annotate, documents, exports, reconcile, selection, sources, updates  # noqa: F401
+from . import agreement, annotate, documents, exports, reconcile, runs, selection, sources, updates  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
