@@ -17,11 +17,13 @@ Layout under the store's path (Parquet, zstd):
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,8 +35,8 @@ END_ID = 2
 MEAN_CHUNK = 512
 MOST_CHUNK = 4096
 WINDOW = 4
-CACHE_UNITS = 800_000
-TAILS = ".,!?;:"
+PORTION = 1 << 24  # bytes of text encoded at a time; a longer text is a portion of its own
+LEARNT = 1 << 25  # bytes of units and ids that a task keeps
 
 
 def default_vocabulary() -> str:
@@ -43,20 +45,82 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _table(values: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(values)] = True
+    return out
+
+
+SPACES = _table(bytes([*range(9, 14), *range(28, 33)]))  # white space, and ASCII that may count as such
+LETTERS = _table(bytes([*range(65, 91), *range(97, 123)]))
+ENDS_WORD = _table(b".,!?;:\n\r\t")
+
+
+def _spaces_at(b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the characters whose last bytes are at ``at`` are white space."""
+    z = b[at]
+    out = SPACES[z]
+    i = np.flatnonzero(z >= 128)
+    if len(i):
+        z, y, x = z[i], b[np.maximum(at[i] - 1, 0)], b[np.maximum(at[i] - 2, 0)]
+        two = (y == 0xC2) & ((z == 0x85) | (z == 0xA0))
+        e2 = (y == 0x80) & ((z <= 0x8A) | (z == 0xA8) | (z == 0xA9) | (z == 0xAF)) | (y == 0x81) & (z == 0x9F)
+        out[i] = two | (x == 0xE1) & (y == 0x9A) & (z == 0x80) | (x == 0xE2) & e2 | (x == 0xE3) & (y == 0x80) & (z == 0x80)
+    return out
+
+
+def unit_cuts(b: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where units begin in the UTF-8 bytes of texts that begin at ``starts``, and the end.
+
+    The library's pre-tokenizer always starts a new piece at a space after
+    something other than white space, at ASCII punctuation or a line break
+    after an ASCII letter, and after a single line break between two characters
+    that are no white space; on either side of such a place it finds the same
+    pieces as if the other side were not there.
+    """
+    cut = np.zeros(len(b) + 1, bool)
+    cut[starts] = True
+    at = np.flatnonzero(b[1:] == 32)
+    cut[at[~_spaces_at(b, at)] + 1] = True
+    at = np.flatnonzero(ENDS_WORD[b[1:]])
+    cut[at[LETTERS[b[at]]] + 1] = True
+    at = np.flatnonzero(b[1:-1] == 10) + 1
+    for near in (-1, 1):
+        at = at[~SPACES[b[at + near]] & (b[at + near] < 128)]
+    cut[at + 1] = True
+    return np.flatnonzero(cut)
+
+
+class Learnt:
+    """Units that a task has met and their ids; the empty unit, the first, has the ids that end a text."""
+
+    def __init__(self, tail: bytes = b""):
+        self.tail = tail
+        self.clear()
+
+    def clear(self) -> None:
+        self.units, self.ids = pa.array([b""], pa.large_binary()), pa.array([self.tail], pa.large_binary())
+
+    def add(self, units: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        ends = np.r_[0, np.cumsum(counts * ids.itemsize)]
+        more = pa.Array.from_buffers(pa.large_binary(), len(units), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+        self.units, self.ids = pa.concat_arrays([self.units, units]), pa.concat_arrays([self.ids, more])
+
+
 class Encoder:
     """Whole-text ids of a byte-level BPE of the tokenizers library.
 
-    The library's pre-tokenizer always starts a new piece at a space that has
-    a non-space before or after it, so a text falls apart there into units
-    whose ids do not depend on their neighbours.  Each distinct unit is encoded
-    by the library once and kept, up to ``CACHE_UNITS`` (about 160 MB in a
-    worker); texts with a space between two white-space characters are encoded
-    whole.
+    Texts are cut into units whose ids do not depend on their neighbours
+    (``unit_cuts``), and the library encodes each distinct unit of a task once,
+    as long as ``LEARNT`` holds them.  Nothing is kept from one task to the
+    next.  A vocabulary with an added token that such a cut might split gets
+    whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
@@ -64,74 +128,63 @@ class Encoder:
         self.lengths = np.zeros(size, np.int64)  # bytes of text that an id stands for
         for word, i in self.tokenizer.get_vocab().items():
             self.lengths[i] = len(word.encode()) if i in special else len(word)
-        self.units: dict[str, bytes | bool] = {}
-        self.tails: dict[str, bytes] = {}
-        self.usual = 100.0  # words to learn per call, lately
-
-    def whole(self, text: str) -> bytes:
-        return self._ids(text).astype(self.dtype).tobytes()
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
-
-    def _learn(self, words: list[str]) -> dict[str, bytes | bool]:
-        """Units of distinct words, each after a space; False where the word is no safe place to cut."""
-        out: dict[str, bytes | bool] = {w: False for w in words if not w or w[0].isspace()}
-        sound, split = [], []
-        for w in words:
-            if w not in out:
-                core = w.rstrip(TAILS)  # a run of letters ends where punctuation begins, so ids of both parts are the whole's
-                if core and len(core) < len(w) and core[-1].isalpha():
-                    split.append((w, core, w[len(core) :]))
-                else:
-                    sound.append(w)
-        fresh = {core for _, core, _ in split if core not in self.units and core not in out}
-        sound += fresh.difference(sound)
-        for at in range(0, len(sound), 1000):
-            part = sound[at : at + 1000]
-            ids = self._ids("".join([" " + w for w in part]))
-            ends = np.cumsum(self.lengths[ids])
-            cuts = np.cumsum([len(w.encode()) + 1 for w in part])
-            place = np.searchsorted(ends, cuts)
-            if len(ends) and place[-1] < len(ends) and (ends[place] == cuts).all():
-                raw, step, a = ids.astype(self.dtype).tobytes(), self.dtype.itemsize, 0
-                for w, z in zip(part, ((place + 1) * step).tolist(), strict=True):
-                    out[w] = raw[a:z]
-                    a = z
-            else:
-                for w in part:
-                    out[w] = self.whole(" " + w)
-        for w, core, tail in split:
-            if tail not in self.tails:
-                self.tails[tail] = self.whole(tail)
-            head = out[core] if core in out else self.units[core]
-            out[w] = head and head + self.tails[tail]
-        if len(self.tails) > 10_000:
-            self.tails.clear()
-        if len(self.units) < CACHE_UNITS:
-            self.units.update(out)
-        elif len(words) > 4 * self.usual:  # other texts than those the cache was filled with
-            self.units.clear()
-        self.usual = max(100, 0.99 * self.usual + 0.01 * len(words))
-        return out
+        self.cuts = not any(t.lstrip or t.rstrip or t.single_word or any(c.isspace() or c in ".,!?;:" for c in t.content) for t in special.values())
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.dtype) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct units: ids one unit after another, how many each has, and the order in which units stand there."""
+        ends = np.frombuffer(units.buffers()[1], np.int64)[: len(units) + 1]
+        b = np.frombuffer(units.buffers()[2], np.uint8)
+        joins = self.cuts & (b[ends[:-1]] == 32) & ~_spaces_at(b, ends[1:] - 1)  # such units, one after another, fall apart again
+        many, few = np.flatnonzero(joins), np.flatnonzero(~joins)
+        found = [self._joined(units.take(pa.array(many[at : at + 20_000]))) for at in range(0, len(many), 20_000)]
+        found += [self._each(units.take(pa.array(few[at : at + 256]))) for at in range(0, len(few), 256)]
+        ids, counts = zip(*found, strict=True)
+        return np.concatenate(ids), np.concatenate(counts), np.concatenate([many, few])
+
+    def _joined(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units and counts, by texts of 200 units; by single units should ids not end where units do."""
+        offsets = np.frombuffer(units.buffers()[1], np.int64)[: len(units) + 1]
+        data, cuts = units.buffers()[2].to_pybytes(), [*offsets[:-1:200].tolist(), int(offsets[-1])]
+        ids = np.concatenate(self._ids([data[a:z].decode() for a, z in zip(cuts, cuts[1:], strict=False)]))
+        ends = np.cumsum(self.lengths[ids])
+        place = np.searchsorted(ends, offsets[1:])
+        if len(ends) and place[-1] == len(ends) - 1 and (ends[place] == offsets[1:]).all():
+            return ids, np.diff(place, prepend=-1)
+        return self._each(units)
+
+    def _each(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._ids([u.decode() for u in units.to_pylist()])
+        return np.concatenate(ids), np.array([len(x) for x in ids])
+
+    def stream(self, texts: pa.Array, learnt: Learnt) -> tuple[bytes, np.ndarray]:
+        """The ids of texts, each with its end, as one run of bytes; where each text's ids end in it (counted in ids)."""
+        texts = texts.fill_null("").cast(pa.large_binary())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        b = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        starts = offsets - offsets[0]
+        at = unit_cuts(b, starts) if self.cuts else np.unique(starts)
+        after = np.searchsorted(at, starts[1:])  # units up to each text's end
+        units = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(b)]).dictionary_encode()
+        place = pc.fill_null(pc.index_in(units.dictionary, value_set=learnt.units), -1).to_numpy().copy()
+        fresh = np.flatnonzero(place < 0)
+        if len(fresh):
+            ids, counts, order = self._learn(units.dictionary.take(pa.array(fresh)))
+            fresh = fresh[order]
+            place[fresh] = np.arange(len(learnt.units), len(learnt.units) + len(fresh))
+            learnt.add(units.dictionary.take(pa.array(fresh)), ids, counts)
+        taken = learnt.ids.take(pa.array(np.insert(place[units.indices.to_numpy()], after, 0)))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1]
+        if learnt.units.nbytes + learnt.ids.nbytes > LEARNT:
+            learnt.clear()
+        return (taken.buffers()[2] or pa.py_buffer(b"")).to_pybytes()[: ends[-1]], ends[after + np.arange(1, len(after) + 1)] // self.dtype.itemsize
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        get = self.units.get
-        split = [t.split(" ") for t in texts]
-        parts = [list(map(get, words)) for words in split]  # the first word has no space before it and is set below
-        gaps = [[i for i, p in enumerate(row) if p is None] for row in parts]
-        learnt = self._learn(list({words[i] for words, row in zip(split, gaps, strict=True) for i in row if i}))
-        out = []
-        for text, words, row, gap in zip(texts, split, parts, gaps, strict=True):
-            for i in gap:
-                if i:
-                    row[i] = learnt[words[i]]
-            row[0] = self.whole(words[0]) if words[0] else b""
-            try:
-                out.append(b"".join(row))
-            except TypeError:
-                out.append(self.whole(text))
-        return out
+        raw, ends = self.stream(pa.array(texts, pa.string()), Learnt())
+        cuts = [0, *(ends * self.dtype.itemsize).tolist()]
+        return [raw[a:z] for a, z in zip(cuts, cuts[1:], strict=False)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -183,19 +236,33 @@ PIECES = "key long, kind int, doc_id long, n long, digest binary, payload binary
 RECIPE = np.dtype([("digest", "V32"), ("n", "<u4")])
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in their order, of up to PORTION bytes of text at a time; every row whole."""
+    held, size = [], 0
+    for batch in batches:
+        first = 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+            if size and size + n > PORTION:
+                held.append(batch.slice(first, i - first))
+                yield pa.Table.from_batches(held)
+                held, size, first = [], 0, i
+            size += n
+        held.append(batch.slice(first))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _cut_up(path: str, end_id: int):
     """Kind 0: a chunk this task has not sent yet; kind 1: a document's recipe."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         enc, sent = encoder(path), set()
         step = enc.dtype.itemsize
-        tail = np.array([end_id], enc.dtype).tobytes()
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                streams = [s + tail for s in enc.encode([t or "" for t in part.column(1).to_pylist()])]
-                raw = b"".join(streams)
-                doc_ends = np.cumsum([len(s) // step for s in streams])
+        learnt = Learnt(np.array([end_id], enc.dtype).tobytes())
+        for part in _portions(batches):
+            if len(part):
+                raw, doc_ends = enc.stream(part.column(1).combine_chunks(), learnt)
+                sizes = np.diff(doc_ends, prepend=0).tolist()
                 ends = chunk_ends(np.frombuffer(raw, enc.dtype), doc_ends)
                 keys, kinds, ids, ns, digests, payloads = [], [], [], [], [], []
                 recipe: list[bytes] = []
@@ -214,7 +281,7 @@ def _cut_up(path: str, end_id: int):
                     if z == doc_ends[d]:
                         packed = b"".join(recipe)
                         keys.append(zlib.crc32(packed + str(doc_ids[d]).encode())), kinds.append(1), ids.append(doc_ids[d])
-                        ns.append(len(streams[d]) // step), digests.append(merkle([r[:32] for r in recipe])), payloads.append(packed)
+                        ns.append(sizes[d]), digests.append(merkle([r[:32] for r in recipe])), payloads.append(packed)
                         recipe, d = [], d + 1
                     a = z
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(kinds, pa.int32()), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), pa.array(payloads, pa.binary())], ["key", "kind", "doc_id", "n", "digest", "payload"])
@@ -224,14 +291,14 @@ def _cut_up(path: str, end_id: int):
 
 def _once(batches):
     """Of chunks sorted by digest the first; recipes as they are."""
-    last = None
+    last = pa.scalar(None, pa.binary())
     for batch in batches:
-        kinds, digests = batch.column(1).to_numpy(), batch.column(4).to_pylist()
-        keep = []
-        for kind, digest in zip(kinds.tolist(), digests, strict=True):
-            keep.append(kind == 1 or digest != last)
-            last = digest if kind == 0 else last
-        yield batch.filter(pa.array(keep))
+        if len(batch):
+            kinds, digests = batch.column(1), batch.column(4)
+            before = pa.concat_arrays([pa.array([last.as_py()], pa.binary()), digests.slice(0, len(digests) - 1)])
+            keep = pc.or_(pc.equal(kinds, 1), pc.fill_null(pc.not_equal(digests, before), True))
+            last = digests[-1]
+            yield batch.filter(keep)
 
 
 ORDERED = "kind int, part int, ord long, doc_id long, n long, start long, recipe binary, root binary"

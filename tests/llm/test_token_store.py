@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("folioforge.llm")
@@ -96,3 +97,76 @@ def test_damaged_recipes_do_not_pass(spark, tmp_path):
             S.read_tokens(spark, f"{tmp_path}/{name}").collect()
     wide = [S._ids_of(np.array([1, 70_000], "<u4").tobytes(), 2).tolist(), S._ids_of(np.array([1, 7], "<u2").tobytes(), 2).tolist()]
     assert wide == [[1, 70_000], [1, 7]]
+
+
+class Counted:
+    """A tokenizer that notes how many characters it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.given = inner, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.given += sum(map(len, texts))
+        return self.inner.encode_batch_fast(texts, **how)
+
+
+def test_a_run_owes_nothing_to_earlier_ones():
+    enc = S.Encoder(S.default_vocabulary())
+    enc.tokenizer = Counted(enc.tokenizer)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["one", "two,", "three.\nFour", "five  six", "Größe\xa0 7"]) for _ in range(200)) for _ in range(100)]
+    given = []
+    for _ in range(2):
+        enc.tokenizer.given = 0
+        got = enc.encode(texts)
+        given.append(enc.tokenizer.given)
+    assert given[0] == given[1] < sum(map(len, texts)) / 100
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == direct(texts)
+
+
+def test_units_at_all_kinds_of_white_space():
+    rng = random.Random(3)
+    spaces = [chr(c) for c in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]]
+    alphabet = [*spaces, *[" ", "\n", "a"] * 8, "B", "\u00e9", "\u00c9", "\u0441\u043b\u043e\u0432\u043e", "\u5b57", "\u2026", "\u2030", "\u3001", "\u0160", "\u1805", ".", ";", "7", "'s", "\x00", "<|", "|>", "<|endoftext|>"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 24))) for _ in range(40_000)]
+    assert [np.frombuffer(g, "<u2").tolist() for g in S.encoder(S.default_vocabulary()).encode(texts)] == direct(texts)
+
+
+def test_added_tokens_that_a_cut_might_split(tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    for i, token in enumerate(["new york", AddedToken("<x>", lstrip=True), "e.g."]):
+        t = Tokenizer.from_file(S.default_vocabulary())
+        t.add_tokens([token])
+        t.save(f"{tmp_path}/{i}.json")
+        texts = ["in new york now", "in  <x> now", "see e.g. this", "see e.g. this", "", " new", " york", " <x>"]
+        want = [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(g, "<u2").tolist() for g in S.Encoder(f"{tmp_path}/{i}.json").encode(texts)] == want
+
+
+@pytest.mark.parametrize(("portion", "learnt"), [(1, 1), (60, 300), (1 << 24, 1 << 25)])
+def test_portions_keep_every_row(monkeypatch, portion, learnt):
+    monkeypatch.setattr(S, "PORTION", portion)
+    monkeypatch.setattr(S, "LEARNT", learnt)
+    texts = [None, "", "one two.\nThree", "", "one two three " * 20, "x", None, "two  one", None, ""]
+    rows = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    for size in (1, 3, 100):
+        for some in (rows, rows.slice(1), rows.slice(0, 2), rows.slice(0, 0)):
+            out = [r for b in S._cut_up(S.default_vocabulary(), 2)(iter(some.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+            chunks = {r["digest"]: r["payload"] for r in out if r["kind"] == 0}
+            got = {}
+            for r in out:
+                if r["kind"] == 1:
+                    steps = np.frombuffer(r["payload"], S.RECIPE)["digest"]
+                    got[r["doc_id"]] = np.frombuffer(b"".join(chunks[s.tobytes()] for s in steps), "<u2").tolist()
+                    assert r["n"] == len(got[r["doc_id"]])
+            assert list(got) == some["doc_id"].to_pylist()
+            assert list(got.values()) == [[*ids, 2] for ids in direct(some["text"].to_pylist())]
+
+
+def test_chunks_once_over_batches():
+    rows = [(0, b"a"), (0, b"a"), (0, b"b"), (0, b"b"), (0, b"b"), (0, b"c"), (1, b"c"), (1, b"c")]
+    for size in (1, 2, 3, 8):
+        batches = [pa.RecordBatch.from_arrays([pa.array([None] * len(part)), pa.array([k for k, _ in part], pa.int32()), *[pa.array([None] * len(part))] * 2, pa.array([d for _, d in part], pa.binary())], ["key", "kind", "doc_id", "n", "digest"]) for part in (rows[i : i + size] for i in range(0, 8, size))]
+        got = [(r["kind"], r["digest"]) for b in S._once(iter([batches[0].slice(0, 0), *batches])) for r in b.to_pylist()]
+        assert got == [(0, b"a"), (0, b"b"), (0, b"c"), (1, b"c"), (1, b"c")]
