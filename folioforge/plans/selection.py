@@ -53,11 +53,12 @@ def publisher_counts(items):
 )
 def reverse_refs(refs, items):
     early = F.when(F.col("kind") == "junk", "invalid").when(F.col("kind") == "page", "non_article").when(F.col("ref").isNull(), "invalid")
-    rows = refs.withColumn("early", early)
-    first = rows.filter("early is null").groupBy("ref").agg(F.min("pos").alias("first"))
-    out = rows.join(first, "ref", "left").join(items, F.col("ref") == F.col("id"), "left")
-    status = F.when(F.col("early").isNotNull(), F.col("early")).when(F.col("pos") > F.col("first"), "duplicate").when(F.col("id").isNull(), "fetch_error").when(F.col("type") != "article", "non_article").otherwise("article")
-    return out.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    # of the rows of a reference one comes first, though several may share the least position, and all others repeat it
+    groups = refs.groupBy(early.alias("early"), "ref").agg(F.count(F.lit(1)).alias("of")).join(items, F.col("ref") == F.col("id"), "left")
+    part = lambda status, n: F.struct(status.alias("status"), n.alias("n"))
+    first = F.when(F.col("id").isNull(), "fetch_error").when(F.col("type") != "article", "non_article").otherwise("article")
+    parts = F.when(F.col("early").isNotNull(), F.array(part(F.col("early"), F.col("of")))).otherwise(F.array(part(first, F.lit(1).cast("long")), part(F.lit("duplicate"), F.col("of") - 1)))
+    return groups.select(F.inline(parts)).filter("n > 0").groupBy("status").agg(F.sum("n").alias("n"))
 
 
 @query(
