@@ -1,8 +1,8 @@
 """Recorded listings: catalogue pages as files, read through a Python data source.
 
 A recording holds pages set=<id>/page=<n>, each a JSON list of at most
-``per_page`` records.  One partition reads one page.  Filters on set_id and page
-choose the pages before any is opened; a listing ends at its first page that
+``per_page`` records.  One partition reads one page, or a run of them where there
+are more than ``TASKS``.  Filters on set_id and page choose the pages before any is opened; a listing ends at its first page that
 is missing or not full, which the driver finds by doubling and bisection, so it
 opens a handful of pages of a set, however long the listing.
 """
@@ -10,9 +10,11 @@ opens a handful of pages of a set, however long the listing.
 from __future__ import annotations
 
 import json
+import math
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+import uuid
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,8 @@ from ..operators.documents import numbered
 
 SCHEMA = "set_id long, page int, pos int, item_id long, raw string"
 PER_PAGE = 100  # fixed value: records of a full page
+#: fixed values: from so many pages on a partition reads a run of them, of so many at most
+TASKS, RUN = 128, 500
 
 
 @dataclass
@@ -30,6 +34,7 @@ class Page(InputPartition):
     set_id: int
     page: int
     files: list[str]
+    then: list[Page] = field(default_factory=list)
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
@@ -76,7 +81,8 @@ class _Reader(DataSourceReader):
         for number, found in sorted(pages.items()):
             last = self.last_page(store, found)
             out += [Page(number, p, sorted(found[p])) for p in range(1, last + 1) if p in self.wanted.get("page", {p})]
-        return out or [Page(0, 0, [])]
+        run = min(RUN, math.ceil(len(out) / TASKS))
+        return [Page(p.set_id, p.page, p.files, out[i + 1 : i + run]) for i, p in enumerate(out) if i % run == 0] if out else [Page(0, 0, [])]
 
     def last_page(self, store: fs.FileSystem, pages: dict[int, list[str]]) -> int:
         """The last page of a listing whose pages are full up to it."""
@@ -91,9 +97,10 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: Page) -> Iterator[tuple]:
         store, _ = _store(self.path)
-        for pos, record in enumerate(_records(store, partition.files)):
-            own = record.get("o:id") if isinstance(record, dict) else None
-            yield partition.set_id, partition.page, pos, own if isinstance(own, int) else None, json.dumps(record, ensure_ascii=False)
+        for page in (partition, *partition.then):
+            for pos, record in enumerate(_records(store, page.files)):
+                own = record.get("o:id") if isinstance(record, dict) else None
+                yield page.set_id, page.page, pos, own if isinstance(own, int) else None, json.dumps(record, ensure_ascii=False)
 
 
 class RecordedListing(DataSource):
@@ -118,10 +125,37 @@ def read_listing(spark: SparkSession, path: str, per_page: int = PER_PAGE) -> Da
 
 
 def record_pages(items: DataFrame, path: str, per_page: int = PER_PAGE) -> None:
-    """Writes items (set_id, item_id, raw: a JSON object) as a recording, by item_id within a set; an item of two sets is in both."""
+    """Writes items (set_id, item_id, raw: a JSON object) as a recording, by item_id within a set; an item of two sets is in both.
+
+    A page is a file, so there are very many: pages are dealt to all shuffle
+    partitions, each task writes its own through Arrow's file system, and the
+    folder gets its name when all are there.
+    """
     placed = numbered(items.select("set_id", "item_id", "raw"), "set_id", ["item_id"])
     page = F.floor((F.col("place") - 1) / per_page).cast("int") + 1
     rows = F.array_sort(F.collect_list(F.struct("place", "raw")))
     text = F.concat(F.lit("["), F.array_join(F.transform(rows, lambda x: F.regexp_replace(x["raw"], "[\r\n]+", " ")), ","), F.lit("]"))
-    pages = placed.groupBy(F.col("set_id").alias("set"), page.alias("page")).agg(text.alias("text"))
-    pages.write.partitionBy("set", "page").text(path)
+    dealt = placed.select(F.col("set_id").alias("set"), page.alias("page"), "place", "raw").repartition(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), "set", "page")
+    pages = dealt.groupBy("set", "page").agg(text.alias("text"))
+    store, root = _store(path)
+    if store.get_file_info(root).type != fs.FileType.NotFound:
+        raise FileExistsError(path)
+    unnamed = f"{root.rstrip('/')}.{uuid.uuid4().hex}"
+
+    def write(rows: Iterable) -> None:
+        own, _ = _store(path)
+        for r in rows:
+            folder = f"{unnamed}/set={r['set']}/page={r['page']}"
+            own.create_dir(folder)
+            name = uuid.uuid4().hex  # a task may run twice: the page is whole under its name, whoever came last
+            with own.open_output_stream(f"{folder}/_{name}") as f:
+                f.write(r["text"].encode() + b"\n")
+            own.move(f"{folder}/_{name}", f"{folder}/part-0.txt")
+
+    store.create_dir(unnamed)
+    try:
+        pages.foreachPartition(write)
+        store.move(unnamed, root)
+    except BaseException:
+        store.delete_dir(unnamed)
+        raise

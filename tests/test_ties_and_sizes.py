@@ -30,3 +30,19 @@ def test_one_of_references_at_the_same_position_is_first(same):
     want = same("reverse_ref_status", lineitem=(lines, "l_orderkey long, l_linenumber int, l_partkey long"), part=([(5, 1), (6, 5), (6, 1), (7, 1)], "p_partkey long, p_size int"))
     # part 6 is there twice, so that its rows count twice, as in a join
     assert dict(want) == {"article": 2, "duplicate": 6, "fetch_error": 1, "non_article": 2, "invalid": 4}
+
+
+def test_long_listings_are_read_in_runs_of_pages(spark, tmp_path):
+    from folioforge.sources import listing as L
+
+    items = spark.range(900).selectExpr("id % 2 AS set_id", "id AS item_id", "concat('[', id, ']') AS raw")
+    path = f"{tmp_path}/r"
+    L.record_pages(items, path, 3)
+    parts = L._Reader(path, 3).partitions()
+    pages = [(q.set_id, q.page) for p in parts for q in (p, *p.then)]
+    assert pages == [(s, n) for s in (0, 1) for n in range(1, 151)] and len(parts) <= L.TASKS
+    got = L.read_listing(spark, path, 3).selectExpr("set_id", "page", "pos", "raw").collect()
+    assert sorted(map(tuple, got)) == sorted((i % 2, i // 2 // 3 + 1, i // 2 % 3, f"[{i}]") for i in range(900))
+    with pytest.raises(FileExistsError):
+        L.record_pages(items, path, 3)
+    assert [p.name for p in tmp_path.iterdir()] == ["r"]
