@@ -83,3 +83,14 @@ def test_corrections_of_repeated_ids_and_none(spark, same, tmp_path):
     # texts are shuffled for no id but the repeated ones
     plan = QUERIES["ocr_token_apply"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftAnti" in plan and plan.index("Join LeftAnti") < plan.index("Join Inner")
+
+
+def test_keys_of_word_sets_carry_no_words(spark):
+    from fractions import Fraction
+
+    from folioforge.operators import setjoin as J
+
+    places = spark.createDataFrame([("b", 1), ("a", 2)], "word string, place int")
+    keys = J._keyed(J.ranked(spark.createDataFrame([(["a", "b"],), (["a"],)], "words array<string>"), places), Fraction("0.7"), "n1", "n2")
+    assert {t for _, t in keys.dtypes} == {"array<int>", "int"}
+    assert {(tuple(r["ordered"]), r["place"], r["n1"], r["n2"]) for r in keys.collect()} == {((1, 2), 1, 2, 2), ((2,), 2, 1, 1)}
